@@ -92,22 +92,21 @@ def geography_rows(orders: DataFrame, shipments: DataFrame) -> DataFrame:
         F.col("order_country").alias("country"),
         none.alias("latitude"),
         none.alias("longitude"),
-    )
+    ).distinct()
     shipped = shipments.where(F.col("ship_city").isNotNull()).select(
         F.col("ship_city").alias("city"),
         F.col("ship_state").alias("state"),
         F.col("ship_country").alias("country"),
         "latitude",
         "longitude",
-    )
+    ).distinct()
     return ordered.unionByName(shipped).distinct()
 
 
 def date_rows(orders: DataFrame, shipments: DataFrame) -> DataFrame:
     """The dates that occur, not a calendar."""
-    seen = orders.select(F.col("order_date").alias("full_date")).union(
-        shipments.select("ship_date")
-    )
+    ordered = orders.select(F.col("order_date").alias("full_date")).distinct()
+    seen = ordered.union(shipments.select("ship_date").distinct())
     days = seen.where(F.col("full_date").isNotNull()).distinct()
     return days.withColumns(date_parts(F.col("full_date")))
 

@@ -98,16 +98,30 @@ def order_keys(orders: DataFrame, dims: dict[str, DataFrame], one_match: bool) -
 
 
 def shipment_keys(shipments: DataFrame, dims: dict[str, DataFrame], one_match: bool) -> DataFrame:
-    """Shipment id with the two keys that depend on the shipment."""
+    """Shipment id with the two keys that depend on the shipment.
+
+    In `one_match` a repeated id keeps its earliest date, then its smallest flags. Keys follow the
+    order of what they stand for, so the smallest pair of keys is looked for: packed into one
+    number, which the hash aggregate can hold, since a date key never exceeds 22 bits.
+    """
     own = shipments.select("shipment_id", "ship_date", *_FLAGS)
-    if one_match:
-        own = first_match(own, ["shipment_id"], ["ship_date", *_FLAGS])
     dates = dims["dim_date"].select("full_date", F.col("date_key").alias("shipping_date_key"))
     own = left_lookup(own, dates, {"ship_date": "full_date"})
     own = left_lookup(
         own, shipping_lookup(dims["dim_shipping"]), {c: c for c in _FLAGS}, null_safe=one_match
     )
-    return own.select("shipment_id", "shipping_date_key", "shipping_key")
+    if not one_match:
+        return own.select("shipment_id", "shipping_date_key", "shipping_key")
+    none = F.lit(0)
+    packed = F.shiftleft(F.coalesce("shipping_date_key", none).cast("bigint"), 40).bitwiseOR(
+        F.coalesce("shipping_key", none).cast("bigint")
+    )
+    least = own.groupBy("shipment_id").agg(F.min(packed).alias("_keys"))
+    return least.select(
+        "shipment_id",
+        F.nullif(F.shiftright("_keys", 40), none).alias("shipping_date_key"),
+        F.nullif(F.col("_keys").bitwiseAND((1 << 40) - 1), none).alias("shipping_key"),
+    )
 
 
 def order_items(
@@ -119,16 +133,11 @@ def order_items(
 ) -> DataFrame:
     """The fact: seven keys, six measures, and the item's business key.
 
-    With `one_match` every lookup finds at most one row, so there is one fact row per item.
-    Without, each lookup may multiply the rows, as plain joins to the dimensions do.
+    With `one_match` every lookup finds at most one row, so there is one fact row per item; the
+    staged orders have one row per order already. Without, each lookup may multiply the rows, as
+    plain joins to the dimensions do.
     """
     by_order = order_keys(orders, dims, one_match)
-    if one_match:
-        by_order = first_match(
-            by_order,
-            ["order_id"],
-            ["order_date_key", "customer_key", "customer_geography_key", "order_geography_key"],
-        )
     measures = items.select(
         "order_item_id",
         "order_id",

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from depotstar.session import estimated_bytes
+from depotstar.session import estimated_bytes, source_bytes
 
 # Below this size one task can take all rows of one key.
 SKEW_FLOOR = 1 << 30
@@ -31,14 +31,13 @@ def broadcast_limit(df: DataFrame) -> int:
 
 
 def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> list[tuple]:
-    """Keys that own more than `share` of a 1 % sample of the rows; NULL keys left out.
+    """Keys, NULL ones included, that own more than `share` of a 1 % sample of the rows.
 
     The list only steers where rows go, never which rows match, so a sample is enough. Counts are
     combined before the shuffle, and at most 1 / share rows reach the driver.
     """
-    present = reduce(and_, [F.col(k).isNotNull() for k in keys])
     # A fixed seed keeps the plan, and so any retry, the same.
-    sample = df.select(*keys).where(present).sample(fraction=0.01, seed=17)
+    sample = df.select(*keys).sample(fraction=0.01, seed=17)
     counts = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
     hot = counts.where(F.col("_n") > F.greatest(total * share, F.lit(1)))
@@ -56,16 +55,13 @@ def left_lookup(
     """Left join on `on` (left column -> right column); the right key columns are dropped.
 
     A right side under the session's broadcast limit is left to Spark, which then moves no left row.
-    Otherwise, if the left side is large, rows with a hot key are spread over `salts` tasks and only
-    the right rows of those keys are repeated. Left rows with a NULL key match nothing under plain
-    equality and are spread freely. The result is that of the plain join.
+    Otherwise, if the left side is large and has hot keys, their rows are spread over `salts` tasks
+    and only the right rows of those keys are repeated. The result is that of the plain join.
     """
     floor = SKEW_FLOOR if floor is None else floor
-    right = right.select(
-        *[F.col(r).alias(f"_k{i}") for i, r in enumerate(on.values())],
-        *[c for c in right.columns if c not in set(on.values())],
-    )
     keys = [f"_k{i}" for i in range(len(on))]
+    names = dict(zip(on.values(), keys))
+    right = right.select([F.col(c).alias(names.get(c, c)) for c in right.columns])
 
     def matches(l: DataFrame, r: DataFrame) -> Column:
         pairs = [
@@ -73,30 +69,36 @@ def left_lookup(
         ]
         return reduce(and_, pairs)
 
-    small = estimated_bytes(right) <= broadcast_limit(left)
-    if small or estimated_bytes(left) < floor:
-        return left.join(right, matches(left, right), "left").drop(*keys)
-
+    plain = left.join(right, matches(left, right), "left").drop(*keys)
+    if estimated_bytes(right) <= broadcast_limit(left) or source_bytes(left) < floor:
+        return plain
     hot = hot_keys(left, list(on))
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)).cast("int")
-    left_hot = _is_one_of([F.col(c) for c in on], hot)
-    if not null_safe:
-        left_hot = left_hot | reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-    right_hot = _is_one_of([F.col(k) for k in keys], hot)
-    copies = F.when(right_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    if not hot:
+        return plain
 
-    l = left.withColumn(_SALT, F.when(left_hot, spread).otherwise(F.lit(0)))
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)).cast("int")
+    copies = F.when(
+        _is_one_of([F.col(k) for k in keys], hot), F.sequence(F.lit(0), F.lit(salts - 1))
+    ).otherwise(F.array(F.lit(0)))
+    l = left.withColumn(
+        _SALT, F.when(_is_one_of([F.col(c) for c in on], hot), spread).otherwise(F.lit(0))
+    )
     r = right.withColumn("_copy", F.explode(copies))
     joined = l.join(r, matches(l, r) & (l[_SALT] == r["_copy"]), "left")
     return joined.drop(*keys, _SALT, "_copy")
 
 
 def _is_one_of(columns: list[Column], keys: list[tuple]) -> Column:
-    """Whether the columns hold one of the listed keys; false for NULL."""
-    if not keys:
-        return F.lit(False)
+    """Whether the columns hold one of the listed keys; NULL equals NULL here."""
+    whole = [k for k in keys if None not in k]
     if len(columns) == 1:
-        test = columns[0].isin([k[0] for k in keys])
+        test = columns[0].isin([k[0] for k in whole])
     else:
-        test = F.struct(*columns).isin([F.struct(*map(F.lit, k)) for k in keys])
-    return F.coalesce(test, F.lit(False))
+        test = F.struct(*columns).isin([F.struct(*map(F.lit, k)) for k in whole])
+    tests = [F.coalesce(test, F.lit(False))] if whole else []
+    tests += [
+        reduce(and_, [c.eqNullSafe(F.lit(v)) for c, v in zip(columns, k)])
+        for k in keys
+        if None in k
+    ]
+    return reduce(or_, tests)

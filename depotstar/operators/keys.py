@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from itertools import accumulate
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from depotstar.session import stage
@@ -22,13 +24,22 @@ def assign_keys(df: DataFrame, natural_key: list[str], key: str) -> DataFrame:
         df.orderBy(*natural_key).withColumn("_pos", F.monotonically_increasing_id()), key
     )
     part = F.shiftright("_pos", _PARTITION_BIT)
-    # One row per written range: as many as the session has shuffle partitions, at most.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        placed.groupBy(part.alias("_part"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    )
+    row = F.col("_pos").bitwiseAND((1 << _PARTITION_BIT) - 1) + 1
+    # Run-time merging leaves few rows in one range, and so in one file, which starts at 1.
+    if len(placed.inputFiles()) == 1:
+        return placed.select(row.alias(key), *df.columns)
+    starts = range_starts(placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n")))
     numbered = placed.withColumn("_part", part).join(F.broadcast(starts), "_part")
-    row = F.col("_pos") - F.shiftleft("_part", _PARTITION_BIT)
-    return numbered.select((F.col("_start") + row + 1).alias(key), *df.columns)
+    return numbered.select((F.col("_start") + row).alias(key), *df.columns)
+
+
+def range_starts(sizes: DataFrame) -> DataFrame:
+    """(_part, _start): rows before each range, from (_part, _n).
+
+    There is one row per written range, as many as the session has shuffle partitions at most, so
+    the sums are made on the driver.
+    """
+    counted = sorted((r["_part"], r["_n"]) for r in sizes.collect())
+    before = accumulate((n for _, n in counted), initial=0)
+    starts = [(part, start) for (part, _), start in zip(counted, before)]
+    return sizes.sparkSession.createDataFrame(starts, "_part bigint, _start bigint")

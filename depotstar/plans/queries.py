@@ -143,12 +143,12 @@ def surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
 # Fact and star -------------------------------------------------------------------------------
 
 
-def staged_inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Items, orders and shipments as written staging tables."""
+def inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Items, orders and shipments; each use of them scans only the columns it needs."""
     return (
-        stage(standin.items(spark, folder, NOW), "stg_oms_order_items"),
-        stage(standin.orders(spark, folder, NOW), "stg_oms_orders"),
-        stage(standin.shipments(spark, folder, NOW), "stg_slms_shipments"),
+        standin.items(spark, folder, NOW),
+        standin.orders(spark, folder, NOW),
+        standin.shipments(spark, folder, NOW),
     )
 
 
@@ -156,15 +156,15 @@ def star_for(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The star of a folder, built once per application as any warehouse is before it is read."""
     at = (spark.sparkContext.applicationId, folder)
     if at not in _stars:
-        _stars[at] = temporary_star(*staged_inputs(spark, folder))
+        _stars[at] = temporary_star(*inputs(spark, folder))
     return _stars[at]
 
 
 def fact_one_match(spark: SparkSession, folder: str) -> DataFrame:
-    """Build staging, dimensions and fact anew; each key is shown as what it stands for."""
-    inputs = staged_inputs(spark, folder)
-    star = build_dimensions(*inputs, fresh_path(spark, "dims"))
-    fact = order_items(*inputs, star)
+    """Build dimensions and fact anew; each key is shown as what it stands for."""
+    staging = inputs(spark, folder)
+    star = build_dimensions(*staging, fresh_path(spark, "dims"))
+    fact = order_items(*staging, star)
     attributes = {
         "customer": ["customer_id"],
         "product": ["product_id", "category_name", "department_name"],
@@ -185,7 +185,7 @@ def fact_one_match(spark: SparkSession, folder: str) -> DataFrame:
 
 def fact_as_written(spark: SparkSession, folder: str) -> DataFrame:
     """Size and sums of the fact that plain joins to all dimensions give."""
-    items, orders, shipments = staged_inputs(spark, folder)
+    items, orders, shipments = inputs(spark, folder)
     star = build_dimensions(items, orders, shipments, fresh_path(spark, "dims"), one_match=False)
     by = ["shipping_mode", "order_status"]
     return portable(fanout.fan_out_totals(items, orders, shipments, star, by))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from depotstar.operators import dims as d
 from depotstar.operators.fact import order_items
 from depotstar.operators.keys import assign_keys
 from depotstar.schemas import STAGING, WAREHOUSE
-from depotstar.session import fresh_path
+from depotstar.session import fresh_path, together
 from depotstar.sources import tables
 
 FACT = "order_items"
@@ -29,24 +31,34 @@ def build_dimensions(
 ) -> dict[str, DataFrame]:
     """Write the dimensions below `path` and return them as read back.
 
-    A dimension is written before another reads its keys, and Spark then knows its size: it
-    broadcasts those under the session's limit and shuffles for the others.
+    Independent dimensions are built at the same time. Read back from files, a dimension has a
+    known size: Spark broadcasts those under the session's limit and shuffles for the others.
     """
     spark = items.sparkSession
-    done: dict[str, DataFrame] = {}
-
-    def put(table: str, rows: DataFrame) -> None:
-        tables.replace(keyed(rows, table), f"{path}/{table}")
-        done[table] = spark.read.schema(WAREHOUSE[table]).parquet(f"{path}/{table}")
-
-    put("dim_department", d.department_rows(items))
-    put("dim_category", d.category_rows(items, done["dim_department"], one_match))
-    put("dim_product", d.product_rows(items, done["dim_category"], one_match))
-    put("dim_customer", d.customer_rows(orders))
-    put("dim_geography", d.geography_rows(orders, shipments))
-    put("dim_date", d.date_rows(orders, shipments))
-    put("dim_shipping", d.shipping_rows(shipments))
-    return done
+
+    def products() -> dict[str, DataFrame]:
+        department = keyed(d.department_rows(items), "dim_department")
+        category = keyed(d.category_rows(items, department, one_match), "dim_category")
+        product = keyed(d.product_rows(items, category, one_match), "dim_product")
+        return {"dim_department": department, "dim_category": category, "dim_product": product}
+
+    def single(table: str, rows: DataFrame) -> Callable[[], dict[str, DataFrame]]:
+        return lambda: {table: keyed(rows, table)}
+
+    built = together(
+        products,
+        single("dim_customer", d.customer_rows(orders)),
+        single("dim_geography", d.geography_rows(orders, shipments)),
+        single("dim_date", d.date_rows(orders, shipments)),
+        single("dim_shipping", d.shipping_rows(shipments)),
+    )
+    frames = {t: df for part in built for t, df in part.items()}
+
+    def write(table: str) -> Callable[[], None]:
+        return lambda: tables.replace(frames[table], f"{path}/{table}")
+
+    together(*[write(t) for t in frames])
+    return {t: spark.read.schema(WAREHOUSE[t]).parquet(f"{path}/{t}") for t in frames}
 
 
 def build_star(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,5 +69,25 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate; exact file sizes for staged tables."""
+    """The optimizer's size estimate, on which Spark decides whether to broadcast."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def source_bytes(df: DataFrame) -> int:
+    """Size of the largest table `df` reads, from its files.
+
+    For a chain of lookups this tells the size of the result better than the estimate, which
+    multiplies the sizes of the two sides of each join.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return max(sizes, default=0)
+
+
+def together(*jobs: Callable[[], object]) -> list:
+    """Run independent jobs at the same time and return their results in order.
+
+    Spark fills the cluster with the tasks of all of them; the first error is raised.
+    """
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
