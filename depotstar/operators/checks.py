@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from depotstar.functions.sqltext import text
 from depotstar.operators.cleanse import CRITICAL_COLUMNS, SENSITIVE_COLUMNS, SENTINEL
 from depotstar.operators.dedupe import count_duplicates
 
@@ -89,20 +90,14 @@ def run_checks(df: DataFrame, checks: list[Check], duplicates: bool = True) -> D
         found = count_duplicates(df).scalar().cast("double")
         wide = wide.withColumn(f"_{len(checks)}", found)
         checks = [*checks, Check(_DUPLICATES, F.lit(0), fail="duplicate rows")]
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c.name).alias("check_name"),
-                F.lit("warning" if c.warning else "error").alias("severity"),
-                F.expr(c.passes.replace("observed", f"_{i}")).alias("passed"),
-                F.col(f"_{i}").alias("observed"),
-                F.lit(c.ok).alias("ok"),
-                F.lit(c.fail).alias("fail"),
-            )
-            for i, c in enumerate(checks)
-        ]
-    )
-    return wide.select(F.inline(rows)).select(
+    rows = [
+        f"struct({text(c.name)} AS check_name, "
+        f"'{'warning' if c.warning else 'error'}' AS severity, "
+        f"{c.passes.replace('observed', f'_{i}')} AS passed, _{i} AS observed, "
+        f"{text(c.ok)} AS ok, {text(c.fail)} AS fail)"
+        for i, c in enumerate(checks)
+    ]
+    return wide.selectExpr(f"inline(array({', '.join(rows)}))").select(
         "check_name",
         "severity",
         # A check that has nothing to observe, as the mean of no rows, does not pass.

@@ -12,6 +12,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from depotstar.functions.sqltext import text
+from depotstar.operators.joins import left_lookup
+from depotstar.operators.sets import union_all
+
 
 @dataclass(frozen=True)
 class ForeignKey:
@@ -37,50 +41,54 @@ class TableRules:
     unique: list[list[str]] = field(default_factory=list)
 
 
-def row_rules(rules: TableRules, columns: list[str]) -> list[tuple[str, str, Column]]:
-    """(rule, kind, condition that breaks it) for all rules that one row can break.
+def row_rules(rules: TableRules, columns: list[str]) -> list[tuple[str, str, str]]:
+    """(rule, kind, SQL condition that breaks it) for all rules that one row can break.
 
     As in SQL, a NULL breaks NOT NULL only. Rules on columns the frame lacks are left out.
     """
     have = set(columns)
-    broken = [(c, "NOT NULL", F.col(c).isNull()) for c in rules.not_null if c in have]
+    broken = [(c, "NOT NULL", f"{c} IS NULL") for c in rules.not_null if c in have]
     broken += [
-        (f"{c} <= {n}", "LENGTH", F.length(c) > n) for c, n in rules.lengths.items() if c in have
+        (f"{c} <= {n}", "LENGTH", f"length({c}) > {n}")
+        for c, n in rules.lengths.items()
+        if c in have
     ]
     broken += [
-        (c, "DOMAIN", ~F.col(c).isin(values)) for c, values in rules.domains.items() if c in have
+        (c, "DOMAIN", f"{c} NOT IN ({', '.join(map(text, values))})")
+        for c, values in rules.domains.items()
+        if c in have
     ]
-    broken += [(name, "CHECK", ~F.expr(test)) for name, test in rules.checks.items()]
+    broken += [(name, "CHECK", f"NOT ({test})") for name, test in rules.checks.items()]
     return broken
 
 
 def audit_rows(table: str, df: DataFrame, rules: TableRules) -> DataFrame:
     """All row rules of a table in one pass."""
     broken = row_rules(rules, df.columns)
-    counts = df.agg(*[F.count_if(test).alias(f"_{i}") for i, (_, _, test) in enumerate(broken)])
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(table).alias("table_name"),
-                F.lit(rule).alias("rule"),
-                F.lit(kind).alias("kind"),
-                F.col(f"_{i}").alias("violations"),
-            )
-            for i, (rule, kind, _) in enumerate(broken)
-        ]
-    )
-    return counts.select(F.inline(rows))
+    counts = df.agg(*[F.expr(f"count_if({test}) AS _{i}") for i, (_, _, test) in enumerate(broken)])
+    rows = [
+        f"struct({text(table)} AS table_name, {text(rule)} AS rule, {text(kind)} AS kind, "
+        f"_{i} AS violations)"
+        for i, (rule, kind, _) in enumerate(broken)
+    ]
+    return counts.selectExpr(f"inline(array({', '.join(rows)}))")
+
+
+def _finding(table: str, rule: str, kind: str, violations: str) -> list[Column]:
+    """The result row of one rule, as aggregates."""
+    return [
+        F.expr(f"{text(table)} AS table_name"),
+        F.expr(f"{text(rule)} AS rule"),
+        F.expr(f"{text(kind)} AS kind"),
+        F.expr(f"coalesce(sum({violations}), 0) AS violations"),
+    ]
 
 
 def audit_unique(table: str, df: DataFrame, key: list[str]) -> DataFrame:
     """Rows too many for a unique key. Keys with a NULL part are exempt."""
-    keyed = df.select(*key).dropna("any").groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-    return keyed.where("_n > 1").agg(
-        F.lit(table).alias("table_name"),
-        F.lit(", ".join(key)).alias("rule"),
-        F.lit("UNIQUE").alias("kind"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("violations"),
-    )
+    present = " AND ".join(f"{c} IS NOT NULL" for c in key)
+    keyed = df.where(present).groupBy(*key).agg(F.expr("count(1) AS n"))
+    return keyed.where("n > 1").agg(*_finding(table, ", ".join(key), "UNIQUE", "n - 1"))
 
 
 def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
@@ -88,19 +96,14 @@ def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column:
 
     Child rows are counted per key before the join, so a frequent key is one row in the shuffle.
     """
-    held = child.select(F.col(column).alias("key")).where(F.col("key").isNotNull())
-    held = held.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    return held.join(parent.select(F.col(parent_column).alias("key")), "key", "left_anti")
+    held = child.where(f"{column} IS NOT NULL").groupBy(F.expr(f"{column} AS key"))
+    counted = held.agg(F.expr("count(1) AS n"))
+    return counted.join(parent.selectExpr(f"{parent_column} AS key"), "key", "left_anti")
 
 
 def audit_foreign_key(fk: ForeignKey, tables: dict[str, DataFrame]) -> DataFrame:
     orphans = orphan_keys(tables[fk.child], fk.column, tables[fk.parent], fk.parent_column)
-    return orphans.agg(
-        F.lit(fk.child).alias("table_name"),
-        F.lit(fk.name).alias("rule"),
-        F.lit("FOREIGN KEY").alias("kind"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("violations"),
-    )
+    return orphans.agg(*_finding(fk.child, fk.name, "FOREIGN KEY", "n"))
 
 
 def audit(
@@ -118,7 +121,7 @@ def audit(
         for fk in foreign_keys
         if fk.child in tables and fk.parent in tables
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -171,7 +174,7 @@ def delete_parents(
                 )
             )
             if fk.on_delete == "CASCADE":
-                next_keys = hit.select(F.col(primary_keys[fk.child]).alias("key"))
+                next_keys = hit.select(F.col(primary_keys[fk.child]).alias("key")).distinct()
                 gone.setdefault(fk.child, []).append(next_keys)
                 todo.append((fk.child, next_keys))
             elif fk.on_delete == "SET NULL":
@@ -184,13 +187,10 @@ def delete_parents(
         after[name] = df.join(dropped, df[primary_keys[name]] == dropped["key"], "left_anti")
     for name, parts in cleared.items():
         for column, dropped in parts:
-            df = after[name]
-            mark = dropped.select(F.col("key").alias("_gone")).distinct()
-            after[name] = (
-                df.join(mark, df[column] == mark["_gone"], "left")
-                .withColumn(column, F.when(F.col("_gone").isNull(), F.col(column)))
-                .select(*df.columns)
-            )
+            mark = dropped.select("key", F.lit(True).alias("_gone"))
+            marked = left_lookup(after[name], mark, {column: "key"})
+            kept = F.when(F.col("_gone").isNull(), F.col(column))
+            after[name] = marked.withColumn(column, kept).drop("_gone")
     columns = "table_name string, rule string, action string, affected bigint"
-    whole = reduce(DataFrame.unionByName, report) if report else keys.sparkSession.createDataFrame([], columns)
+    whole = union_all(report) if report else keys.sparkSession.createDataFrame([], columns)
     return DeleteResult(whole, after)

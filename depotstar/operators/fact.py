@@ -93,7 +93,7 @@ def order_keys(orders: DataFrame, dims: dict[str, DataFrame], one_match: bool) -
     own = left_lookup(own, customers, {"customer_id": "customer_id"})
     return own.select(
         "order_id", "customer_key", "order_date_key", "customer_geography_key",
-        "order_geography_key",
+        "order_geography_key", F.year("order_date").alias("order_year"),
     )
 
 
@@ -131,7 +131,7 @@ def order_items(
     dims: dict[str, DataFrame],
     one_match: bool = True,
 ) -> DataFrame:
-    """The fact: seven keys, six measures, and the item's business key.
+    """The fact: seven keys, six measures, the item's business key, and the order year.
 
     With `one_match` every lookup finds at most one row, so there is one fact row per item; the
     staged orders have one row per order already. Without, each lookup may multiply the rows, as
@@ -156,4 +156,4 @@ def order_items(
     rows = left_lookup(
         rows, shipment_keys(shipments, dims, one_match), {"order_item_id": "shipment_id"}
     )
-    return rows.select("order_item_id", *WAREHOUSE["order_items"].fieldNames())
+    return rows.select("order_item_id", *WAREHOUSE["order_items"].fieldNames(), "order_year")

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from depotstar.operators.joins import left_lookup
+from depotstar.operators.sets import union_all
 
 # Lookup -> (dimension, columns it is looked up by).
 LOOKUPS = {
@@ -38,7 +37,7 @@ def fan_out(dims: dict[str, DataFrame]) -> DataFrame:
         )
 
     parts = [one(k, d, c) for k, (d, c) in LOOKUPS.items() if d in dims]
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)
 
 
 def fan_out_totals(

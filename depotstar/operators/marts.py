@@ -68,9 +68,14 @@ def filter_fact(
 ) -> DataFrame:
     """Fact rows that meet dashboard filters: dropdown, checkbox list, text (any letter case).
 
-    Each filter is applied to its dimension and only the keys left over restrict the fact.
+    Each filter is applied to its dimension and only the keys left over restrict the fact. A filter
+    on the order year is also put to the fact's partitions, so other years are not read.
     """
     fact = star["order_items"]
+    years = [y for y in [(equals or {}).get("order_date.year")] if y is not None]
+    years = years or (one_of or {}).get("order_date.year") or []
+    if years and "order_year" in fact.columns:
+        fact = fact.where(F.col("order_year").isin(years))
     for name, tests in _conditions(equals or {}, one_of or {}, contains or {}).items():
         kept = role(star, name).where(reduce(and_, tests)).select(ROLES[name][0])
         fact = fact.join(kept, ROLES[name][0], "left_semi")

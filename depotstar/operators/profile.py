@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections import Counter
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from depotstar.functions import percent
+from depotstar.functions.sqltext import name, text
 from depotstar.session import stage
 
 
@@ -30,16 +30,13 @@ def type_census(df: DataFrame) -> dict[str, int]:
 def missing_counts(df: DataFrame) -> DataFrame:
     """Every column with its missing count and percent, from one pass over the data."""
     counts = df.agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.count_if(_c(c).isNull()).alias(f"_m{i}") for i, c in enumerate(df.columns)],
+        F.expr("count(1) AS _rows"),
+        *[F.expr(f"count_if({name(c)} IS NULL) AS _m{i}") for i, c in enumerate(df.columns)],
     )
-    cells = F.array(
-        *[
-            F.struct(F.lit(c).alias("column_name"), F.col(f"_m{i}").alias("missing"))
-            for i, c in enumerate(df.columns)
-        ]
-    )
-    long = counts.select("_rows", F.inline(cells))
+    cells = [
+        f"struct({text(c)} AS column_name, _m{i} AS missing)" for i, c in enumerate(df.columns)
+    ]
+    long = counts.selectExpr("_rows", f"inline(array({', '.join(cells)}))")
     return long.select(
         "column_name", "missing", percent(F.col("missing"), F.col("_rows")).alias("missing_pct")
     )
@@ -59,8 +56,8 @@ def missing_cells(df: DataFrame) -> DataFrame:
 def empty_columns(df: DataFrame) -> tuple[list[str], int]:
     """Columns without any value, and the row count; one pass."""
     row = df.agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.count(_c(c)).alias(f"_n{i}") for i, c in enumerate(df.columns)],
+        F.expr("count(1) AS _rows"),
+        *[F.expr(f"count({name(c)}) AS _n{i}") for i, c in enumerate(df.columns)],
     ).first()
     return [c for i, c in enumerate(df.columns) if row[f"_n{i}"] == 0], row["_rows"]
 
@@ -75,12 +72,13 @@ def text_columns(df: DataFrame) -> list[str]:
 
 def value_frequencies(df: DataFrame, columns: list[str], as_type: str) -> DataFrame:
     """(column_name, value, n) for every value that is not NULL; all columns in one pass."""
-    cells = F.array(
-        *[F.struct(F.lit(c).alias("column_name"), _c(c).cast(as_type).alias("value")) for c in columns]
-    )
-    long = df.select(F.inline(cells)).where(F.col("value").isNotNull())
+    cells = [
+        f"struct({text(c)} AS column_name, cast({name(c)} AS {as_type}) AS value)"
+        for c in columns
+    ]
+    long = df.selectExpr(f"inline(array({', '.join(cells)}))").where("value IS NOT NULL")
     if as_type == "double":
-        long = long.where(~F.isnan("value"))
+        long = long.where("NOT isnan(value)")
     return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -220,6 +218,3 @@ def impute(df: DataFrame, numeric: list[str], categorical: list[str]) -> DataFra
 
     return df.withColumns({f.name: filled(f) for f in df.schema.fields if f.name in fills})
 
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

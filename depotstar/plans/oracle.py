@@ -502,7 +502,7 @@ WITH {_STAGING},{_LINES}
 SELECT order_country AS country, CAST(quarter(order_date) AS INTEGER) AS quarter, {_MEASURES}
 FROM lines
 WHERE department_name = 'PROMO' AND shipping_mode IN ('1-URGENT', '2-HIGH')
-  AND contains(lower(category_name), 'brand#1')
+  AND contains(lower(category_name), 'brand#1') AND year(order_date) BETWEEN 1996 AND 1998
 GROUP BY 1, 2""",
     "star_entitled": f"""
 WITH {_STAGING},{_LINES}

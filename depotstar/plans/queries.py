@@ -26,6 +26,7 @@ from depotstar.operators import (
     summary,
 )
 from depotstar.operators.fact import order_items
+from depotstar.operators.sets import union_all
 from depotstar.plans.warehouse import build_dimensions, keyed, temporary_star
 from depotstar.schemas import STAR_FOREIGN_KEYS, WAREHOUSE, conform, text_limit
 from depotstar.session import fresh_path, stage
@@ -216,7 +217,10 @@ def star_filtered(spark: SparkSession, folder: str) -> DataFrame:
     fact = marts.filter_fact(
         star,
         equals={"product.department_name": "PROMO", "ship_date.is_weekend": None},
-        one_of={"shipping.shipping_mode": ["1-URGENT", "2-HIGH"]},
+        one_of={
+            "shipping.shipping_mode": ["1-URGENT", "2-HIGH"],
+            "order_date.year": [1996, 1997, 1998],
+        },
         contains={"product.category_name": "brand#1"},
     )
     by = {"country": "order_geography.country", "quarter": "order_date.quarter_number"}
@@ -373,7 +377,7 @@ def cleaning_warnings(spark: SparkSession, folder: str) -> DataFrame:
         for f, kind in zip(found, ["negative", "invalid date"])
         for c in f.columns
     ]
-    return profile.union_all(parts)
+    return union_all(parts)
 
 
 def validation_checks(spark: SparkSession, folder: str) -> DataFrame:
@@ -412,7 +416,7 @@ def fk_audit(spark: SparkSession, folder: str) -> DataFrame:
         constraints.ForeignKey("orders", "o_custkey", "solvent_customer", "c_custkey"),
     ]
     found += [constraints.audit_foreign_key(fk, source) for fk in declared]
-    return profile.union_all(found)
+    return union_all(found)
 
 
 def check_audit(spark: SparkSession, folder: str) -> DataFrame:
@@ -439,7 +443,7 @@ def check_audit(spark: SparkSession, folder: str) -> DataFrame:
         ),
     }
     tables = {"stg_oms_orders": orders, "lineitem": dated}
-    return profile.union_all(
+    return union_all(
         [constraints.audit_rows(t, df, rules[t]) for t, df in tables.items()]
     )
 
@@ -455,7 +459,7 @@ def unique_audit(spark: SparkSession, folder: str) -> DataFrame:
     found = [
         constraints.audit_unique(t, standin.table(spark, folder, t), key) for t, key in wanted
     ]
-    return profile.union_all(found)
+    return union_all(found)
 
 
 def retail_audit(spark: SparkSession, folder: str) -> DataFrame:
@@ -481,7 +485,7 @@ def delete_actions(spark: SparkSession, folder: str) -> DataFrame:
         )
         for name, df in result.tables.items()
     ]
-    return profile.union_all([result.report, *left])
+    return union_all([result.report, *left])
 
 
 def delete_restricted(spark: SparkSession, folder: str) -> DataFrame:

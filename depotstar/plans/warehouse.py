@@ -71,15 +71,15 @@ def build_star(
 ) -> dict[str, DataFrame]:
     """Write all eight tables below `path` and return them as read back.
 
+    The fact is partitioned by order year, so that queries on some years read only those.
     `fact_key` adds `order_item_key` 1..n. It costs a sort of the whole fact by `order_item_id`,
     which identifies a row already, and is therefore off unless asked for.
     """
     star = build_dimensions(items, orders, shipments, path, one_match)
     fact = order_items(items, orders, shipments, star, one_match)
     if fact_key:
-        natural = [c for c in fact.columns]
-        fact = assign_keys(fact, natural, "order_item_key")
-    tables.replace(fact, f"{path}/{FACT}")
+        fact = assign_keys(fact, fact.columns, "order_item_key")
+    tables.replace(fact, f"{path}/{FACT}", ["order_year"])
     spark = items.sparkSession
     star[FACT] = spark.read.schema(fact.schema).parquet(f"{path}/{FACT}")
     return star

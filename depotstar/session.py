@@ -28,6 +28,8 @@ def build_session(app: str = "depotstar", master: str | None = None, **conf: str
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # Recording the Python line of every column costs more than planning a query.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     for key, value in settings.items():

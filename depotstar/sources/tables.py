@@ -17,9 +17,9 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def replace(df: DataFrame, path: str) -> None:
+def replace(df: DataFrame, path: str, partitions: list[str] | None = None) -> None:
     """Put `df` in the place of a table. `df` must not read the table itself."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, partitionBy=partitions)
 
 
 def empty(spark: SparkSession, schema: T.StructType, path: str) -> None:
