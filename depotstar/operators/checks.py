@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depotstar.functions.sqltext import text
-from depotstar.operators.cleanse import CRITICAL_COLUMNS, SENSITIVE_COLUMNS, SENTINEL
+from depotstar.operators.cleanse import CRITICAL_COLUMNS, SENSITIVE_COLUMNS, SENTINEL, number
 from depotstar.operators.dedupe import count_duplicates
 
 # Columns that must not be negative, and the lowest good mean score.
@@ -60,7 +60,7 @@ def standard_checks(df: DataFrame) -> list[Check]:
         if c in have
     ]
     checks += [
-        Check(f"Non-negative '{c}'", F.count_if(_c(c) < 0), warning=True, fail="negative values")
+        Check(f"Non-negative '{c}'", F.count_if(number(df, c) < 0), warning=True, fail="negative values")
         for c in NON_NEGATIVE
         if c in have
     ]
@@ -68,7 +68,7 @@ def standard_checks(df: DataFrame) -> list[Check]:
         checks.append(
             Check(
                 "Data Quality Score",
-                F.avg("data_quality_score"),
+                F.avg(number(df, "data_quality_score")),
                 f"observed >= {GOOD_SCORE}",
                 warning=True,
                 ok="average score is high",

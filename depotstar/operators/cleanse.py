@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,10 +41,16 @@ RECORD_SOURCE = "supply_chain"
 Step = Callable[[DataFrame], DataFrame]
 
 
-def _c(name: str):
+def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def number(df: DataFrame, name: str) -> Column:
+    """A column as a number, whether it was read as text or not."""
+    text = isinstance(df.schema[name].dataType, T.StringType)
+    return to_number(_c(name)) if text else _c(name)
+
+
 def _present(df: DataFrame, names: list[str]) -> list[str]:
     return [c for c in names if c in df.columns]
 
@@ -84,7 +90,7 @@ def trim_texts(df: DataFrame) -> DataFrame:
     return df.withColumns({c: strip(_c(c)) for c in texts if c not in SENSITIVE_COLUMNS})
 
 
-def quality_score(df: DataFrame):
+def quality_score(df: DataFrame) -> Column:
     """100, less 25 for each critical column that is NULL; absent columns cost nothing."""
     lost = [F.when(_c(c).isNull(), PENALTY).otherwise(0) for c in _present(df, CRITICAL_COLUMNS)]
     return reduce(lambda total, x: total - x, lost, F.lit(100))
@@ -133,7 +139,7 @@ def cleanse(df: DataFrame, steps: list[Step] | None = None) -> DataFrame:
 
 def negative_counts(df: DataFrame) -> DataFrame:
     """One row: negative values per column that should have none."""
-    return df.agg(*[F.count_if(_c(c) < 0).alias(c) for c in _present(df, NON_NEGATIVE_COLUMNS)])
+    return df.agg(*[F.count_if(number(df, c) < 0).alias(c) for c in _present(df, NON_NEGATIVE_COLUMNS)])
 
 
 def invalid_dates(df: DataFrame) -> DataFrame:

@@ -57,4 +57,4 @@ def status_share(df: DataFrame, column: str = "Delivery Status") -> DataFrame:
 
 def late_rate(df: DataFrame, flag: str = "Late_delivery_risk") -> DataFrame:
     """One row: percent of rows with the flag set."""
-    return df.agg((F.avg(_c(flag).cast("int")) * 100).alias("late_pct"))
+    return df.agg((F.avg(_c(flag).cast("double")) * 100).alias("late_pct"))

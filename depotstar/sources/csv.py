@@ -13,6 +13,9 @@ from depotstar.functions.values import SOURCE_DATE_FORMAT
 from depotstar.schemas import DATE_COLUMNS, ITEM_MAPPING, ORDER_MAPPING, SHIPMENT_MAPPING
 from depotstar.sources.files import file_system
 
+# Times in the files this library writes.
+WRITTEN_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+
 # Names of the file-position columns added by `with_file_order`.
 FILE_ORDER = ["_file", "_block", "_row"]
 
@@ -86,7 +89,9 @@ def with_file_order(df: DataFrame) -> DataFrame:
     )
 
 
-def newest_file(spark: SparkSession, folder: str, pattern: str = "*_cleaned_*") -> str:
+def newest_file(
+    spark: SparkSession, folder: str, pattern: str = "*_cleaned_*[0-9].csv"
+) -> str:
     """Path of the cleaned output written last, told from file times alone; no data is read.
 
     An output is a folder of part files and is as new as its newest part. Unfinished outputs, which
@@ -110,5 +115,11 @@ def cleaned_path(path: str, now: datetime) -> str:
 
 def write_flat(df: DataFrame, path: str) -> str:
     """Write UTF-8 CSV with a header; the result is a folder of part files."""
-    df.write.option("header", True).option("escape", '"').option("encoding", "UTF-8").csv(path)
+    (
+        df.write.option("header", True)
+        .option("escape", '"')
+        .option("encoding", "UTF-8")
+        .option("timestampFormat", WRITTEN_TIME_FORMAT)
+        .csv(path)
+    )
     return path

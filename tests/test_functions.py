@@ -1,0 +1,68 @@
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from depotstar import functions as fn
+from depotstar.functions.sqltext import name, text
+
+
+def one(spark, value, column, kind="string"):
+    return spark.createDataFrame([(value,)], f"v {kind}").select(column(F.col("v"))).first()[0]
+
+
+@pytest.mark.parametrize(
+    "value, expected",
+    [(" 1.5 ", 1.5), ("x", None), ("nan", None), ("1e3", 1000.0), ("", None), ("-1", -1.0),
+     (None, None), ("1d", None), ("0x10", None), ("inf", float("inf")), (".5", 0.5), ("5.", 5.0)],
+)
+def test_to_number(spark, value, expected):
+    assert one(spark, value, fn.to_number) == expected
+
+
+@pytest.mark.parametrize(
+    "value, expected",
+    [("1/31/2018 22:56", datetime(2018, 1, 31, 22, 56)), ("2/1/2018 5:06", datetime(2018, 2, 1, 5, 6)),
+     ("31/12/2018 1:00", None), ("", None), (None, None), (" 2/1/2018 5:06\t", datetime(2018, 2, 1, 5, 6))],
+)
+def test_parse_timestamp(spark, value, expected):
+    assert one(spark, value, fn.parse_timestamp) == expected
+
+
+def test_parse_date_with_other_format(spark):
+    assert one(spark, "31/12/2018", lambda c: fn.parse_date(c, "d/M/yyyy")) == date(2018, 12, 31)
+
+
+@pytest.mark.parametrize("value, expected", [("\t a b \n", "a b"), (" Bogotá ", "Bogotá"), (None, None)])
+def test_strip_is_like_python(spark, value, expected):
+    assert one(spark, value, fn.strip) == expected
+
+
+@pytest.mark.parametrize("value, expected", [("NA", None), ("nan", None), ("", None), (" NA", " NA"), ("x", "x"), (None, None)])
+def test_blank_tokens(spark, value, expected):
+    assert one(spark, value, fn.blank_tokens) == expected
+
+
+@pytest.mark.parametrize("value, expected", [("XXXXXXXXX", None), ("aXXXXXXXXX", "aXXXXXXXXX"), (None, None)])
+def test_drop_sentinel(spark, value, expected):
+    assert one(spark, value, lambda c: fn.drop_sentinel(c, "XXXXXXXXX")) == expected
+
+
+@pytest.mark.parametrize(
+    "day, expected",
+    [(date(2024, 2, 29), (4, 2, 1, 2024, False)), (date(2023, 12, 31), (7, 12, 4, 2023, True)),
+     (date(2024, 6, 1), (6, 6, 2, 2024, True)), (date(2024, 6, 3), (1, 6, 2, 2024, False))],
+)
+def test_date_parts(spark, day, expected):
+    df = spark.createDataFrame([(day,)], "d date").select(*fn.date_parts(F.col("d")).values())
+    assert tuple(df.first()) == expected
+
+
+def test_percent_rounds_half_to_even_and_survives_zero(spark):
+    df = spark.createDataFrame([(1, 8), (3, 8), (1, 0)], "a int, b int")
+    assert [r[0] for r in df.select(fn.percent(F.col("a"), F.col("b"), 0)).collect()] == [12.0, 38.0, None]
+
+
+def test_sql_text_quotes(spark):
+    df = spark.createDataFrame([(1,)], "`a``b` int").selectExpr(f"{name('a`b')} AS x", f"{text(chr(92) + chr(39))} AS y")
+    assert tuple(df.first()) == (1, "\\'")
