@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depotstar.functions.sqltext import text
-from depotstar.operators.joins import left_lookup
+from depotstar.operators.joins import left_lookup, matching
 from depotstar.operators.sets import union_all
 
 
@@ -163,8 +163,7 @@ def delete_parents(
         for fk in foreign_keys:
             if fk.parent != table or fk.child not in tables:
                 continue
-            child = tables[fk.child]
-            hit = child.join(dropped, child[fk.column] == dropped["key"], "left_semi")
+            hit = matching(tables[fk.child], dropped, {fk.column: "key"})
             report.append(
                 hit.agg(
                     F.lit(fk.child).alias("table_name"),
@@ -183,8 +182,7 @@ def delete_parents(
     after = dict(tables)
     for name, parts in gone.items():
         dropped = reduce(DataFrame.union, parts)
-        df = after[name]
-        after[name] = df.join(dropped, df[primary_keys[name]] == dropped["key"], "left_anti")
+        after[name] = matching(after[name], dropped, {primary_keys[name]: "key"}, negate=True)
     for name, parts in cleared.items():
         for column, dropped in parts:
             mark = dropped.select("key", F.lit(True).alias("_gone"))

@@ -83,14 +83,15 @@ def order_keys(orders: DataFrame, dims: dict[str, DataFrame], one_match: bool) -
     ).select("customer_id", "customer_key", "customer_geography_key")
     dates = dims["dim_date"].select("full_date", F.col("date_key").alias("order_date_key"))
     own = orders.select("order_id", "customer_id", "order_date", *[f"order_{c}" for c in _PLACE])
-    own = left_lookup(own, dates, {"order_date": "full_date"})
+    own = left_lookup(own, dates, {"order_date": "full_date"}, keys_from=orders)
     own = left_lookup(
         own,
         geography.withColumnRenamed("geography_key", "order_geography_key"),
         {f"order_{c}": c for c in _PLACE},
         null_safe=one_match,
+        keys_from=orders,
     )
-    own = left_lookup(own, customers, {"customer_id": "customer_id"})
+    own = left_lookup(own, customers, {"customer_id": "customer_id"}, keys_from=orders)
     return own.select(
         "order_id", "customer_key", "order_date_key", "customer_geography_key",
         "order_geography_key", F.year("order_date").alias("order_year"),
@@ -106,9 +107,13 @@ def shipment_keys(shipments: DataFrame, dims: dict[str, DataFrame], one_match: b
     """
     own = shipments.select("shipment_id", "ship_date", *_FLAGS)
     dates = dims["dim_date"].select("full_date", F.col("date_key").alias("shipping_date_key"))
-    own = left_lookup(own, dates, {"ship_date": "full_date"})
+    own = left_lookup(own, dates, {"ship_date": "full_date"}, keys_from=shipments)
     own = left_lookup(
-        own, shipping_lookup(dims["dim_shipping"]), {c: c for c in _FLAGS}, null_safe=one_match
+        own,
+        shipping_lookup(dims["dim_shipping"]),
+        {c: c for c in _FLAGS},
+        null_safe=one_match,
+        keys_from=shipments,
     )
     if not one_match:
         return own.select("shipment_id", "shipping_date_key", "shipping_key")
@@ -149,11 +154,9 @@ def order_items(
         F.col("discount_rate").alias("order_item_discount_rate"),
         F.col("profit_ratio").alias("order_item_profit_ratio"),
     )
-    rows = left_lookup(
-        measures, product_lookup(dims["dim_product"], one_match), {"product_id": "product_id"}
-    )
-    rows = left_lookup(rows, by_order, {"order_id": "order_id"})
-    rows = left_lookup(
-        rows, shipment_keys(shipments, dims, one_match), {"order_item_id": "shipment_id"}
-    )
+    products = product_lookup(dims["dim_product"], one_match)
+    by_shipment = shipment_keys(shipments, dims, one_match)
+    rows = left_lookup(measures, products, {"product_id": "product_id"}, keys_from=items)
+    rows = left_lookup(rows, by_order, {"order_id": "order_id"}, keys_from=items)
+    rows = left_lookup(rows, by_shipment, {"order_item_id": "shipment_id"}, keys_from=items)
     return rows.select("order_item_id", *WAREHOUSE["order_items"].fieldNames(), "order_year")

@@ -54,8 +54,12 @@ def fan_out_totals(
     """
     place = ["city", "state", "country"]
 
-    def weight(df: DataFrame, dim: str, on: dict[str, str], name: str) -> DataFrame:
-        found = left_lookup(df, rows_per_key(dims[dim], list(on.values()), name), on)
+    def weight(
+        df: DataFrame, dim: str, on: dict[str, str], name: str, source: DataFrame | None = None
+    ) -> DataFrame:
+        found = left_lookup(
+            df, rows_per_key(dims[dim], list(on.values()), name), on, keys_from=source
+        )
         return found.withColumn(name, F.coalesce(name, F.lit(1)))
 
     at = {f"customer_{c}": c for c in place}
@@ -68,10 +72,11 @@ def fan_out_totals(
         "order_id", "customer_id", "order_date", *[f"order_{c}" for c in place],
         *[c for c in by if c in orders.columns and c not in ("order_id", "order_date")],
     )
-    o = left_lookup(o, customers, {"customer_id": "customer_id"})
-    o = weight(o, "dim_geography", {f"order_{c}": c for c in place}, "w_place")
-    o = weight(o, "dim_date", {"order_date": "full_date"}, "w_date")
-    o = o.withColumn("w_order", F.coalesce("w_customer", F.lit(1)) * F.col("w_place") * F.col("w_date"))
+    o = left_lookup(o, customers, {"customer_id": "customer_id"}, keys_from=orders)
+    o = weight(o, "dim_geography", {f"order_{c}": c for c in place}, "w_place", orders)
+    o = weight(o, "dim_date", {"order_date": "full_date"}, "w_date", orders)
+    w_order = F.coalesce("w_customer", F.lit(1)) * F.col("w_place") * F.col("w_date")
+    o = o.withColumn("w_order", w_order)
     of_order = [c for c in by if c in o.columns and c != "order_id"]
 
     flags = ["shipping_mode", "delivery_status", "delivery_risk"]
@@ -79,17 +84,18 @@ def fan_out_totals(
         "shipment_id", "ship_date", *flags,
         *[c for c in by if c in shipments.columns and c not in ("ship_date", *flags)],
     )
-    s = weight(s, "dim_date", {"ship_date": "full_date"}, "w_date")
-    s = weight(s, "dim_shipping", {c: c for c in flags}, "w_flags")
+    s = weight(s, "dim_date", {"ship_date": "full_date"}, "w_date", shipments)
+    s = weight(s, "dim_shipping", {c: c for c in flags}, "w_flags", shipments)
     s = s.withColumn("w_shipment", F.col("w_date") * F.col("w_flags"))
     of_shipment = [c for c in by if c in s.columns and c not in of_order]
 
-    i = items.select("order_item_id", "order_id", "product_id", "quantity", "sales", "discount", "profit")
-    i = weight(i, "dim_product", {"product_id": "product_id"}, "w_product")
-    i = left_lookup(i, o.select("order_id", "w_order", *of_order), {"order_id": "order_id"})
-    i = left_lookup(
-        i, s.select("shipment_id", "w_shipment", *of_shipment), {"order_item_id": "shipment_id"}
-    )
+    measures = ["quantity", "sales", "discount", "profit"]
+    i = items.select("order_item_id", "order_id", "product_id", *measures)
+    i = weight(i, "dim_product", {"product_id": "product_id"}, "w_product", items)
+    by_order = o.select("order_id", "w_order", *of_order)
+    by_shipment = s.select("shipment_id", "w_shipment", *of_shipment)
+    i = left_lookup(i, by_order, {"order_id": "order_id"}, keys_from=items)
+    i = left_lookup(i, by_shipment, {"order_item_id": "shipment_id"}, keys_from=items)
     one = F.lit(1)
     w = F.col("w_product") * F.coalesce("w_order", one) * F.coalesce("w_shipment", one)
     i = i.withColumn("w", w)

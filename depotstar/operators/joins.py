@@ -49,6 +49,7 @@ def left_lookup(
     right: DataFrame,
     on: dict[str, str],
     null_safe: bool = False,
+    keys_from: DataFrame | None = None,
     floor: int | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
@@ -57,6 +58,9 @@ def left_lookup(
     A right side under the session's broadcast limit is left to Spark, which then moves no left row.
     Otherwise, if the left side is large and has hot keys, their rows are spread over `salts` tasks
     and only the right rows of those keys are repeated. The result is that of the plain join.
+
+    Hot keys are looked for in `keys_from`, if given: the table that brought the key columns into
+    `left`, so that the joins made since need not run for it.
     """
     floor = SKEW_FLOOR if floor is None else floor
     keys = [f"_k{i}" for i in range(len(on))]
@@ -72,7 +76,7 @@ def left_lookup(
     plain = left.join(right, matches(left, right), "left").drop(*keys)
     if estimated_bytes(right) <= broadcast_limit(left) or source_bytes(left) < floor:
         return plain
-    hot = hot_keys(left, list(on))
+    hot = hot_keys(left if keys_from is None else keys_from, list(on))
     if not hot:
         return plain
 
@@ -102,3 +106,18 @@ def _is_one_of(columns: list[Column], keys: list[tuple]) -> Column:
         if None in k
     ]
     return reduce(or_, tests)
+
+
+def matching(
+    left: DataFrame,
+    right: DataFrame,
+    on: dict[str, str],
+    negate: bool = False,
+    keys_from: DataFrame | None = None,
+    floor: int | None = None,
+) -> DataFrame:
+    """Left rows whose key is among the right ones, or with `negate` those whose key is not."""
+    found = right.select(*on.values()).distinct().withColumn("_found", F.lit(True))
+    marked = left_lookup(left, found, on, keys_from=keys_from, floor=floor)
+    kept = F.col("_found").isNull() if negate else F.col("_found").isNotNull()
+    return marked.where(kept).drop("_found")

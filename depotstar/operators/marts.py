@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depotstar.functions import percent
+from depotstar.operators.joins import matching
 
 # Fact column -> (dimension, its key, columns offered with a prefix where roles repeat).
 ROLES = {
@@ -77,8 +78,9 @@ def filter_fact(
     if years and "order_year" in fact.columns:
         fact = fact.where(F.col("order_year").isin(years))
     for name, tests in _conditions(equals or {}, one_of or {}, contains or {}).items():
-        kept = role(star, name).where(reduce(and_, tests)).select(ROLES[name][0])
-        fact = fact.join(kept, ROLES[name][0], "left_semi")
+        key = ROLES[name][0]
+        kept = role(star, name).where(reduce(and_, tests))
+        fact = matching(fact, kept, {key: key}, keys_from=star["order_items"])
     return fact
 
 
@@ -95,7 +97,7 @@ def entitled_fact(
     )
     dim = role(star, name)
     keys = dim.join(allowed, dim[f"`{on}`"] == allowed["_allowed"], "left_semi")
-    return star["order_items"].join(keys.select(ROLES[name][0]), ROLES[name][0], "left_semi")
+    return matching(star["order_items"], keys, {ROLES[name][0]: ROLES[name][0]})
 
 
 def grouped_measures(

@@ -26,6 +26,7 @@ from depotstar.operators import (
     summary,
 )
 from depotstar.operators.fact import order_items
+from depotstar.operators.joins import left_lookup
 from depotstar.operators.sets import union_all
 from depotstar.plans.warehouse import build_dimensions, keyed, temporary_star
 from depotstar.schemas import STAR_FOREIGN_KEYS, WAREHOUSE, conform, text_limit
@@ -424,7 +425,7 @@ def check_audit(spark: SparkSession, folder: str) -> DataFrame:
     orders = standin.orders(spark, folder)
     lines = standin.table(spark, folder, "lineitem")
     dates = standin.table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
-    dated = lines.join(dates, lines["l_orderkey"] == dates["o_orderkey"], "left")
+    dated = left_lookup(lines, dates, {"l_orderkey": "o_orderkey"})
     rules = {
         "stg_oms_orders": constraints.TableRules(
             not_null=["order_id", "customer_id", "customer_lname"],

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from depotstar.functions import parse_date, strip, to_number
+from depotstar.functions.sqltext import name
 from depotstar.functions.values import SOURCE_DATE_FORMAT
 from depotstar.layouts import read_layout
 
@@ -164,11 +165,12 @@ def conform(
     have = {f.name: f.dataType for f in df.schema.fields}
 
     def column(f: T.StructField) -> Column:
-        if f.name in have:
-            c = assign(F.col(f"`{f.name}`"), have[f.name], f.dataType, date_format)
-        else:
+        if f.name not in have:
             d = defaults.get(f.name)
-            c = (d if isinstance(d, Column) else F.lit(d)).cast(f.dataType)
-        return c.alias(f.name)
+            return (d if isinstance(d, Column) else F.lit(d)).cast(f.dataType).alias(f.name)
+        c = F.col(name(f.name))
+        if have[f.name] == f.dataType:
+            return c
+        return assign(c, have[f.name], f.dataType, date_format).alias(f.name)
 
     return df.select([column(f) for f in schema.fields])

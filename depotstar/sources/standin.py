@@ -11,6 +11,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from depotstar.operators.joins import left_lookup
 from depotstar.operators.staging import conform_staging
 
 # Number of each product type, and delivery status by return flag.
@@ -41,7 +42,7 @@ def item_id() -> Column:
         "l_linenumber",
         "l_partkey",
         "l_suppkey",
-        F.date_format("l_shipdate", "yyyy-MM-dd"),
+        F.to_date("l_shipdate").cast("string"),
     )
 
 
@@ -62,21 +63,18 @@ def _unique(df: DataFrame, key: str) -> DataFrame:
 
 def orders(spark: SparkSession, folder: str, now: datetime | None = None) -> DataFrame:
     """`stg_oms_orders`: one row per order, placed where its customer lives."""
-    o, c, p = table(spark, folder, "orders"), table(spark, folder, "customer"), places(spark, folder)
-    rows = (
-        o.join(c, o["o_custkey"] == c["c_custkey"], "left")
-        .join(p, c["c_nationkey"] == p["n_nationkey"], "left")
-        .select(
-            F.col("o_orderkey").cast("string").alias("order_id"),
-            F.col("o_custkey").alias("customer_id"),
-            F.col("c_name").alias("customer_fname"),
-            F.col("c_mktsegment").alias("customer_segment"),
-            F.col("n_name").alias("order_city"),
-            F.col("n_name").alias("order_state"),
-            F.col("r_name").alias("order_country"),
-            F.to_date("o_orderdate").alias("order_date"),
-            F.col("o_orderstatus").alias("order_status"),
-        )
+    o, c = table(spark, folder, "orders"), table(spark, folder, "customer")
+    known = left_lookup(o, c, {"o_custkey": "c_custkey"})
+    rows = left_lookup(known, places(spark, folder), {"c_nationkey": "n_nationkey"}, keys_from=c).select(
+        F.col("o_orderkey").cast("string").alias("order_id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("c_name").alias("customer_fname"),
+        F.col("c_mktsegment").alias("customer_segment"),
+        F.col("n_name").alias("order_city"),
+        F.col("n_name").alias("order_state"),
+        F.col("r_name").alias("order_country"),
+        F.to_date("o_orderdate").alias("order_date"),
+        F.col("o_orderstatus").alias("order_status"),
     )
     return conform_staging(rows, "stg_oms_orders", now)
 
@@ -105,22 +103,20 @@ def item_measures() -> dict[str, Column]:
 
 def _joined(spark: SparkSession, folder: str, needs: set[str]) -> DataFrame:
     """lineitem with those of its related tables that are needed."""
-    df = table(spark, folder, "lineitem")
+    lines = df = table(spark, folder, "lineitem")
     if "part" in needs:
-        p = table(spark, folder, "part")
-        df = df.join(p, df["l_partkey"] == p["p_partkey"], "left")
+        df = left_lookup(df, table(spark, folder, "part"), {"l_partkey": "p_partkey"})
     if needs & {"orders", "customer", "places"}:
         o = table(spark, folder, "orders")
-        df = df.join(o, df["l_orderkey"] == o["o_orderkey"], "left")
+        df = left_lookup(df, o, {"l_orderkey": "o_orderkey"}, keys_from=lines)
     if needs & {"customer", "places"}:
         c = table(spark, folder, "customer")
-        df = df.join(c, df["o_custkey"] == c["c_custkey"], "left")
+        df = left_lookup(df, c, {"o_custkey": "c_custkey"}, keys_from=o)
     if "places" in needs:
-        p = places(spark, folder)
-        df = df.join(p, df["c_nationkey"] == p["n_nationkey"], "left")
+        df = left_lookup(df, places(spark, folder), {"c_nationkey": "n_nationkey"}, keys_from=c)
     if "supplier" in needs:
         s = table(spark, folder, "supplier")
-        df = df.join(s, df["l_suppkey"] == s["s_suppkey"], "left")
+        df = left_lookup(df, s, {"l_suppkey": "s_suppkey"}, keys_from=lines)
     return df
 
 
@@ -171,7 +167,7 @@ def items(spark: SparkSession, folder: str, now: datetime | None = None) -> Data
     l, p = table(spark, folder, "lineitem"), table(spark, folder, "part")
     type_number = _choice(F.col("p_type"), TYPE_NUMBERS)
     brand_number = F.regexp_extract("p_brand", r"(\d+)", 1).cast("int")
-    rows = l.join(p, l["l_partkey"] == p["p_partkey"], "left").select(
+    rows = left_lookup(l, p, {"l_partkey": "p_partkey"}).select(
         item_id().alias("order_item_id"),
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
@@ -194,23 +190,20 @@ def shipments(spark: SparkSession, folder: str, now: datetime | None = None) ->
     s = _unique(table(spark, folder, "supplier").select("s_suppkey", "s_nationkey"), "s_suppkey")
     nation = F.col("s_nationkey")
     known = nation % 5 != 0
-    rows = (
-        l.join(s, l["l_suppkey"] == s["s_suppkey"], "left")
-        .join(p, nation == p["n_nationkey"], "left")
-        .join(o, l["l_orderkey"] == o["o_orderkey"], "left")
-        .select(
-            item_id().alias("shipment_id"),
-            F.col("l_orderkey").cast("string").alias("order_id"),
-            F.col("o_orderpriority").alias("shipping_mode"),
-            F.to_date("l_shipdate").alias("ship_date"),
-            _choice(F.col("l_returnflag"), DELIVERY_STATUS).alias("delivery_status"),
-            F.when(F.col("l_linestatus") == "O", "1").otherwise("0").alias("delivery_risk"),
-            F.col("n_name").alias("ship_city"),
-            F.col("n_name").alias("ship_state"),
-            F.col("r_name").alias("ship_country"),
-            F.when(known, (nation * 1.5 - 20).cast(PLACE)).alias("latitude"),
-            F.when(known, (nation * 2.25 - 30).cast(PLACE)).alias("longitude"),
-        )
+    rows = left_lookup(l, s, {"l_suppkey": "s_suppkey"})
+    rows = left_lookup(rows, p, {"s_nationkey": "n_nationkey"}, keys_from=s)
+    rows = left_lookup(rows, o, {"l_orderkey": "o_orderkey"}, keys_from=l).select(
+        item_id().alias("shipment_id"),
+        F.col("l_orderkey").cast("string").alias("order_id"),
+        F.col("o_orderpriority").alias("shipping_mode"),
+        F.to_date("l_shipdate").alias("ship_date"),
+        _choice(F.col("l_returnflag"), DELIVERY_STATUS).alias("delivery_status"),
+        F.when(F.col("l_linestatus") == "O", "1").otherwise("0").alias("delivery_risk"),
+        F.col("n_name").alias("ship_city"),
+        F.col("n_name").alias("ship_state"),
+        F.col("r_name").alias("ship_country"),
+        F.when(known, (nation * 1.5 - 20).cast(PLACE)).alias("latitude"),
+        F.when(known, (nation * 2.25 - 30).cast(PLACE)).alias("longitude"),
     )
     return conform_staging(rows, "stg_slms_shipments", now)
 
