@@ -137,6 +137,11 @@ def cleanse(df: DataFrame, steps: list[Step] | None = None) -> DataFrame:
     return reduce(DataFrame.transform, steps or default_steps(), df)
 
 
+def status_counts(df: DataFrame, column: str = "Delivery Status") -> DataFrame:
+    """The values of a categorical column in order, with their counts."""
+    return value_counts(df, column).select("value", "n").orderBy("value")
+
+
 def negative_counts(df: DataFrame) -> DataFrame:
     """One row: negative values per column that should have none."""
     return df.agg(*[F.count_if(number(df, c) < 0).alias(c) for c in _present(df, NON_NEGATIVE_COLUMNS)])

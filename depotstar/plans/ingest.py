@@ -47,6 +47,19 @@ def load_staging(
     return {t: spark.read.schema(s).parquet(f"{path}/{t}") for t, s in STAGING.items()}
 
 
+def load_staging_version(
+    spark: SparkSession,
+    csv: str,
+    root: str,
+    encoding: str = "ISO-8859-1",
+    date_format: str = SOURCE_DATE_FORMAT,
+    now: datetime | None = None,
+) -> int:
+    """As `load_staging`, but into a new version that readers see once all three tables are there."""
+    flat = stage(read_for_staging(spark, csv, encoding, date_format), "flat")
+    return tables.write_version(spark, root, stage_all(flat, FILE_ORDER, now))
+
+
 def load_sources(
     spark: SparkSession, csv: str, path: str, encoding: str = "ISO-8859-1"
 ) -> dict[str, DataFrame]:

@@ -497,6 +497,15 @@ SELECT lookup, count(*) AS lookup_keys, count(*) FILTER (WHERE n > 1) AS repeate
 WITH {_STAGING},{_LINES}
 SELECT department_name, CAST(year(order_date) AS INTEGER) AS year, {_MEASURES}
 FROM lines GROUP BY 1, 2""",
+    "star_products": f"""
+WITH {_STAGING},{_LINES}
+SELECT product_name, {_MEASURES}, {_percent("sum(profit)", "sum(sales)")} AS margin_pct
+FROM lines GROUP BY 1""",
+    "star_calendar": f"""
+WITH {_STAGING},{_LINES}
+SELECT CAST(year(order_date) AS INTEGER) AS year, CAST(month(order_date) AS INTEGER) AS month,
+       isodow(ship_date) IN (6, 7) AS ship_weekend, {_MEASURES}
+FROM lines GROUP BY 1, 2, 3""",
     "star_filtered": f"""
 WITH {_STAGING},{_LINES}
 SELECT order_country AS country, CAST(quarter(order_date) AS INTEGER) AS quarter, {_MEASURES}
@@ -593,6 +602,8 @@ FROM (SELECT DISTINCT * FROM dirty)""",
     "dedupe_keep_first": f"""
 SELECT l_orderkey, l_partkey AS partkey, l_suppkey AS suppkey, l_quantity, l_extendedprice
 FROM ({_FIRST_LINE})""",
+    "status_counts": f"""
+WITH {_CLEANED} SELECT delivery_status AS value, count(*) AS n FROM cleaned GROUP BY 1""",
     "quality_score": f"""
 WITH {_CLEANED}
 SELECT data_quality_score, count(*) AS n,

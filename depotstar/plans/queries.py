@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from depotstar.functions import percent
 from depotstar.layouts import read_layout
 from depotstar.operators import (
     change,
@@ -39,7 +40,7 @@ NOW = datetime(2024, 1, 1)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_stars: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_built: dict[tuple[str, str, str], dict[str, DataFrame]] = {}
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -154,19 +155,34 @@ def inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, Data
     )
 
 
+def _once(
+    spark: SparkSession, folder: str, what: str, build: Callable[[], dict[str, DataFrame]]
+) -> dict[str, DataFrame]:
+    """Tables built once per application and folder, as any warehouse is before it is read."""
+    at = (spark.sparkContext.applicationId, folder, what)
+    if at not in _built:
+        _built[at] = build()
+    return _built[at]
+
+
 def star_for(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The star of a folder, built once per application as any warehouse is before it is read."""
-    at = (spark.sparkContext.applicationId, folder)
-    if at not in _stars:
-        _stars[at] = temporary_star(*inputs(spark, folder))
-    return _stars[at]
+    return _once(spark, folder, "star", lambda: temporary_star(*inputs(spark, folder)))
+
+
+def all_matches_for(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Dimensions whose lookups of each other find every match."""
+
+    def build() -> dict[str, DataFrame]:
+        path = fresh_path(spark, "dims")
+        return build_dimensions(*inputs(spark, folder), path, one_match=False)
+
+    return _once(spark, folder, "all matches", build)
 
 
 def fact_one_match(spark: SparkSession, folder: str) -> DataFrame:
-    """Build dimensions and fact anew; each key is shown as what it stands for."""
-    staging = inputs(spark, folder)
-    star = build_dimensions(*staging, fresh_path(spark, "dims"))
-    fact = order_items(*staging, star)
+    """The fact computed from staging; each key is shown as what it stands for."""
+    star = star_for(spark, folder)
+    fact = order_items(*inputs(spark, folder), star)
     attributes = {
         "customer": ["customer_id"],
         "product": ["product_id", "category_name", "department_name"],
@@ -188,7 +204,7 @@ def fact_one_match(spark: SparkSession, folder: str) -> DataFrame:
 def fact_as_written(spark: SparkSession, folder: str) -> DataFrame:
     """Size and sums of the fact that plain joins to all dimensions give."""
     items, orders, shipments = inputs(spark, folder)
-    star = build_dimensions(items, orders, shipments, fresh_path(spark, "dims"), one_match=False)
+    star = all_matches_for(spark, folder)
     by = ["shipping_mode", "order_status"]
     return portable(fanout.fan_out_totals(items, orders, shipments, star, by))
 
@@ -213,6 +229,22 @@ def star_revenue(spark: SparkSession, folder: str) -> DataFrame:
     return portable(marts.grouped_measures(star_for(spark, folder), by))
 
 
+def star_products(spark: SparkSession, folder: str) -> DataFrame:
+    """Measures and margin per product name."""
+    found = marts.grouped_measures(star_for(spark, folder), {"product_name": "product.product_name"})
+    return portable(found.withColumn("margin_pct", percent(F.col("profit"), F.col("sales"))))
+
+
+def star_calendar(spark: SparkSession, folder: str) -> DataFrame:
+    """Measures by order month and whether the goods left on a weekend."""
+    by = {
+        "year": "order_date.year",
+        "month": "order_date.month_number",
+        "ship_weekend": "ship_date.is_weekend",
+    }
+    return portable(marts.grouped_measures(star_for(spark, folder), by))
+
+
 def star_filtered(spark: SparkSession, folder: str) -> DataFrame:
     star = star_for(spark, folder)
     fact = marts.filter_fact(
@@ -362,6 +394,11 @@ def quality_score(spark: SparkSession, folder: str) -> DataFrame:
     return cleanse.score_distribution(_cleaned(spark, folder))
 
 
+def status_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The trimmed delivery statuses in order, with their counts."""
+    return cleanse.status_counts(_cleaned(spark, folder))
+
+
 def cleaning_report(spark: SparkSession, folder: str) -> DataFrame:
     dirty = standin.dirty_orders(spark, folder)
     cleaned = stage(_cleaned(spark, folder), "cleaned")
@@ -611,12 +648,12 @@ QUERIES: dict[str, Query] = {
         dim_department, dim_category, dim_product, dim_customer, dim_geography, dim_date,
         dim_shipping, surrogate_keys,
         fact_one_match, fact_as_written, fact_fanout,
-        star_revenue, star_filtered, star_entitled, late_by_mode, discount_effect,
+        star_revenue, star_products, star_calendar, star_filtered, star_entitled, late_by_mode, discount_effect,
         eda_totals, eda_top_products, eda_top_contribution, eda_status_share, eda_late_risk,
         eda_market_sales,
         describe_numeric, describe_categorical, null_profile, frame_shape, impute,
-        clean_orders, dedupe_rows, dedupe_keep_first, quality_score, cleaning_report,
-        cleaning_warnings, validation_checks, validation_verdict,
+        clean_orders, dedupe_rows, dedupe_keep_first, status_counts, quality_score,
+        cleaning_report, cleaning_warnings, validation_checks, validation_verdict,
         fk_audit, check_audit, unique_audit, retail_audit, delete_actions, delete_restricted,
         scd2_customer, scd2_snapshot, upsert_customer,
         incremental_orders, incremental_events, csv_round_trip,

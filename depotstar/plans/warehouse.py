@@ -107,6 +107,13 @@ def build_star_version(
     return version
 
 
+def empty_star(spark: SparkSession, root: str) -> int:
+    """A version of the warehouse with all eight tables and no rows."""
+    return tables.write_version(
+        spark, root, {t: spark.createDataFrame([], s) for t, s in WAREHOUSE.items()}
+    )
+
+
 def temporary_star(
     items: DataFrame, orders: DataFrame, shipments: DataFrame, one_match: bool = True
 ) -> dict[str, DataFrame]:

@@ -9,7 +9,7 @@ from depotstar.operators import cleanse
 from depotstar.operators.cleanse import Cleaner, default_steps
 from depotstar.operators.reshape import SOURCE_ORDERS, SOURCE_SHIPPING
 from depotstar.plans import ingest, review
-from depotstar.plans.warehouse import build_star_version
+from depotstar.plans.warehouse import build_star_version, empty_star
 from depotstar.schemas import STAGING
 from depotstar.sources import csv, tables
 
@@ -84,6 +84,16 @@ def test_staging_load(spark, tmp_path):
     assert tables.read_version(spark, root, "dim_date").count() == 2
 
 
+def test_versioned_staging_feeds_the_warehouse(spark, tmp_path):
+    path = write(tmp_path / "in.csv", [line(), line(**{"Order Item Id": "2"})])
+    staging, root = str(tmp_path / "staging"), str(tmp_path / "dwh")
+    assert empty_star(spark, root) == 1
+    assert tables.read_version(spark, root, "order_items").count() == 0
+    version = ingest.load_staging_version(spark, path, staging)
+    assert build_star_version(spark, tables.version_path(staging, version), root) == 2
+    assert tables.read_version(spark, root, "order_items").count() == 2
+
+
 def test_empty_staging(spark, tmp_path):
     ingest.empty_staging(spark, str(tmp_path))
     assert spark.read.parquet(f"{tmp_path}/stg_oms_orders").count() == 0
