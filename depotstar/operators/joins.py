@@ -74,9 +74,10 @@ def left_lookup(
         return reduce(and_, pairs)
 
     plain = left.join(right, matches(left, right), "left").drop(*keys)
-    if estimated_bytes(right) <= broadcast_limit(left) or source_bytes(left) < floor:
+    source = left if keys_from is None else keys_from
+    if source_bytes(source) < floor or estimated_bytes(right) <= broadcast_limit(left):
         return plain
-    hot = hot_keys(left if keys_from is None else keys_from, list(on))
+    hot = hot_keys(source, list(on))
     if not hot:
         return plain
 

@@ -81,7 +81,7 @@ def source_bytes(df: DataFrame) -> int:
     For a chain of lookups this tells the size of the result better than the estimate, which
     multiplies the sizes of the two sides of each join.
     """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
     sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
     return max(sizes, default=0)
 
