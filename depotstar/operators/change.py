@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from depotstar.operators.dedupe import first_match
+from depotstar.operators.joins import matching
+from depotstar.operators.keys import assign_keys
 
 # Fixed value: the end date of a row that is still valid.
 OPEN_END = date(9999, 12, 31)
@@ -28,6 +30,16 @@ def new_keys(batch: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
     return batch.join(target.select(*key), key, "left_anti").select(*batch.columns)
 
 
+def extend_dimension(
+    dim: DataFrame, rows: DataFrame, natural_key: list[str], key: str
+) -> DataFrame:
+    """The dimension with the rows it lacks, numbered after its greatest key; its keys stay."""
+    fresh = matching(rows, dim, {c: c for c in natural_key}, negate=True, null_safe=True)
+    last = dim.agg(F.coalesce(F.max(key), F.lit(0))).scalar()
+    numbered = assign_keys(fresh, natural_key, key).withColumn(key, F.col(key) + last)
+    return dim.unionByName(numbered, allowMissingColumns=True)
+
+
 def with_open_history(df: DataFrame, effective: Column) -> DataFrame:
     """History columns of a first load: every row is version 1 and open."""
     return df.withColumns(

@@ -114,11 +114,12 @@ def matching(
     right: DataFrame,
     on: dict[str, str],
     negate: bool = False,
+    null_safe: bool = False,
     keys_from: DataFrame | None = None,
     floor: int | None = None,
 ) -> DataFrame:
     """Left rows whose key is among the right ones, or with `negate` those whose key is not."""
     found = right.select(*on.values()).distinct().withColumn("_found", F.lit(True))
-    marked = left_lookup(left, found, on, keys_from=keys_from, floor=floor)
+    marked = left_lookup(left, found, on, null_safe, keys_from, floor)
     kept = F.col("_found").isNull() if negate else F.col("_found").isNotNull()
     return marked.where(kept).drop("_found")

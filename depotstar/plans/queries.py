@@ -615,6 +615,25 @@ def incremental_events(spark: SparkSession, folder: str) -> DataFrame:
     return loaded.select("user_id", "event_id", "event_type", "value")
 
 
+def incremental_star(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines streamed into a star; its revenue by department and year."""
+    _, orders, shipments = inputs(spark, folder)
+    part = standin.table(spark, folder, "part")
+    star = incremental.refresh_star_new(
+        spark,
+        folder,
+        _stream_schema(spark, folder, "lineitem"),
+        orders,
+        shipments,
+        fresh_path(spark, "live_star"),
+        fresh_path(spark, "live_checkpoint"),
+        prepare=lambda lines: standin.items_of(lines, part, NOW),
+        pattern="lineitem.parquet",
+    )
+    by = {"department_name": "product.department_name", "year": "order_date.year"}
+    return portable(marts.grouped_measures(star, by))
+
+
 def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines written as flat CSV, read back in file order, and staged as orders."""
     wanted = [
@@ -656,6 +675,6 @@ QUERIES: dict[str, Query] = {
         cleaning_report, cleaning_warnings, validation_checks, validation_verdict,
         fk_audit, check_audit, unique_audit, retail_audit, delete_actions, delete_restricted,
         scd2_customer, scd2_snapshot, upsert_customer,
-        incremental_orders, incremental_events, csv_round_trip,
+        incremental_orders, incremental_events, incremental_star, csv_round_trip,
     ]
 }

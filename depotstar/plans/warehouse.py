@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from depotstar.operators import dims as d
+from depotstar.operators.change import extend_dimension
 from depotstar.operators.fact import order_items
 from depotstar.operators.keys import assign_keys
 from depotstar.schemas import STAGING, WAREHOUSE
-from depotstar.session import fresh_path, together
+from depotstar.session import fresh_path, stage, together
 from depotstar.sources import tables
 
 FACT = "order_items"
@@ -22,28 +23,23 @@ def keyed(rows: DataFrame, table: str) -> DataFrame:
     return d.to_layout(assign_keys(rows, d.NATURAL_KEYS[table], key), table)
 
 
-def build_dimensions(
+def _dimension_frames(
     items: DataFrame,
     orders: DataFrame,
     shipments: DataFrame,
-    path: str,
-    one_match: bool = True,
+    one_match: bool,
+    number: Callable[[DataFrame, str], DataFrame],
 ) -> dict[str, DataFrame]:
-    """Write the dimensions below `path` and return them as read back.
-
-    Independent dimensions are built at the same time. Read back from files, a dimension has a
-    known size: Spark broadcasts those under the session's limit and shuffles for the others.
-    """
-    spark = items.sparkSession
+    """All dimensions, given keys by `number(rows, table)`; independent ones at the same time."""
 
     def products() -> dict[str, DataFrame]:
-        department = keyed(d.department_rows(items), "dim_department")
-        category = keyed(d.category_rows(items, department, one_match), "dim_category")
-        product = keyed(d.product_rows(items, category, one_match), "dim_product")
+        department = number(d.department_rows(items), "dim_department")
+        category = number(d.category_rows(items, department, one_match), "dim_category")
+        product = number(d.product_rows(items, category, one_match), "dim_product")
         return {"dim_department": department, "dim_category": category, "dim_product": product}
 
     def single(table: str, rows: DataFrame) -> Callable[[], dict[str, DataFrame]]:
-        return lambda: {table: keyed(rows, table)}
+        return lambda: {table: number(rows, table)}
 
     built = together(
         products,
@@ -52,7 +48,23 @@ def build_dimensions(
         single("dim_date", d.date_rows(orders, shipments)),
         single("dim_shipping", d.shipping_rows(shipments)),
     )
-    frames = {t: df for part in built for t, df in part.items()}
+    return {t: df for part in built for t, df in part.items()}
+
+
+def build_dimensions(
+    items: DataFrame,
+    orders: DataFrame,
+    shipments: DataFrame,
+    path: str,
+    one_match: bool = True,
+) -> dict[str, DataFrame]:
+    """Write the dimensions below `path` and return them as read back.
+
+    Read back from files, a dimension has a known size: Spark broadcasts those under the session's
+    limit and shuffles for the others.
+    """
+    spark = items.sparkSession
+    frames = _dimension_frames(items, orders, shipments, one_match, keyed)
 
     def write(table: str) -> Callable[[], None]:
         return lambda: tables.replace(frames[table], f"{path}/{table}")
@@ -107,6 +119,42 @@ def build_star_version(
     return version
 
 
+def refresh_star(
+    items: DataFrame, orders: DataFrame, shipments: DataFrame, root: str
+) -> dict[str, DataFrame]:
+    """Bring a star up to date with new or changed `items`; orders and shipments are whole tables.
+
+    Dimensions keep their keys and gain the rows they lack, in a new version below `root/dims`. The
+    fact below `root` is then upserted by `order_item_id`, order years without a change untouched.
+    At any moment the keys of the fact are found in the newest dimensions.
+    """
+    spark = items.sparkSession
+    dims_root = f"{root}/dims"
+    known = bool(tables.versions(spark, dims_root))
+
+    def grown(rows: DataFrame, table: str) -> DataFrame:
+        if not known:
+            return keyed(rows, table)
+        old = tables.read_version(spark, dims_root, table)
+        key = d.SURROGATE_KEYS[table]
+        return d.to_layout(extend_dimension(old, rows, d.NATURAL_KEYS[table], key), table)
+
+    frames = _dimension_frames(items, orders, shipments, True, grown)
+    version = tables.write_version(spark, dims_root, frames)
+    star = {t: tables.read_version(spark, dims_root, t, version) for t in frames}
+    batch = stage(order_items(items, orders, shipments, star), "fact_batch")
+    tables.upsert_partitions(batch, f"{root}/{FACT}", ["order_item_id"], "order_year")
+    star[FACT] = spark.read.schema(batch.schema).parquet(f"{root}/{FACT}")
+    return star
+
+
+def read_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The star that `refresh_star` keeps below `root`."""
+    names = d.SURROGATE_KEYS
+    star = {t: tables.read_version(spark, f"{root}/dims", t) for t in names}
+    return {**star, FACT: tables.read(spark, f"{root}/{FACT}")}
+
+
 def empty_star(spark: SparkSession, root: str) -> int:
     """A version of the warehouse with all eight tables and no rows."""
     return tables.write_version(

@@ -164,7 +164,11 @@ def flat_lines(spark: SparkSession, folder: str, columns: list[str]) -> DataFram
 
 def items(spark: SparkSession, folder: str, now: datetime | None = None) -> DataFrame:
     """`stg_oms_order_items`: the category is the (brand, type) pair, the department the type."""
-    l, p = table(spark, folder, "lineitem"), table(spark, folder, "part")
+    return items_of(table(spark, folder, "lineitem"), table(spark, folder, "part"), now)
+
+
+def items_of(l: DataFrame, p: DataFrame, now: datetime | None = None) -> DataFrame:
+    """As `items`, of given lines and parts."""
     type_number = _choice(F.col("p_type"), TYPE_NUMBERS)
     brand_number = F.regexp_extract("p_brand", r"(\d+)", 1).cast("int")
     rows = left_lookup(l, p, {"l_partkey": "p_partkey"}).select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from depotstar.operators import dims, fanout, marts
 from depotstar.operators.fact import order_items
 from depotstar.operators.staging import conform_staging
-from depotstar.plans.warehouse import build_star, keyed
+from depotstar.plans.warehouse import build_star, keyed, read_star, refresh_star
 from depotstar.schemas import WAREHOUSE
 
 D = Decimal
@@ -236,3 +236,37 @@ def test_marts(spark, stars, rows):
     assert late == {"Air": (3, 3, 100.0), "Sea": (1, 0, 0.0), None: (3, 0, 0.0)}
     effect = {r.order_item_discount_rate: r.sales for r in marts.discount_effect(star).collect()}
     assert effect[D("0.10")] == D("10.00")
+
+
+def test_refresh_gives_the_star_of_a_full_build(spark, inputs, rows, tmp_path):
+    items, orders, shipments = inputs
+    root = str(tmp_path / "live")
+    first = items.where("order_item_id IN ('a', 'c', 'd')")
+    star = refresh_star(first, orders, shipments, root)
+    assert sorted(r.order_item_id for r in star["order_items"].collect()) == ["a", "c", "d"]
+    before = rows(star["dim_product"])
+
+    # Item a changes and moves to an order of another year, the others are new.
+    moved = items.where("order_item_id <> 'a'").unionByName(
+        items.where("order_item_id = 'a'").withColumns({"order_id": F.lit("11"), "sales": F.lit(D("77.00"))})
+    ).where("order_item_id NOT IN ('c', 'd')")
+    for _ in range(2):
+        star = refresh_star(moved, orders, shipments, root)
+        assert set(before) <= set(rows(star["dim_product"]))
+        whole = items.where("order_item_id IN ('c', 'd')").unionByName(moved)
+        full = build_star(whole, orders, shipments, str(tmp_path / "full"))
+        for name in ("product", "customer", "order_geography", "order_date", "ship_date", "shipping"):
+            assert rows(resolved(star, name)) == rows(resolved(full, name)), name
+        for table, key in dims.SURROGATE_KEYS.items():
+            got = sorted(r[0] for r in star[table].select(key).collect())
+            assert got == list(range(1, len(got) + 1)), table
+    assert rows(read_star(spark, root)["order_items"].select("order_item_id", "sales", "order_year")) == rows(
+        star["order_items"].select("order_item_id", "sales", "order_year")
+    )
+
+
+def resolved(star, name):
+    dim = marts.role(star, name)
+    shown = [F.col(f"`{c}`") for c in dim.columns if c.startswith(f"{name}.") and not c.endswith("_key")]
+    joined = star["order_items"].join(dim, marts.ROLES[name][0], "left")
+    return joined.select("order_item_id", "sales", *shown)
