@@ -116,7 +116,9 @@ def apply_snapshot(
     ends = F.col("_closed") & F.col("is_current")
     old = closing.withColumns(
         {
-            "expiry_date": F.when(ends, F.date_sub(F.lit(as_of), 1)).otherwise(F.col("expiry_date")),
+            "expiry_date": F.when(ends, F.date_sub(F.lit(as_of), 1)).otherwise(
+                F.col("expiry_date")
+            ),
             "is_current": F.col("is_current") & F.col("_closed").isNull(),
         }
     )

@@ -60,7 +60,12 @@ def standard_checks(df: DataFrame) -> list[Check]:
         if c in have
     ]
     checks += [
-        Check(f"Non-negative '{c}'", F.count_if(number(df, c) < 0), warning=True, fail="negative values")
+        Check(
+            f"Non-negative '{c}'",
+            F.count_if(number(df, c) < 0),
+            warning=True,
+            fail="negative values",
+        )
         for c in NON_NEGATIVE
         if c in have
     ]

@@ -144,7 +144,8 @@ def status_counts(df: DataFrame, column: str = "Delivery Status") -> DataFrame:
 
 def negative_counts(df: DataFrame) -> DataFrame:
     """One row: negative values per column that should have none."""
-    return df.agg(*[F.count_if(number(df, c) < 0).alias(c) for c in _present(df, NON_NEGATIVE_COLUMNS)])
+    found = _present(df, NON_NEGATIVE_COLUMNS)
+    return df.agg(*[F.count_if(number(df, c) < 0).alias(c) for c in found])
 
 
 def invalid_dates(df: DataFrame) -> DataFrame:

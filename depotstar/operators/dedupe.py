@@ -22,6 +22,18 @@ def count_duplicates(df: DataFrame, name: str = "duplicate_rows") -> DataFrame:
     return duplicate_rows(df).agg(F.coalesce(F.sum("surplus"), F.lit(0)).alias(name))
 
 
+def row_census(df: DataFrame) -> DataFrame:
+    """One row: rows, distinct rows and surplus copies, from one grouping."""
+    counted = df.groupBy(*[f"`{c}`" for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+    rows = F.coalesce(F.sum("_n"), F.lit(0))
+    distinct = F.count(F.lit(1))
+    return counted.agg(
+        rows.alias("n_rows"),
+        distinct.alias("distinct_rows"),
+        (rows - distinct).alias("duplicate_rows"),
+    )
+
+
 def keep_first(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """The first row of each key in the given order; the order columns are dropped.
 

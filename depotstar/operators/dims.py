@@ -36,6 +36,18 @@ SURROGATE_KEYS = {
 }
 
 
+def item_attributes(items: DataFrame) -> DataFrame:
+    """What the items say of products, categories and departments, each combination once.
+
+    The three product dimensions can be built from this in place of the items, which are then read
+    and reduced a single time.
+    """
+    return items.select(
+        "product_id", "product_name", "product_card_id", "product_price", "category_id",
+        "category_name", "department_id", "department_name",
+    ).distinct()
+
+
 def department_rows(items: DataFrame) -> DataFrame:
     named = items.where(F.col("department_id").isNotNull())
     return named.select("department_id", "department_name").distinct()

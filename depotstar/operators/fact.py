@@ -63,7 +63,8 @@ def product_lookup(dim_product: DataFrame, one_match: bool) -> DataFrame:
     rows = dim_product.where(F.col("product_id").isNotNull())
     if one_match:
         prefer = ["product_name", "product_card_id", "product_price", "category_key"]
-        rows = first_match(rows.select("product_id", *prefer, "product_key"), ["product_id"], prefer)
+        rows = rows.select("product_id", *prefer, "product_key")
+        rows = first_match(rows, ["product_id"], prefer)
     return rows.select("product_id", "product_key")
 
 

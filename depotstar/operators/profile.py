@@ -154,7 +154,8 @@ def describe_numeric(
     if approximate:
         for name, p in quartiles.items():
             stats[name] = lambda c, p=p: F.percentile_approx(value[c], p, 10000)
-    wide = df.agg(*[f(c).alias(f"{s}_{i}") for i, c in enumerate(columns) for s, f in stats.items()])
+    cells = [f(c).alias(f"{s}_{i}") for i, c in enumerate(columns) for s, f in stats.items()]
+    wide = df.agg(*cells)
     rows = F.array(
         *[
             F.struct(
@@ -167,7 +168,10 @@ def describe_numeric(
     if not approximate:
         found = exact_quantiles(df, columns, list(quartiles.values()))
         found = found.groupBy("column_name").agg(
-            *[F.max(F.when(F.col("point") == p, F.col("quantile"))).alias(s) for s, p in quartiles.items()]
+            *[
+                F.max(F.when(F.col("point") == p, F.col("quantile"))).alias(s)
+                for s, p in quartiles.items()
+            ]
         )
         result = result.join(F.broadcast(found), "column_name", "left")
     return result.select("column_name", "n", "mean", "std", "min", *quartiles, "max")

@@ -55,7 +55,7 @@ def load_staging_version(
     date_format: str = SOURCE_DATE_FORMAT,
     now: datetime | None = None,
 ) -> int:
-    """As `load_staging`, but into a new version that readers see once all three tables are there."""
+    """As `load_staging`, into a new version that readers see once all three tables are there."""
     flat = stage(read_for_staging(spark, csv, encoding, date_format), "flat")
     return tables.write_version(spark, root, stage_all(flat, FILE_ORDER, now))
 

@@ -309,7 +309,9 @@ def _unique(table: str, source: str, key: list[str]) -> str:
     )
 
 
-def _orphans(table: str, column: str, parent: str, key: str, child_sql: str, parent_sql: str) -> str:
+def _orphans(
+    table: str, column: str, parent: str, key: str, child_sql: str, parent_sql: str
+) -> str:
     return _count(
         table, f"{column} -> {parent}.{key}", "FOREIGN KEY", f"{child_sql} AS child",
         f"{column} IS NOT NULL AND NOT EXISTS "

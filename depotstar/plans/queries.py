@@ -106,15 +106,21 @@ def dim_department(spark: SparkSession, folder: str) -> DataFrame:
     return keyed(dims.department_rows(standin.items(spark, folder)), "dim_department")
 
 
+def _categories(seen: DataFrame) -> DataFrame:
+    departments = keyed(dims.department_rows(seen), "dim_department")
+    return keyed(dims.category_rows(seen, departments), "dim_category")
+
+
 def dim_category(spark: SparkSession, folder: str) -> DataFrame:
-    departments = dim_department(spark, folder)
-    return keyed(dims.category_rows(standin.items(spark, folder), departments), "dim_category")
+    named = standin.items(spark, folder).select(
+        "category_id", "category_name", "department_id", "department_name"
+    )
+    return _categories(stage(named.distinct(), "category_names"))
 
 
 def dim_product(spark: SparkSession, folder: str) -> DataFrame:
-    categories = dim_category(spark, folder)
-    rows = dims.product_rows(standin.items(spark, folder), categories)
-    return portable(keyed(rows, "dim_product"))
+    seen = stage(dims.item_attributes(standin.items(spark, folder)), "item_attributes")
+    return portable(keyed(dims.product_rows(seen, _categories(seen)), "dim_product"))
 
 
 def dim_customer(spark: SparkSession, folder: str) -> DataFrame:
@@ -231,7 +237,8 @@ def star_revenue(spark: SparkSession, folder: str) -> DataFrame:
 
 def star_products(spark: SparkSession, folder: str) -> DataFrame:
     """Measures and margin per product name."""
-    found = marts.grouped_measures(star_for(spark, folder), {"product_name": "product.product_name"})
+    by = {"product_name": "product.product_name"}
+    found = marts.grouped_measures(star_for(spark, folder), by)
     return portable(found.withColumn("margin_pct", percent(F.col("profit"), F.col("sales"))))
 
 
@@ -361,15 +368,7 @@ def clean_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 def dedupe_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Rows, distinct rows and surplus copies."""
-    dirty = standin.dirty_orders(spark, folder)
-    return dedupe.count_duplicates(dirty).select(
-        "duplicate_rows",
-        profile.shape(dirty).select("n_rows").scalar().alias("n_rows"),
-        profile.shape(dedupe.drop_duplicate_rows(dirty))
-        .select("n_rows")
-        .scalar()
-        .alias("distinct_rows"),
-    )
+    return dedupe.row_census(standin.dirty_orders(spark, folder))
 
 
 def dedupe_keep_first(spark: SparkSession, folder: str) -> DataFrame:
@@ -411,7 +410,9 @@ def cleaning_warnings(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = _cleaned(spark, folder)
     found = [cleanse.negative_counts(cleaned), cleanse.invalid_dates(cleaned)]
     parts = [
-        f.select(F.lit(c).alias("column_name"), F.lit(kind).alias("kind"), F.col(f"`{c}`").alias("n"))
+        f.select(
+            F.lit(c).alias("column_name"), F.lit(kind).alias("kind"), F.col(f"`{c}`").alias("n")
+        )
         for f, kind in zip(found, ["negative", "invalid date"])
         for c in f.columns
     ]
@@ -421,13 +422,15 @@ def cleaning_warnings(spark: SparkSession, folder: str) -> DataFrame:
 def validation_checks(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = stage(_cleaned(spark, folder), "cleaned")
     found = checks.run_checks(cleaned, checks.standard_checks(cleaned))
-    return found.select("check_name", "severity", "passed", F.round("observed", 6).alias("observed"))
+    observed = F.round("observed", 6).alias("observed")
+    return found.select("check_name", "severity", "passed", observed)
 
 
 def validation_verdict(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = stage(_cleaned(spark, folder), "cleaned")
     found = checks.verdict(checks.run_checks(cleaned, checks.standard_checks(cleaned)))
-    return found.select("*", cleanse.score_summary(cleaned).select("perfect_records").scalar().alias("perfect_records"))
+    perfect = cleanse.score_summary(cleaned).select("perfect_records").scalar()
+    return found.select("*", perfect.alias("perfect_records"))
 
 
 # Audits --------------------------------------------------------------------------------------
@@ -557,7 +560,9 @@ def scd2_snapshot(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.col("c_custkey"))
         .alias("c_custkey"),
         "c_name",
-        F.when(F.col("c_acctbal") < 0, "RISK").otherwise(F.col("c_mktsegment")).alias("c_mktsegment"),
+        F.when(F.col("c_acctbal") < 0, "RISK")
+        .otherwise(F.col("c_mktsegment"))
+        .alias("c_mktsegment"),
     )
     found = change.apply_snapshot(
         dim, moved, ["c_custkey"], ["c_name", "c_mktsegment"], date(2024, 6, 1)
@@ -667,7 +672,8 @@ QUERIES: dict[str, Query] = {
         dim_department, dim_category, dim_product, dim_customer, dim_geography, dim_date,
         dim_shipping, surrogate_keys,
         fact_one_match, fact_as_written, fact_fanout,
-        star_revenue, star_products, star_calendar, star_filtered, star_entitled, late_by_mode, discount_effect,
+        star_revenue, star_products, star_calendar, star_filtered, star_entitled, late_by_mode,
+        discount_effect,
         eda_totals, eda_top_products, eda_top_contribution, eda_status_share, eda_late_risk,
         eda_market_sales,
         describe_numeric, describe_categorical, null_profile, frame_shape, impute,

@@ -33,9 +33,10 @@ def _dimension_frames(
     """All dimensions, given keys by `number(rows, table)`; independent ones at the same time."""
 
     def products() -> dict[str, DataFrame]:
-        department = number(d.department_rows(items), "dim_department")
-        category = number(d.category_rows(items, department, one_match), "dim_category")
-        product = number(d.product_rows(items, category, one_match), "dim_product")
+        seen = stage(d.item_attributes(items), "item_attributes")
+        department = number(d.department_rows(seen), "dim_department")
+        category = number(d.category_rows(seen, department, one_match), "dim_category")
+        product = number(d.product_rows(seen, category, one_match), "dim_product")
         return {"dim_department": department, "dim_category": category, "dim_product": product}
 
     def single(table: str, rows: DataFrame) -> Callable[[], dict[str, DataFrame]]:

@@ -65,7 +65,10 @@ def orders(spark: SparkSession, folder: str, now: datetime | None = None) -> Dat
     """`stg_oms_orders`: one row per order, placed where its customer lives."""
     o, c = table(spark, folder, "orders"), table(spark, folder, "customer")
     known = left_lookup(o, c, {"o_custkey": "c_custkey"})
-    rows = left_lookup(known, places(spark, folder), {"c_nationkey": "n_nationkey"}, keys_from=c).select(
+    placed = left_lookup(
+        known, places(spark, folder), {"c_nationkey": "n_nationkey"}, keys_from=c
+    )
+    rows = placed.select(
         F.col("o_orderkey").cast("string").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("c_name").alias("customer_fname"),

@@ -19,6 +19,8 @@ def test_duplicates(spark, rows):
     assert dedupe.count_duplicates(df).first()[0] == 2
     assert dedupe.count_duplicates(df.limit(0)).first()[0] == 0
     assert rows(dedupe.duplicate_rows(df)) == [(1, None, 2)]
+    assert tuple(dedupe.row_census(df).first()) == (5, 3, 2)
+    assert tuple(dedupe.row_census(df.limit(0)).first()) == (0, 0, 0)
 
 
 def test_keep_first(spark, rows):
