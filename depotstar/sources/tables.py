@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from depotstar.session import together
 from depotstar.sources.files import exists, file_system
 
 _MARK = "_COMPLETE"
@@ -104,8 +106,11 @@ def write_version(spark: SparkSession, root: str, tables: dict[str, DataFrame])
     lost driver is written over, so running the reload again gives the same result.
     """
     version = next_version(spark, root)
-    for name, df in tables.items():
-        replace(df, f"{version_path(root, version)}/{name}")
+
+    def write(name: str) -> Callable[[], None]:
+        return lambda: replace(tables[name], f"{version_path(root, version)}/{name}")
+
+    together(*[write(name) for name in tables])
     finish(spark, root, version)
     return version
 
