@@ -18,7 +18,8 @@ from depotstar.session import stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below 0.7; the model is fitted on the labels of `docs`."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where("toxicity < 0.7").select(*docs.columns)
+    own = "_" + max([*docs.columns, "score"], key=len)  # no column has this name
+    return toxicity.score(docs, model, own).where(F.col(f"`{own}`") < 0.7).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

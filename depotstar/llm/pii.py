@@ -235,10 +235,8 @@ def redact(docs: DataFrame, **finding) -> DataFrame:
 
     Of spans that overlap, the first names the place; a NULL text stays NULL.
     """
-    columns = docs.columns
-    given = docs.withColumn("_null", F.col("text").isNull())
-    others = [c for c in given.columns if c not in ("doc_id", "text")]
-    found = find(given, keep=tuple(others), **finding)
+    given = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    found = find(given, keep=("row",), **finding)
     text = F.expr("""
         aggregate(
             spans, named_struct('at', 0, 'out', cast(array() as array<string>)),
@@ -249,4 +247,7 @@ def redact(docs: DataFrame, **finding) -> DataFrame:
             , s -> concat(array_join(s.out, ''), substring(text, s.at + 1))
         )
     """)
-    return found.withColumn("text", F.when(~F.col("_null"), text)).select(*columns)
+    text = F.when(F.col("row")["text"].isNotNull(), text)
+    return found.select([
+        text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns
+    ])

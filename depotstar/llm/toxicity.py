@@ -195,8 +195,8 @@ def fit(
     return Model({t: float(w[i]) for t, i in vocabulary.items() if abs(w[i]) > 1e-9}, bias)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """All rows and columns of `docs` with `toxicity`, the score of the whole text.
+def score(docs: DataFrame, model: Model, column: str = "toxicity") -> DataFrame:
+    """All rows and columns of `docs` with one more, `column`: the score of the whole text.
 
     A NULL text counts as empty; an empty text gets the score of the bias alone. Rows are neither
     merged nor lost. A column of that name is replaced.
@@ -208,7 +208,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield texts.map(lambda t: model.score((t or "").encode()))
 
     scored = scored.asNondeterministic()  # so that no filter above it runs it twice
-    return docs.withColumn("toxicity", scored(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    return docs.withColumn(column, scored(F.coalesce(F.col("text").cast("string"), F.lit(""))))
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **fitting) -> DataFrame:
