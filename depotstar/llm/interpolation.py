@@ -31,7 +31,7 @@ from .tokens import mix, words
 
 END = np.uint64(0xA5B35705F39C2E17)
 START = np.uint64(0x3C6EF372FE94F82B)
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 RANGE_KEYS = 2_000_000
 BUCKETS = 40
 #: A block's documents are all of one kind.
