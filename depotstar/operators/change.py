@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from depotstar.operators.dedupe import first_match
-from depotstar.operators.joins import matching
-from depotstar.operators.keys import assign_keys
 
 # Fixed value: the end date of a row that is still valid.
 OPEN_END = date(9999, 12, 31)
@@ -30,16 +30,6 @@ def new_keys(batch: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
     return batch.join(target.select(*key), key, "left_anti").select(*batch.columns)
 
 
-def extend_dimension(
-    dim: DataFrame, rows: DataFrame, natural_key: list[str], key: str
-) -> DataFrame:
-    """The dimension with the rows it lacks, numbered after its greatest key; its keys stay."""
-    fresh = matching(rows, dim, {c: c for c in natural_key}, negate=True, null_safe=True)
-    last = dim.agg(F.coalesce(F.max(key), F.lit(0))).scalar()
-    numbered = assign_keys(fresh, natural_key, key).withColumn(key, F.col(key) + last)
-    return dim.unionByName(numbered, allowMissingColumns=True)
-
-
 def with_open_history(df: DataFrame, effective: Column) -> DataFrame:
     """History columns of a first load: every row is version 1 and open."""
     return df.withColumns(
@@ -93,33 +83,50 @@ def apply_snapshot(
     """Add a snapshot to a history: changed keys get a new version, new keys their first.
 
     Keys the snapshot lacks stay as they are. Attributes are compared in full, so no change is
-    missed, and applying the same snapshot again changes nothing.
+    missed, and applying the same snapshot again changes nothing. A second snapshot of a day takes
+    the place of the first: that day's version of a key in it is taken back before. For a key whose
+    history is newer than `as_of`, the snapshot comes too late and changes nothing.
     """
     columns = [*key, *attributes, "effective_date", "expiry_date", "is_current", "version"]
+    day = F.lit(as_of)
     snapshot = first_match(snapshot.select(*key, *attributes), key, attributes)
-    current = dim.where("is_current").select(
-        *key, F.struct(*attributes).alias("_old"), F.col("version").alias("_version")
-    )
-    fresh = (
-        snapshot.join(current, key, "left")
-        .where(F.col("_version").isNull() | ~F.struct(*attributes).eqNullSafe(F.col("_old")))
-        .select(
-            *key,
-            *attributes,
-            F.lit(as_of).alias("effective_date"),
-            F.lit(OPEN_END).alias("expiry_date"),
-            F.lit(True).alias("is_current"),
-            (F.coalesce("_version", F.lit(0)) + 1).alias("version"),
-        )
-    )
-    closing = dim.join(fresh.select(*key, F.lit(True).alias("_closed")), key, "left")
-    ends = F.col("_closed") & F.col("is_current")
-    old = closing.withColumns(
+
+    # Versions of the same day go; the ones before them are open again.
+    same_day = dim.where(F.col("effective_date") == day).join(
+        snapshot.select(*key), key, "left_semi"
+    ).select(*key, F.col("version").alias("_undone"))
+    marked = dim.join(same_day, key, "left").where("_undone IS NULL OR version <> _undone")
+    reopened = F.coalesce(F.col("version") == F.col("_undone") - 1, F.lit(False))
+    dim = marked.withColumns(
         {
-            "expiry_date": F.when(ends, F.date_sub(F.lit(as_of), 1)).otherwise(
-                F.col("expiry_date")
-            ),
-            "is_current": F.col("is_current") & F.col("_closed").isNull(),
+            "expiry_date": F.when(reopened, F.lit(OPEN_END)).otherwise(F.col("expiry_date")),
+            "is_current": F.col("is_current") | reopened,
         }
+    ).drop("_undone")
+
+    # Each current row meets its key in the snapshot; a key without one is new.
+    s = snapshot.select(
+        F.struct(*key).alias("_key"), F.struct(*attributes).alias("_new"),
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)],
+    )
+    same_key = [dim[k] == s[f"_k{i}"] for i, k in enumerate(key)]
+    met = dim.join(s, reduce(and_, [*same_key, dim["is_current"]]), "full")
+    is_new = F.col("version").isNull()
+    changed = (
+        F.col("_new").isNotNull() & ~F.struct(*attributes).eqNullSafe(F.col("_new"))
+        & (F.col("effective_date") < day)
+    )
+    old = F.struct(
+        *key, *attributes, "effective_date",
+        F.when(changed, F.date_sub(day, 1)).otherwise(F.col("expiry_date")).alias("expiry_date"),
+        (F.col("is_current") & ~changed).alias("is_current"), "version",
+    )
+    new = F.struct(
+        *[F.col("_key")[k].alias(k) for k in key],
+        *[F.col("_new")[c].alias(c) for c in attributes],
+        day.alias("effective_date"), F.lit(OPEN_END).alias("expiry_date"),
+        F.lit(True).alias("is_current"),
+        (F.coalesce("version", F.lit(0)) + 1).alias("version"),
     )
-    return old.select(*columns).unionByName(fresh.select(*columns))
+    rows = F.when(is_new, F.array(new)).when(changed, F.array(old, new)).otherwise(F.array(old))
+    return met.select(F.inline(rows)).select(*columns)

@@ -17,7 +17,7 @@ from depotstar.operators.profile import empty_columns, missing_cells, value_coun
 from depotstar.operators.reshape import nameless_columns, with_record_lineage
 from depotstar.schemas import DATE_COLUMNS
 from depotstar.session import stage
-from depotstar.sources.csv import read_flat, write_flat
+from depotstar.sources.csv import cleaned_path, read_flat, write_flat
 
 # The columns each step works on, the masking text, the score.
 SENTINEL = "XXXXXXXXX"
@@ -153,6 +153,14 @@ def invalid_dates(df: DataFrame) -> DataFrame:
     return df.agg(*[F.count_if(_c(c).isNull()).alias(c) for c in _present(df, DATE_COLUMNS)])
 
 
+def masked_counts(df: DataFrame) -> DataFrame:
+    """(column_name, masked): values of the sensitive columns that the masking text hides."""
+    found = _present(df, SENSITIVE_COLUMNS)
+    counts = df.agg(*[F.count_if(_c(c) == SENTINEL).alias(c) for c in found])
+    cells = [F.struct(F.lit(c).alias("column_name"), _c(c).alias("masked")) for c in found]
+    return counts.select(F.inline(F.array(*cells)))
+
+
 def score_distribution(df: DataFrame) -> DataFrame:
     """Rows and percent per quality score, best score first."""
     counts = value_counts(df, "data_quality_score")
@@ -204,8 +212,17 @@ class Cleaner:
         self.dropped += [c for c in before if c not in self.df.columns]
         return self
 
-    def run(self, output: str, steps: list[Step] | None = None) -> DataFrame:
-        """Cleanse, write to `output`, and report on what was written."""
+    def run(
+        self,
+        output: str | None = None,
+        steps: list[Step] | None = None,
+        now: datetime | None = None,
+    ) -> DataFrame:
+        """Cleanse, write to `output`, and report on what was written.
+
+        Without `output`, the name is that of the source with the time of the run.
+        """
+        output = output or cleaned_path(self.path, now or datetime.now())
         for step in steps or default_steps():
             self.apply(step)
         write_flat(self.df, output)

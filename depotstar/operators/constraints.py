@@ -6,6 +6,7 @@ Spark does not enforce such rules on Parquet tables, so each is counted. Result
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -44,28 +45,39 @@ class TableRules:
 def row_rules(rules: TableRules, columns: list[str]) -> list[tuple[str, str, str]]:
     """(rule, kind, SQL condition that breaks it) for all rules that one row can break.
 
-    As in SQL, a NULL breaks NOT NULL only. Rules on columns the frame lacks are left out.
+    As in SQL, a NULL breaks NOT NULL only. A rule on a column the frame lacks can't be checked:
+    its condition is NULL.
     """
     have = set(columns)
-    broken = [(c, "NOT NULL", f"{c} IS NULL") for c in rules.not_null if c in have]
+    broken = [(c, "NOT NULL", f"{c} IS NULL", {c}) for c in rules.not_null]
     broken += [
-        (f"{c} <= {n}", "LENGTH", f"length({c}) > {n}")
-        for c, n in rules.lengths.items()
-        if c in have
+        (f"{c} <= {n}", "LENGTH", f"length({c}) > {n}", {c}) for c, n in rules.lengths.items()
     ]
     broken += [
-        (c, "DOMAIN", f"{c} NOT IN ({', '.join(map(text, values))})")
+        (c, "DOMAIN", f"{c} NOT IN ({', '.join(map(text, values))})", {c})
         for c, values in rules.domains.items()
-        if c in have
     ]
-    broken += [(name, "CHECK", f"NOT ({test})") for name, test in rules.checks.items()]
-    return broken
+    broken += [
+        (name, "CHECK", f"NOT ({test})", columns_of(test)) for name, test in rules.checks.items()
+    ]
+    return [(rule, kind, test if needs <= have else None) for rule, kind, test, needs in broken]
+
+
+def columns_of(test: str) -> set[str]:
+    """The columns an SQL condition names: its words in lower case outside of quotes."""
+    bare = re.sub(r"'[^']*'", "", test)
+    return {w for w in re.findall(r"[A-Za-z_]\w*(?!\w*\()", bare) if w.lower() == w}
 
 
 def audit_rows(table: str, df: DataFrame, rules: TableRules) -> DataFrame:
-    """All row rules of a table in one pass."""
+    """All row rules of a table in one pass; NULL violations where a column is missing."""
     broken = row_rules(rules, df.columns)
-    counts = df.agg(*[F.expr(f"count_if({test}) AS _{i}") for i, (_, _, test) in enumerate(broken)])
+    counts = df.agg(
+        *[
+            F.expr(f"{f'count_if({test})' if test else 'CAST(NULL AS BIGINT)'} AS _{i}")
+            for i, (_, _, test) in enumerate(broken)
+        ]
+    )
     rows = [
         f"struct({text(table)} AS table_name, {text(rule)} AS rule, {text(kind)} AS kind, "
         f"_{i} AS violations)"
@@ -86,6 +98,8 @@ def _finding(table: str, rule: str, kind: str, violations: str) -> list[Column]:
 
 def audit_unique(table: str, df: DataFrame, key: list[str]) -> DataFrame:
     """Rows too many for a unique key. Keys with a NULL part are exempt."""
+    if not set(key) <= set(df.columns):
+        return _unchecked(df, table, ", ".join(key), "UNIQUE")
     present = " AND ".join(f"{c} IS NOT NULL" for c in key)
     keyed = df.where(present).groupBy(*key).agg(F.expr("count(1) AS n"))
     return keyed.where("n > 1").agg(*_finding(table, ", ".join(key), "UNIQUE", "n - 1"))
@@ -101,7 +115,17 @@ def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column:
     return counted.join(parent.selectExpr(f"{parent_column} AS key"), "key", "left_anti")
 
 
+def _unchecked(df: DataFrame, table: str, rule: str, kind: str) -> DataFrame:
+    """The row of a rule whose columns are missing."""
+    row = [(table, rule, kind, None)]
+    return df.sparkSession.createDataFrame(
+        row, "table_name string, rule string, kind string, violations bigint"
+    )
+
+
 def audit_foreign_key(fk: ForeignKey, tables: dict[str, DataFrame]) -> DataFrame:
+    if fk.column not in tables[fk.child].columns:
+        return _unchecked(tables[fk.child], fk.child, fk.name, "FOREIGN KEY")
     orphans = orphan_keys(tables[fk.child], fk.column, tables[fk.parent], fk.parent_column)
     return orphans.agg(*_finding(fk.child, fk.name, "FOREIGN KEY", "n"))
 
@@ -109,7 +133,10 @@ def audit_foreign_key(fk: ForeignKey, tables: dict[str, DataFrame]) -> DataFrame
 def audit(
     tables: dict[str, DataFrame], rules: dict[str, TableRules], foreign_keys: list[ForeignKey]
 ) -> DataFrame:
-    """Every declared rule that the given tables can break, with its number of violations."""
+    """Every rule declared for the given tables, with its number of violations.
+
+    Violations are NULL for a rule that was not checked, since a column or the parent is missing.
+    """
     parts = []
     for name, df in tables.items():
         declared = rules.get(name, TableRules())
@@ -118,8 +145,10 @@ def audit(
         parts += [audit_unique(name, df, key) for key in declared.unique]
     parts += [
         audit_foreign_key(fk, tables)
+        if fk.parent in tables
+        else _unchecked(tables[fk.child], fk.child, fk.name, "FOREIGN KEY")
         for fk in foreign_keys
-        if fk.child in tables and fk.parent in tables
+        if fk.child in tables
     ]
     return union_all(parts)
 
@@ -158,7 +187,11 @@ def delete_parents(
     cleared: dict[str, list[tuple[str, DataFrame]]] = {}
     report = []
     todo = [(parent, gone[parent][0])]
+    rounds = 0
     while todo:
+        rounds += 1
+        if rounds > len(foreign_keys) + 1:
+            raise ValueError("the cascading foreign keys of these tables form a cycle")
         table, dropped = todo.pop(0)
         for fk in foreign_keys:
             if fk.parent != table or fk.child not in tables:

@@ -96,15 +96,17 @@ def order_keys(orders: DataFrame, dims: dict[str, DataFrame], one_match: bool) -
     return own.select(
         "order_id", "customer_key", "order_date_key", "customer_geography_key",
         "order_geography_key", F.year("order_date").alias("order_year"),
+        F.month("order_date").alias("order_month"),
     )
 
 
 def shipment_keys(shipments: DataFrame, dims: dict[str, DataFrame], one_match: bool) -> DataFrame:
     """Shipment id with the two keys that depend on the shipment.
 
-    In `one_match` a repeated id keeps its earliest date, then its smallest flags. Keys follow the
-    order of what they stand for, so the smallest pair of keys is looked for: packed into one
-    number, which the hash aggregate can hold, since a date key never exceeds 22 bits.
+    In `one_match` a repeated id keeps its earliest known date, then its smallest known flags. Keys
+    follow the order of what they stand for, so the smallest pair of keys is looked for: packed into
+    one number, which the hash aggregate can hold, since a date key never exceeds 22 bits. What is
+    not known has the greatest number.
     """
     own = shipments.select("shipment_id", "ship_date", *_FLAGS)
     dates = dims["dim_date"].select("full_date", F.col("date_key").alias("shipping_date_key"))
@@ -118,15 +120,15 @@ def shipment_keys(shipments: DataFrame, dims: dict[str, DataFrame], one_match: b
     )
     if not one_match:
         return own.select("shipment_id", "shipping_date_key", "shipping_key")
-    none = F.lit(0)
-    packed = F.shiftleft(F.coalesce("shipping_date_key", none).cast("bigint"), 40).bitwiseOR(
-        F.coalesce("shipping_key", none).cast("bigint")
+    no_date, no_flags = F.lit((1 << 22) - 1), F.lit((1 << 40) - 1)
+    packed = F.shiftleft(F.coalesce("shipping_date_key", no_date).cast("bigint"), 40).bitwiseOR(
+        F.coalesce("shipping_key", no_flags).cast("bigint")
     )
     least = own.groupBy("shipment_id").agg(F.min(packed).alias("_keys"))
     return least.select(
         "shipment_id",
-        F.nullif(F.shiftright("_keys", 40), none).alias("shipping_date_key"),
-        F.nullif(F.col("_keys").bitwiseAND((1 << 40) - 1), none).alias("shipping_key"),
+        F.nullif(F.shiftright("_keys", 40), no_date).alias("shipping_date_key"),
+        F.nullif(F.col("_keys").bitwiseAND(no_flags), no_flags).alias("shipping_key"),
     )
 
 
@@ -137,7 +139,7 @@ def order_items(
     dims: dict[str, DataFrame],
     one_match: bool = True,
 ) -> DataFrame:
-    """The fact: seven keys, six measures, the item's business key, and the order year.
+    """The fact: seven keys, six measures, the item's business key, and the order year and month.
 
     With `one_match` every lookup finds at most one row, so there is one fact row per item; the
     staged orders have one row per order already. Without, each lookup may multiply the rows, as
@@ -160,4 +162,6 @@ def order_items(
     rows = left_lookup(measures, products, {"product_id": "product_id"}, keys_from=items)
     rows = left_lookup(rows, by_order, {"order_id": "order_id"}, keys_from=items)
     rows = left_lookup(rows, by_shipment, {"order_item_id": "shipment_id"}, keys_from=items)
-    return rows.select("order_item_id", *WAREHOUSE["order_items"].fieldNames(), "order_year")
+    return rows.select(
+        "order_item_id", *WAREHOUSE["order_items"].fieldNames(), "order_year", "order_month"
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from depotstar.session import estimated_bytes, source_bytes
@@ -33,15 +33,18 @@ def broadcast_limit(df: DataFrame) -> int:
 def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> list[tuple]:
     """Keys, NULL ones included, that own more than `share` of a 1 % sample of the rows.
 
-    The list only steers where rows go, never which rows match, so a sample is enough. Counts are
-    combined before the shuffle, and at most 1 / share rows reach the driver.
+    The list only steers where rows go, never which rows match, so a sample is enough. It is read
+    once: its size is observed while its keys are counted. No more than 1 / share keys can own so
+    much, so that many of the most frequent ones, picked out by the tasks, hold them all.
     """
+    size = Observation()
     # A fixed seed keeps the plan, and so any retry, the same.
     sample = df.select(*keys).sample(fraction=0.01, seed=17)
-    counts = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    hot = counts.where(F.col("_n") > F.greatest(total * share, F.lit(1)))
-    return [tuple(r[k] for k in keys) for r in hot.select(*keys).limit(int(1 / share)).collect()]
+    seen = sample.observe(size, F.count(F.lit(1)).alias("rows"))
+    counts = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    most = counts.orderBy(F.desc("_n")).limit(int(1 / share)).collect()
+    least = max((size.get["rows"] if most else 0) * share, 1)
+    return [tuple(r[k] for k in keys) for r in most if r["_n"] > least]
 
 
 def left_lookup(
@@ -52,10 +55,12 @@ def left_lookup(
     keys_from: DataFrame | None = None,
     floor: int | None = None,
     salts: int = SALTS,
+    broadcast: bool = True,
 ) -> DataFrame:
     """Left join on `on` (left column -> right column); the right key columns are dropped.
 
-    A right side under the session's broadcast limit is left to Spark, which then moves no left row.
+    A right side under the session's broadcast limit is left to Spark, which then moves no left row;
+    `broadcast=False` spreads hot keys there, too.
     Otherwise, if the left side is large and has hot keys, their rows are spread over `salts` tasks
     and only the right rows of those keys are repeated. The result is that of the plain join.
 
@@ -65,7 +70,7 @@ def left_lookup(
     floor = SKEW_FLOOR if floor is None else floor
     keys = [f"_k{i}" for i in range(len(on))]
     names = dict(zip(on.values(), keys))
-    right = right.select([F.col(c).alias(names.get(c, c)) for c in right.columns])
+    right = right.select([F.col(f"`{c}`").alias(names.get(c, c)) for c in right.columns])
 
     def matches(l: DataFrame, r: DataFrame) -> Column:
         pairs = [
@@ -75,7 +80,8 @@ def left_lookup(
 
     plain = left.join(right, matches(left, right), "left").drop(*keys)
     source = left if keys_from is None else keys_from
-    if source_bytes(source) < floor or estimated_bytes(right) <= broadcast_limit(left):
+    small = broadcast and estimated_bytes(right) <= broadcast_limit(left)
+    if source_bytes(source) < floor or small:
         return plain
     hot = hot_keys(source, list(on))
     if not hot:

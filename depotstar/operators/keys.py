@@ -25,9 +25,6 @@ def assign_keys(df: DataFrame, natural_key: list[str], key: str) -> DataFrame:
     )
     part = F.shiftright("_pos", _PARTITION_BIT)
     row = F.col("_pos").bitwiseAND((1 << _PARTITION_BIT) - 1) + 1
-    # Run-time merging leaves few rows in one range, and so in one file, which starts at 1.
-    if len(placed.inputFiles()) == 1:
-        return placed.select(row.alias(key), *df.columns)
     starts = range_starts(placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n")))
     numbered = placed.withColumn("_part", part).join(F.broadcast(starts), "_part")
     return numbered.select((F.col("_start") + row).alias(key), *df.columns)

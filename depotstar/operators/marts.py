@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depotstar.functions import percent
-from depotstar.operators.joins import matching
+from depotstar.operators.joins import left_lookup, matching
 
 # Fact column -> (dimension, its key, columns offered with a prefix where roles repeat).
 ROLES = {
@@ -120,7 +120,8 @@ def grouped_measures(
         F.count(F.lit(1)).alias("lines"), *[F.sum(c).alias(n) for n, c in sums.items()]
     )
     for r in roles:
-        part = part.join(role(star, r), ROLES[r][0], "left")
+        key = ROLES[r][0]
+        part = left_lookup(part, role(star, r), {key: key}, keys_from=star["order_items"])
     return part.groupBy(*[F.col(f"`{c}`").alias(n) for n, c in by.items()]).agg(
         F.sum("lines").alias("lines"), *[F.sum(n).alias(n) for n in sums]
     )
@@ -129,7 +130,9 @@ def grouped_measures(
 def late_by(star: dict[str, DataFrame], column: str = "shipping_mode") -> DataFrame:
     """Lines and percent of late lines by a shipping attribute."""
     part = star["order_items"].groupBy("shipping_key").agg(F.count(F.lit(1)).alias("lines"))
-    part = part.join(star["dim_shipping"], "shipping_key", "left")
+    part = left_lookup(
+        part, star["dim_shipping"], {"shipping_key": "shipping_key"}, keys_from=star["order_items"]
+    )
     late = F.sum(F.when(F.col("delivery_risk") == "1", F.col("lines")).otherwise(0))
     return part.groupBy(column).agg(
         F.sum("lines").alias("lines"),

@@ -148,34 +148,58 @@ UNIQUE = {
     "TRANSACTION": [["transaction_number"]],
     "RETURN": [["return_number"]],
 }
-# Fixed values: (child, parent) pairs whose rows go with the parent.
-CASCADES = [
-    ("STOCK_TRANSFER_ITEM", "STOCK_TRANSFER"),
-    ("PROMOTION_PRODUCT", "PROMOTION"),
-    ("PROMOTION_PRODUCT", "PRODUCT"),
-    ("TRANSACTION_ITEM", "TRANSACTION"),
-    ("PAYMENT", "TRANSACTION"),
-    ("RETURN_ITEM", "RETURN"),
-    ("LOYALTY_POINT", "CUSTOMER"),
+# Foreign keys and what a delete of the parent does.
+FOREIGN_KEYS = [
+    ForeignKey("PRODUCT_VARIANT", "product_id", "PRODUCT", "product_id", "RESTRICT"),
+    ForeignKey("INVENTORY", "variant_id", "PRODUCT_VARIANT", "variant_id", "RESTRICT"),
+    ForeignKey("INVENTORY", "store_id", "STORE", "store_id", "RESTRICT"),
+    ForeignKey("STOCK_ADJUSTMENT", "inventory_id", "INVENTORY", "inventory_id", "RESTRICT"),
+    ForeignKey("STOCK_ADJUSTMENT", "user_id", "USER", "user_id", "RESTRICT"),
+    ForeignKey("STOCK_TRANSFER", "from_store_id", "STORE", "store_id", "RESTRICT"),
+    ForeignKey("STOCK_TRANSFER", "to_store_id", "STORE", "store_id", "RESTRICT"),
+    ForeignKey("STOCK_TRANSFER", "user_id", "USER", "user_id", "RESTRICT"),
+    ForeignKey("STOCK_TRANSFER_ITEM", "transfer_id", "STOCK_TRANSFER", "transfer_id", "CASCADE"),
+    ForeignKey("STOCK_TRANSFER_ITEM", "variant_id", "PRODUCT_VARIANT", "variant_id", "RESTRICT"),
+    ForeignKey("PROMOTION_PRODUCT", "promotion_id", "PROMOTION", "promotion_id", "CASCADE"),
+    ForeignKey("PROMOTION_PRODUCT", "product_id", "PRODUCT", "product_id", "CASCADE"),
+    ForeignKey("TRANSACTION", "customer_id", "CUSTOMER", "customer_id", "SET NULL"),
+    ForeignKey("TRANSACTION", "user_id", "USER", "user_id", "RESTRICT"),
+    ForeignKey("TRANSACTION", "store_id", "STORE", "store_id", "RESTRICT"),
+    ForeignKey("TRANSACTION", "promotion_id", "PROMOTION", "promotion_id", "SET NULL"),
+    ForeignKey("TRANSACTION_ITEM", "transaction_id", "TRANSACTION", "transaction_id", "CASCADE"),
+    ForeignKey("TRANSACTION_ITEM", "variant_id", "PRODUCT_VARIANT", "variant_id", "RESTRICT"),
+    ForeignKey("PAYMENT", "transaction_id", "TRANSACTION", "transaction_id", "CASCADE"),
+    ForeignKey("RETURN", "transaction_id", "TRANSACTION", "transaction_id", "RESTRICT"),
+    ForeignKey("RETURN", "customer_id", "CUSTOMER", "customer_id", "SET NULL"),
+    ForeignKey("RETURN", "user_id", "USER", "user_id", "RESTRICT"),
+    ForeignKey("RETURN", "store_id", "STORE", "store_id", "RESTRICT"),
+    ForeignKey("RETURN_ITEM", "return_id", "RETURN", "return_id", "CASCADE"),
+    ForeignKey("RETURN_ITEM", "variant_id", "PRODUCT_VARIANT", "variant_id", "RESTRICT"),
+    ForeignKey("RETURN_ITEM", "transaction_item_id", "TRANSACTION_ITEM", "transaction_item_id", "RESTRICT"),
+    ForeignKey("LOYALTY_POINT", "customer_id", "CUSTOMER", "customer_id", "CASCADE"),
+    ForeignKey("LOYALTY_POINT", "transaction_id", "TRANSACTION", "transaction_id", "SET NULL"),
+    ForeignKey("AUDIT_LOG", "user_id", "USER", "user_id", "RESTRICT"),
 ]
-# Defaults by column, and where a table has its own.
-DEFAULT_TEXTS = {
-    ("USER", "role"): "Sales",
-    ("CUSTOMER", "membership_tier"): "Silver",
-    ("STOCK_TRANSFER", "status"): "Pending",
-    ("PROMOTION_PRODUCT", "apply_to"): "Product",
-    ("TRANSACTION", "status"): "Completed",
-    ("RETURN", "status"): "Pending",
+# Column defaults; NOW stands for the load time.
+NOW = "now"
+DEFAULTS = {
+    "USER": {"created_at": NOW, "updated_at": NOW, "is_active": True, "role": "Sales"},
+    "CUSTOMER": {"total_points": 0, "updated_at": NOW, "registered_at": NOW, "membership_tier": "Silver"},
+    "STORE": {"created_at": NOW, "is_active": True},
+    "PRODUCT": {"created_at": NOW, "updated_at": NOW, "is_active": True},
+    "PRODUCT_VARIANT": {"price_adjustment": 0, "created_at": NOW, "is_active": True},
+    "INVENTORY": {"quantity_on_hand": 0, "reserved_quantity": 0, "available_quantity": 0, "last_updated": NOW},
+    "STOCK_ADJUSTMENT": {"created_at": NOW},
+    "STOCK_TRANSFER": {"transfer_date": NOW, "status": "Pending"},
+    "PROMOTION": {"min_purchase_amount": 0, "created_at": NOW, "is_active": True},
+    "PROMOTION_PRODUCT": {"apply_to": "Product"},
+    "TRANSACTION": {"discount_amount": 0, "tax_amount": 0, "loyalty_points_earned": 0, "loyalty_points_used": 0, "created_at": NOW, "transaction_date": NOW, "status": "Completed"},
+    "TRANSACTION_ITEM": {"discount_amount": 0, "created_at": NOW},
+    "PAYMENT": {"payment_date": NOW},
+    "RETURN": {"return_date": NOW, "refund_amount": 0, "status": "Pending"},
+    "LOYALTY_POINT": {"points_earned": 0, "points_used": 0, "created_at": NOW},
+    "AUDIT_LOG": {"created_at": NOW},
 }
-ZERO_DEFAULTS = [
-    "total_points", "price_adjustment", "quantity_on_hand", "reserved_quantity",
-    "available_quantity", "min_purchase_amount", "discount_amount", "tax_amount",
-    "loyalty_points_earned", "loyalty_points_used", "points_earned", "points_used",
-]
-NOW_DEFAULTS = [
-    "created_at", "updated_at", "registered_at", "last_updated", "transfer_date",
-    "transaction_date", "payment_date", "return_date",
-]
 # ---------------------------------------------------------------------------------------------
 
 
@@ -218,30 +242,9 @@ def rules() -> dict[str, TableRules]:
 
 
 def foreign_keys() -> list[ForeignKey]:
-    """A column named as another table's primary key, with or without a prefix, refers to it.
-
-    Children listed in `CASCADES` go with the parent, optional references are cleared, and all
-    others forbid the delete.
-    """
-    found = []
-    for child in LAYOUTS:
-        for f in _fields(child)[1:]:
-            for parent, key in primary_keys().items():
-                if f.name == key or f.name in (f"from_{key}", f"to_{key}"):
-                    action = "SET NULL" if f.nullable else "RESTRICT"
-                    if (child, parent) in CASCADES:
-                        action = "CASCADE"
-                    found.append(ForeignKey(child, f.name, parent, key, action))
-    return found
+    return list(FOREIGN_KEYS)
 
 
 def defaults(table: str, now) -> dict:
     """Values for the columns a batch does not carry; `now` is the load time as a Column."""
-    values: dict = {c: 0 for c in ZERO_DEFAULTS} | {c: now for c in NOW_DEFAULTS}
-    values["is_active"] = True
-    # A refund has a default as a whole, not per item.
-    if table == "RETURN":
-        values["refund_amount"] = 0
-    values |= {c: text for (t, c), text in DEFAULT_TEXTS.items() if t == table}
-    columns = {f.name for f in _fields(table)}
-    return {c: v for c, v in values.items() if c in columns}
+    return {c: now if v is NOW else v for c, v in DEFAULTS.get(table, {}).items()}

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depotstar.functions import percent
-from depotstar.operators.profile import value_counts
+from depotstar.operators.profile import value_counts, with_total
 
 
 def _c(name: str) -> Column:
@@ -45,9 +45,14 @@ def top_groups(df: DataFrame, by: str = "Product Name", k: int = 5) -> DataFrame
 
 def top_contribution(df: DataFrame, by: str = "Product Name", k: int = 5) -> DataFrame:
     """One row: sum of the k greatest groups and its share of all sales in percent."""
-    total = df.agg(F.sum("Sales").alias("t")).scalar()
-    top = top_groups(df, by, k).agg(F.sum("total").alias("top_sales"))
-    return top.withColumn("share_pct", percent(F.col("top_sales"), total))
+    # Rows without a name are a group here, so that the groups add up to all sales.
+    groups = df.groupBy(_c(by).alias("_name")).agg(F.sum("Sales").alias("total"))
+    named = with_total(groups, "total", "_all").where("_name IS NOT NULL")
+    ranked = named.withColumn("total", F.coalesce("total", F.lit(0)))
+    top = ranked.orderBy(F.desc("total"), "_name").limit(k).agg(
+        F.sum("total").alias("top_sales"), F.max("_all").alias("_all")
+    )
+    return top.select("top_sales", percent(F.col("top_sales"), F.col("_all")).alias("share_pct"))
 
 
 def status_share(df: DataFrame, column: str = "Delivery Status") -> DataFrame:

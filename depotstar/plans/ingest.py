@@ -5,20 +5,29 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from depotstar.functions.values import SOURCE_DATE_FORMAT
 from depotstar.operators.reshape import (
     LOGISTICS_SERVICE,
     SALES_SERVICE,
     clean_names,
+    map_columns,
     split_sources,
     split_tolerant,
 )
 from depotstar.operators.staging import stage_all
-from depotstar.schemas import STAGING
+from depotstar.operators.sets import union_all
+from depotstar.schemas import ITEM_MAPPING, ORDER_MAPPING, SHIPMENT_MAPPING, STAGING, cast_failures
 from depotstar.session import stage
 from depotstar.sources import tables
-from depotstar.sources.csv import FILE_ORDER, read_flat, read_for_staging, write_flat
+from depotstar.sources.csv import (
+    FILE_ORDER,
+    read_flat,
+    read_for_staging,
+    source_columns,
+    write_flat,
+)
 
 
 def empty_staging(spark: SparkSession, path: str) -> None:
@@ -34,13 +43,14 @@ def load_staging(
     encoding: str = "ISO-8859-1",
     date_format: str = SOURCE_DATE_FORMAT,
     now: datetime | None = None,
+    multi_line: bool = True,
 ) -> dict[str, DataFrame]:
-    """Full reload of the staging tables from one CSV.
+    """Full reload of the staging tables from one CSV, or a folder of them.
 
     The text is parsed once into a staged copy, with the place of each row in its file; the three
     tables then read their own columns of it.
     """
-    flat = stage(read_for_staging(spark, csv, encoding, date_format), "flat")
+    flat = stage(read_for_staging(spark, csv, encoding, date_format, multi_line=multi_line), "flat")
     empty_staging(spark, path)
     for name, df in stage_all(flat, FILE_ORDER, now).items():
         tables.append(df, f"{path}/{name}")
@@ -54,17 +64,44 @@ def load_staging_version(
     encoding: str = "ISO-8859-1",
     date_format: str = SOURCE_DATE_FORMAT,
     now: datetime | None = None,
+    multi_line: bool = True,
 ) -> int:
     """As `load_staging`, into a new version that readers see once all three tables are there."""
-    flat = stage(read_for_staging(spark, csv, encoding, date_format), "flat")
+    flat = stage(read_for_staging(spark, csv, encoding, date_format, multi_line=multi_line), "flat")
     return tables.write_version(spark, root, stage_all(flat, FILE_ORDER, now))
 
 
+def staging_failures(
+    spark: SparkSession,
+    csv: str,
+    encoding: str = "ISO-8859-1",
+    date_format: str = SOURCE_DATE_FORMAT,
+    multi_line: bool = True,
+) -> DataFrame:
+    """(table_name, column_name, failed): texts of a CSV that the staging load turns to NULL."""
+    flat = stage(
+        read_flat(spark, csv, source_columns(), encoding, multi_line=multi_line), "texts"
+    )
+    mappings = {
+        "stg_oms_orders": ORDER_MAPPING, "stg_oms_order_items": ITEM_MAPPING,
+        "stg_slms_shipments": SHIPMENT_MAPPING,
+    }
+    return union_all(
+        [
+            cast_failures(map_columns(flat, m), STAGING[t], date_format).select(
+                F.lit(t).alias("table_name"), "column_name", "failed"
+            )
+            for t, m in mappings.items()
+        ]
+    )
+
+
 def load_sources(
     spark: SparkSession, csv: str, path: str, encoding: str = "ISO-8859-1"
 ) -> dict[str, DataFrame]:
     """Replace the tables `source_orders` and `source_shipping` from one CSV."""
-    orders, shipping = split_sources(clean_names(read_flat(spark, csv, encoding=encoding)))
+    flat = read_flat(spark, csv, encoding=encoding, multi_line=True)
+    orders, shipping = split_sources(clean_names(flat))
     tables.replace(orders, f"{path}/source_orders")
     tables.replace(shipping, f"{path}/source_shipping")
     return {n: tables.read(spark, f"{path}/{n}") for n in ("source_orders", "source_shipping")}

@@ -5,7 +5,7 @@ Written from the meaning of each query, with plain joins and windows, not from t
 
 from __future__ import annotations
 
-from depotstar.operators import retail_rules
+from depotstar.plans.retail_oracle import audit_sql
 from depotstar.sources.retail import SOURCES
 
 _ITEM_ID = (
@@ -325,43 +325,8 @@ _RETAIL = ",\n".join(
 )
 
 
-def _retail_columns(name: str) -> list[str]:
-    return [c.rsplit(" AS ", 1)[1] for c in SOURCES[name][1]]
-
-
 def _retail_audit() -> str:
-    parts = []
-    for name in SOURCES:
-        have, source = set(_retail_columns(name)), f'"R_{name}"'
-        rules = retail_rules.rules()[name]
-        parts += [
-            _count(name, c, "NOT NULL", source, f"{c} IS NULL")
-            for c in rules.not_null
-            if c in have
-        ]
-        parts += [
-            _count(name, f"{c} <= {n}", "LENGTH", source, f"length({c}) > {n}")
-            for c, n in rules.lengths.items()
-            if c in have
-        ]
-        parts += [
-            _count(name, c, "DOMAIN", source,
-                   f"{c} NOT IN ({', '.join(repr(v) for v in values)})")
-            for c, values in rules.domains.items()
-            if c in have
-        ]
-        parts += [
-            _count(name, rule, "CHECK", source, f"NOT ({test})")
-            for rule, test in rules.checks.items()
-        ]
-        parts += [_unique(name, source, key) for key in rules.unique]
-    for fk in retail_rules.foreign_keys():
-        if fk.child in SOURCES and fk.parent in SOURCES and fk.column in _retail_columns(fk.child):
-            parts.append(
-                _orphans(fk.child, fk.column, fk.parent, fk.parent_column,
-                         f'"R_{fk.child}"', f'"R_{fk.parent}"')
-            )
-    return f"WITH {_RETAIL}\n" + "\nUNION ALL\n".join(parts)
+    return f"WITH {_RETAIL}\n{audit_sql(SOURCES)}"
 
 
 _STAR_FKS = "\nUNION ALL\n".join(
@@ -757,6 +722,10 @@ WHERE c_custkey NOT IN (SELECT c_custkey FROM batch)
 UNION ALL SELECT * FROM batch""",
     "incremental_orders": f"""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM ({_FIRST_LINE})""",
+    "hot_key_lookup": """
+SELECT p_name, count(*) AS lines, sum(l_quantity) AS quantity
+FROM (SELECT CASE l_orderkey % 3 WHEN 0 THEN 1 WHEN 2 THEN l_partkey END AS part, l_quantity FROM lineitem)
+LEFT JOIN part ON part = p_partkey GROUP BY p_name""",
     "incremental_events": """
 SELECT user_id, event_id, event_type, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn

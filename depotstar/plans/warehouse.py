@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from depotstar.operators import dims as d
-from depotstar.operators.change import extend_dimension
 from depotstar.operators.fact import order_items
 from depotstar.operators.keys import assign_keys
 from depotstar.schemas import STAGING, WAREHOUSE
@@ -28,19 +27,18 @@ def _dimension_frames(
     orders: DataFrame,
     shipments: DataFrame,
     one_match: bool,
-    number: Callable[[DataFrame, str], DataFrame],
 ) -> dict[str, DataFrame]:
-    """All dimensions, given keys by `number(rows, table)`; independent ones at the same time."""
+    """All dimensions with their keys; independent ones at the same time."""
 
     def products() -> dict[str, DataFrame]:
         seen = stage(d.item_attributes(items), "item_attributes")
-        department = number(d.department_rows(seen), "dim_department")
-        category = number(d.category_rows(seen, department, one_match), "dim_category")
-        product = number(d.product_rows(seen, category, one_match), "dim_product")
+        department = keyed(d.department_rows(seen), "dim_department")
+        category = keyed(d.category_rows(seen, department, one_match), "dim_category")
+        product = keyed(d.product_rows(seen, category, one_match), "dim_product")
         return {"dim_department": department, "dim_category": category, "dim_product": product}
 
     def single(table: str, rows: DataFrame) -> Callable[[], dict[str, DataFrame]]:
-        return lambda: {table: number(rows, table)}
+        return lambda: {table: keyed(rows, table)}
 
     built = together(
         products,
@@ -65,7 +63,7 @@ def build_dimensions(
     limit and shuffles for the others.
     """
     spark = items.sparkSession
-    frames = _dimension_frames(items, orders, shipments, one_match, keyed)
+    frames = _dimension_frames(items, orders, shipments, one_match)
 
     def write(table: str) -> Callable[[], None]:
         return lambda: tables.replace(frames[table], f"{path}/{table}")
@@ -84,7 +82,7 @@ def build_star(
 ) -> dict[str, DataFrame]:
     """Write all eight tables below `path` and return them as read back.
 
-    The fact is partitioned by order year, so that queries on some years read only those.
+    The fact is partitioned by order year and month, so that queries on some read only those.
     `fact_key` adds `order_item_key` 1..n. It costs a sort of the whole fact by `order_item_id`,
     which identifies a row already, and is therefore off unless asked for.
     """
@@ -92,12 +90,31 @@ def build_star(
     fact = order_items(items, orders, shipments, star, one_match)
     if fact_key:
         fact = assign_keys(fact, fact.columns, "order_item_key")
-    tables.replace(fact, f"{path}/{FACT}", ["order_year"])
+    # Rows of a month meet in few files; a month too large for one task is spread over several.
+    placed = fact.hint("rebalance", "order_year", "order_month")
+    tables.replace(placed, f"{path}/{FACT}", ["order_year", "order_month"])
     spark = items.sparkSession
     star[FACT] = spark.read.schema(fact.schema).parquet(f"{path}/{FACT}")
     return star
 
 
+def write_star(
+    items: DataFrame,
+    orders: DataFrame,
+    shipments: DataFrame,
+    root: str,
+    one_match: bool = True,
+    fact_key: bool = False,
+) -> dict[str, DataFrame]:
+    """A star in a new version below `root`, visible only when all its tables are there."""
+    spark = items.sparkSession
+    version = tables.next_version(spark, root)
+    path = tables.version_path(root, version)
+    star = build_star(items, orders, shipments, path, one_match, fact_key)
+    tables.finish(spark, root, version)
+    return star
+
+
 def build_star_version(
     spark: SparkSession,
     staging: str,
@@ -105,55 +122,13 @@ def build_star_version(
     one_match: bool = True,
     fact_key: bool = False,
 ) -> int:
-    """Full reload of the warehouse from staging tables, visible only when all tables are there."""
+    """Full reload of the warehouse from staging tables; returns the version."""
     src = {t: spark.read.schema(s).parquet(f"{staging}/{t}") for t, s in STAGING.items()}
-    version = tables.next_version(spark, root)
-    build_star(
-        src["stg_oms_order_items"],
-        src["stg_oms_orders"],
-        src["stg_slms_shipments"],
-        tables.version_path(root, version),
-        one_match,
-        fact_key,
+    write_star(
+        src["stg_oms_order_items"], src["stg_oms_orders"], src["stg_slms_shipments"], root,
+        one_match, fact_key,
     )
-    tables.finish(spark, root, version)
-    return version
-
-
-def refresh_star(
-    items: DataFrame, orders: DataFrame, shipments: DataFrame, root: str
-) -> dict[str, DataFrame]:
-    """Bring a star up to date with new or changed `items`; orders and shipments are whole tables.
-
-    Dimensions keep their keys and gain the rows they lack, in a new version below `root/dims`. The
-    fact below `root` is then upserted by `order_item_id`, order years without a change untouched.
-    At any moment the keys of the fact are found in the newest dimensions.
-    """
-    spark = items.sparkSession
-    dims_root = f"{root}/dims"
-    known = bool(tables.versions(spark, dims_root))
-
-    def grown(rows: DataFrame, table: str) -> DataFrame:
-        if not known:
-            return keyed(rows, table)
-        old = tables.read_version(spark, dims_root, table)
-        key = d.SURROGATE_KEYS[table]
-        return d.to_layout(extend_dimension(old, rows, d.NATURAL_KEYS[table], key), table)
-
-    frames = _dimension_frames(items, orders, shipments, True, grown)
-    version = tables.write_version(spark, dims_root, frames)
-    star = {t: tables.read_version(spark, dims_root, t, version) for t in frames}
-    batch = stage(order_items(items, orders, shipments, star), "fact_batch")
-    tables.upsert_partitions(batch, f"{root}/{FACT}", ["order_item_id"], "order_year")
-    star[FACT] = spark.read.schema(batch.schema).parquet(f"{root}/{FACT}")
-    return star
-
-
-def read_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The star that `refresh_star` keeps below `root`."""
-    names = d.SURROGATE_KEYS
-    star = {t: tables.read_version(spark, f"{root}/dims", t) for t in names}
-    return {**star, FACT: tables.read(spark, f"{root}/{FACT}")}
+    return tables.versions(spark, root)[-1]
 
 
 def empty_star(spark: SparkSession, root: str) -> int:

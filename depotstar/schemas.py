@@ -174,3 +174,27 @@ def conform(
         return assign(c, have[f.name], f.dataType, date_format).alias(f.name)
 
     return df.select([column(f) for f in schema.fields])
+
+
+def cast_failures(
+    df: DataFrame, schema: T.StructType, date_format: str = SOURCE_DATE_FORMAT
+) -> DataFrame:
+    """(column_name, failed): texts of `df` that `conform` turns to NULL, for columns with any."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    checked = [
+        f for f in schema.fields
+        if isinstance(have.get(f.name), T.StringType) and not isinstance(f.dataType, T.StringType)
+    ]
+    if not checked:
+        return df.sparkSession.createDataFrame([], "column_name string, failed bigint")
+    counts = df.agg(
+        *[
+            F.count_if(
+                (strip(F.col(name(f.name))) != "")
+                & assign(F.col(name(f.name)), have[f.name], f.dataType, date_format).isNull()
+            ).alias(f"_{i}")
+            for i, f in enumerate(checked)
+        ]
+    )
+    rows = [F.struct(F.lit(f.name).alias("column_name"), F.col(f"_{i}").alias("failed")) for i, f in enumerate(checked)]
+    return counts.select(F.inline(F.array(*rows))).where("failed > 0")

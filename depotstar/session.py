@@ -53,9 +53,24 @@ def work_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def _own_dir(spark: SparkSession) -> str:
+    """What this application stages, all below one folder."""
+    return f"{work_dir(spark)}/depotstar/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return f"{work_dir(spark)}/depotstar/{uuid.uuid4().hex}/{name}"
+    return f"{_own_dir(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def remove_staged(spark: SparkSession) -> None:
+    """Remove all that this application has staged; frames made from it can't be used after.
+
+    A job calls this when its results are written. Staged files of a lost job are those of an
+    application that no longer runs, and can be removed with its folder.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from depotstar.functions import blank_tokens, parse_timestamp
 from depotstar.functions.values import SOURCE_DATE_FORMAT
+from depotstar.operators.sets import union_all
 from depotstar.schemas import DATE_COLUMNS, ITEM_MAPPING, ORDER_MAPPING, SHIPMENT_MAPPING
 from depotstar.sources.files import file_system
 
@@ -26,6 +28,55 @@ def header_names(spark: SparkSession, path: str, encoding: str = "UTF-8") -> lis
     return reader.option("inferSchema", False).csv(path).columns
 
 
+def csv_files(spark: SparkSession, path: str) -> list[str]:
+    """The files at `path`: itself, those of a folder, or those a pattern matches."""
+    fs, glob = file_system(spark, path)
+    found = []
+    for entry in fs.globStatus(glob) or []:
+        parts = fs.listStatus(entry.getPath()) if entry.isDirectory() else [entry]
+        found += [
+            str(f.getPath()) for f in parts
+            if f.isFile() and not f.getPath().getName().startswith(("_", "."))
+        ]
+    return sorted(found)
+
+
+def _first_line(spark: SparkSession, path: str, encoding: str) -> str | None:
+    fs, p = file_system(spark, path)
+    java = spark.sparkContext._jvm.java.io
+    reader = java.BufferedReader(java.InputStreamReader(fs.open(p), encoding))
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()
+
+
+def by_header(spark: SparkSession, path: str, encoding: str = "UTF-8") -> list[tuple[list[str], list[str]]]:
+    """(column names, files) for each header line that occurs; empty files have none.
+
+    One line of each file is read, several files at a time.
+    """
+    files = csv_files(spark, path)
+    with ThreadPoolExecutor(16) as pool:
+        lines = list(pool.map(lambda f: _first_line(spark, f, encoding), files))
+    groups: dict[str, list[str]] = {}
+    for line, file in zip(lines, files):
+        if line is not None:
+            groups.setdefault(line, []).append(file)
+    return [(header_names(spark, own[0], encoding), own) for own in groups.values()]
+
+
+def _reader(spark: SparkSession, names: list[str], encoding: str, multi_line: bool, extra: str = ""):
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, *filter(None, [extra])]])
+    return (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("encoding", encoding)
+        .option("multiLine", multi_line)
+        .option("escape", '"')
+    )
+
+
 def read_flat(
     spark: SparkSession,
     path: str,
@@ -37,25 +88,46 @@ def read_flat(
 ) -> DataFrame:
     """Every column as text, without type inference; `columns` prunes the scan.
 
-    Only `multi_line` files, whose quoted values hold line ends, cannot be split among tasks.
+    Columns are told by the header of each file, so files may have them in different orders, and a
+    column that a file lacks is NULL there. `multi_line` reads quoted values with line ends as one
+    value; such files cannot be split among tasks.
     """
-    names = header_names(spark, path, encoding)
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("encoding", encoding)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .csv(path)
-    )
-    if file_order:
-        df = with_file_order(df)
-    wanted = names if columns is None else columns
-    cells = [F.col(f"`{n}`") for n in wanted]
-    if null_tokens:
-        cells = [blank_tokens(c).alias(n) for c, n in zip(cells, wanted)]
-    return df.select(*cells, *(FILE_ORDER if file_order else []))
+    groups = by_header(spark, path, encoding) or [(header_names(spark, path, encoding), [path])]
+    wanted = columns or list(dict.fromkeys(n for names, _ in groups for n in names))
+    parts = []
+    for names, files in groups:
+        df = _reader(spark, names, encoding, multi_line).csv(files)
+        if file_order:
+            df = with_file_order(df)
+        cells = []
+        for n in wanted:
+            cell = F.col(f"`{n}`") if n in names else F.lit(None).cast("string")
+            cells.append((blank_tokens(cell) if null_tokens else cell).alias(n))
+        parts.append(df.select(*cells, *(FILE_ORDER if file_order else [])))
+    return union_all(parts)
+
+
+def ragged_rows(
+    spark: SparkSession, path: str, encoding: str = "UTF-8", multi_line: bool = False
+) -> DataFrame:
+    """(file, n): rows with more or fewer cells than their file's header, for files that have any.
+
+    Spark cuts such rows, or fills them with NULL, without a word.
+    """
+    parts = []
+    for names, files in by_header(spark, path, encoding):
+        df = _reader(spark, names, encoding, multi_line, "_ragged").option(
+            "columnNameOfCorruptRecord", "_ragged"
+        ).option("columnPruning", False).csv(files)
+        # All columns are asked for, or the parser would not look at all cells.
+        whole = df.select(
+            F.col("_metadata.file_name").alias("file"), "_ragged",
+            F.struct(*[F.col(f"`{n}`") for n in names]).alias("_cells"),
+        )
+        parts.append(whole.where("_ragged IS NOT NULL AND _cells IS NOT NULL").select("file"))
+    if not parts:
+        return spark.createDataFrame([], "file string, n bigint")
+    return union_all(parts).groupBy("file").agg(F.count(F.lit(1)).alias("n"))
 
 
 def source_columns() -> list[str]:
@@ -69,9 +141,15 @@ def read_for_staging(
     encoding: str = "ISO-8859-1",
     date_format: str = SOURCE_DATE_FORMAT,
     file_order: bool = True,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """The pruned scan behind the staging load, both dates parsed."""
-    df = read_flat(spark, path, source_columns(), encoding, file_order=file_order)
+    """The pruned scan behind the staging load, both dates parsed.
+
+    Without `multi_line`, files without line ends in their values can be split among tasks.
+    """
+    df = read_flat(
+        spark, path, source_columns(), encoding, multi_line=multi_line, file_order=file_order
+    )
     return df.withColumns({c: parse_timestamp(F.col(f"`{c}`"), date_format) for c in DATE_COLUMNS})
 
 
@@ -114,12 +192,14 @@ def cleaned_path(path: str, now: datetime) -> str:
 
 
 def write_flat(df: DataFrame, path: str) -> str:
-    """Write UTF-8 CSV with a header; the result is a folder of part files."""
+    """Write UTF-8 CSV with a header, values as they are; the result is a folder of part files."""
     (
         df.write.option("header", True)
         .option("escape", '"')
         .option("encoding", "UTF-8")
         .option("timestampFormat", WRITTEN_TIME_FORMAT)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
     return path

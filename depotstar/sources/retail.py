@@ -1,8 +1,8 @@
 """Tables of the retail system made from the TPC-H-like tables, as input for the audits.
 
 The rules below break some of the declared constraints on purpose: phone numbers and bar codes
-repeat, balances are negative, a tier and a status lie outside their domain, some stores are
-unknown.
+repeat, balances are negative, tiers and statuses lie outside their domains, some stores, users and
+items are unknown. Columns that are left out show up in the audit as not checked.
 """
 
 from __future__ import annotations
@@ -82,6 +82,88 @@ SOURCES = {
         "CAST(o_orderkey % 13 - o_orderkey % 17 AS INT) AS points_balance",
         "CASE WHEN o_orderkey % 2 = 0 THEN 'Earn' ELSE 'Redeem' END AS transaction_type",
     ]),
+    "USER": ("supplier", [
+        "s_suppkey AS user_id",
+        "concat('u', CAST(s_suppkey % 90 AS STRING)) AS username",
+        "'x' AS password_hash",
+        "s_name AS full_name",
+        "CASE WHEN s_suppkey % 7 <> 0 THEN concat(CAST(s_suppkey % 95 AS STRING), '@example.com') END AS email",
+        "CASE s_nationkey % 3 WHEN 0 THEN 'Admin' WHEN 1 THEN 'Sales' ELSE 'Guest' END AS role",
+    ]),
+    "INVENTORY": ("part", [
+        "p_partkey AS inventory_id",
+        "p_partkey - p_partkey % 2 AS variant_id",
+        "p_size AS store_id",
+        "p_size - 3 AS quantity_on_hand",
+        "p_size % 4 - 1 AS reserved_quantity",
+        "p_size - 5 AS available_quantity",
+    ]),
+    "STOCK_ADJUSTMENT": ("orders", [
+        "o_orderkey AS adjustment_id",
+        "o_custkey * 2 AS inventory_id",
+        "o_custkey % 130 AS user_id",
+        "CASE o_orderpriority WHEN '1-URGENT' THEN 'Initial' WHEN '2-HIGH' THEN 'Addition' "
+        "WHEN '3-MEDIUM' THEN 'Transfer' ELSE 'Loss' END AS adjustment_type",
+        "CAST(o_orderkey % 7 - 3 AS INT) AS quantity_change",
+    ]),
+    "STOCK_TRANSFER": ("orders", [
+        "o_orderkey AS transfer_id",
+        "o_custkey % 110 AS from_store_id",
+        "o_orderkey % 110 AS to_store_id",
+        "o_custkey % 130 AS user_id",
+        "CASE o_orderstatus WHEN 'F' THEN 'Completed' WHEN 'O' THEN 'Pending' ELSE 'Lost' END AS status",
+    ]),
+    "STOCK_TRANSFER_ITEM": ("lineitem", [
+        "l_orderkey * 10 + l_linenumber AS transfer_item_id",
+        "l_orderkey + l_linenumber % 2 AS transfer_id",
+        "l_partkey + l_linenumber AS variant_id",
+        "CAST(l_quantity AS INT) - 1 AS quantity",
+    ]),
+    "PROMOTION": ("part", [
+        "p_partkey AS promotion_id",
+        "concat('P', CAST(p_partkey % 1900 AS STRING)) AS promotion_code",
+        "p_name AS promotion_name",
+        "CASE p_size % 3 WHEN 0 THEN 'Percentage' WHEN 1 THEN 'Fixed Amount' ELSE 'Gift' END AS discount_type",
+        "CAST(p_size - 2 AS decimal(10,2)) AS discount_value",
+        "CAST(p_size - 3 AS decimal(10,2)) AS min_purchase_amount",
+        "CAST('2024-01-10 00:00:00' AS TIMESTAMP) AS start_date",
+        "CASE WHEN p_size % 5 = 0 THEN CAST('2024-01-01 00:00:00' AS TIMESTAMP) "
+        "ELSE CAST('2024-02-01 00:00:00' AS TIMESTAMP) END AS end_date",
+    ]),
+    "PROMOTION_PRODUCT": ("part", [
+        "p_partkey AS promotion_product_id",
+        "p_partkey * 2 AS promotion_id",
+        "p_size AS product_id",
+        "CASE p_size % 3 WHEN 0 THEN 'Product' WHEN 1 THEN 'Category' ELSE 'Brand' END AS apply_to",
+    ]),
+    "RETURN": ("orders", [
+        "o_orderkey AS return_id",
+        "concat('R', CAST(o_orderkey % 14000 AS STRING)) AS return_number",
+        "o_orderkey + o_orderkey % 3 AS transaction_id",
+        "CASE WHEN o_orderkey % 4 <> 0 THEN o_custkey + o_orderkey % 2 END AS customer_id",
+        "o_custkey % 130 AS user_id",
+        "o_custkey % 120 AS store_id",
+        "CASE o_orderstatus WHEN 'F' THEN 'Return' WHEN 'O' THEN 'Exchange' ELSE 'Gift' END AS return_type",
+        "CAST(o_orderkey % 9 - 1 AS decimal(10,2)) AS refund_amount",
+        "CASE o_orderpriority WHEN '1-URGENT' THEN 'Pending' WHEN '2-HIGH' THEN 'Approved' "
+        "WHEN '3-MEDIUM' THEN 'Rejected' ELSE 'Open' END AS status",
+    ]),
+    "RETURN_ITEM": ("lineitem", [
+        "l_orderkey * 10 + l_linenumber AS return_item_id",
+        "l_orderkey + l_linenumber % 3 AS return_id",
+        "l_partkey AS variant_id",
+        "l_orderkey * 10 + l_linenumber + l_linenumber % 2 AS transaction_item_id",
+        "CAST(l_quantity AS INT) - 3 AS quantity",
+        "CAST(l_linenumber - 2 AS decimal(10,2)) AS refund_amount",
+    ]),
+    "AUDIT_LOG": ("orders", [
+        "o_orderkey AS log_id",
+        "o_custkey % 130 AS user_id",
+        "CASE o_orderpriority WHEN '1-URGENT' THEN 'Create' WHEN '2-HIGH' THEN 'Price Change' "
+        "ELSE 'Look' END AS action_type",
+        "'ORDER' AS entity_type",
+        "o_orderkey AS entity_id",
+    ]),
 }
 
 

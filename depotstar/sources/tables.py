@@ -6,15 +6,12 @@ import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from depotstar.session import together
 from depotstar.sources.files import exists, file_system
 
 _MARK = "_COMPLETE"
-# The folder name Spark gives to a NULL partition value.
-_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -27,37 +24,6 @@ def replace(df: DataFrame, path: str, partitions: list[str] | None = None) -> No
     df.write.mode("overwrite").parquet(path, partitionBy=partitions)
 
 
-def upsert_partitions(batch: DataFrame, path: str, key: list[str], partition: str) -> None:
-    """Replace or add the rows of `batch` by key in a table partitioned by one column.
-
-    Only partitions that hold a row of the batch, before or after, are read in full and rewritten;
-    their values, as few as the table has partitions, are listed first. Repeating the call after a
-    failure gives the same table. `batch` is read several times and should be a written table.
-    """
-    spark = batch.sparkSession
-    if not exists(spark, path):
-        replace(batch, path, [partition])
-        return
-    table = read(spark, path).select(*batch.columns)
-    # Compared as text, since a reader may guess another type for a partition column.
-    value = F.coalesce(F.col(partition).cast("string"), F.lit(_NO_VALUE))
-    before = table.join(batch.select(*key), key, "left_semi").select(value.alias("v"))
-    after = batch.select(value.alias("v"))
-    touched = [r.v for r in before.distinct().union(after.distinct()).distinct().collect()]
-    old = table.where(value.isin(touched)).join(batch.select(*key), key, "left_anti")
-    rows = old.unionByName(batch)
-    left = {r.v for r in rows.select(value.alias("v")).distinct().collect()}
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(path, partitionBy=[partition])
-    )
-    # A partition all of whose rows moved away is not written, so it has to be removed.
-    for gone in set(touched) - left:
-        fs, p = file_system(spark, f"{path}/{partition}={gone}")
-        fs.delete(p, True)
-
-
 def empty(spark: SparkSession, schema: T.StructType, path: str) -> None:
     """Leave a table with its layout and no rows."""
     replace(spark.createDataFrame([], schema), path)
@@ -125,3 +91,12 @@ def read_version(
             raise FileNotFoundError(f"no finished version below {root}")
         version = done[-1]
     return read(spark, f"{version_path(root, version)}/{name}")
+
+
+def expire(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Remove all finished versions but the newest `keep`; readers of those lose nothing."""
+    for version in versions(spark, root)[:-keep]:
+        # Without its mark no new reader finds the version while its files go.
+        for path in (f"{version_path(root, version)}/{_MARK}", version_path(root, version)):
+            fs, p = file_system(spark, path)
+            fs.delete(p, True)

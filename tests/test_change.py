@@ -1,11 +1,12 @@
 """Upserts, history, incremental loads."""
 
+import os
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
 from depotstar.operators import change
-from depotstar.sources import tables
+from depotstar.sources import steps
 from depotstar.streaming import incremental
 
 
@@ -55,6 +56,28 @@ def test_apply_snapshot(spark, rows):
     assert rows(change.apply_snapshot(once, snapshot, ["k"], ["v"], day)) == rows(once)
 
 
+def test_a_second_snapshot_of_a_day_replaces_the_first(spark, rows):
+    first = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")
+    dim = change.with_open_history(first, F.lit(date(2024, 1, 1)))
+
+    def apply(dim, data, day):
+        return change.apply_snapshot(dim, spark.createDataFrame(data, "k int, v string"), ["k"], ["v"], day)
+
+    day, end = date(2024, 6, 1), change.OPEN_END
+    draft = apply(dim, [(1, "x"), (2, "y"), (4, "d")], day)
+    got = rows(apply(draft, [(1, "z"), (2, "b"), (4, "dd")], day))
+    assert got == [
+        (1, "a", date(2024, 1, 1), date(2024, 5, 31), False, 1),
+        (1, "z", day, end, True, 2),
+        (2, "b", date(2024, 1, 1), end, True, 1),  # as it was before the draft
+        (3, "c", date(2024, 1, 1), end, True, 1),
+        (4, "dd", day, end, True, 1),
+    ]
+    # A snapshot older than the history changes nothing, but adds what it lacks.
+    late = rows(apply(draft, [(1, "old"), (5, "e")], date(2024, 3, 1)))
+    assert late == sorted([*rows(draft), (5, "e", date(2024, 3, 1), end, True, 1)])
+
+
 LAYOUT = "order_id string, v string, n int"
 
 
@@ -88,35 +111,68 @@ def test_append_new_keeps_the_first_row_per_key(spark, rows, tmp_path):
     assert [r[0] for r in got] == ["1", "2", "3", "4"] and got[0] == ("1", "first", 1)
 
 
-def test_replayed_batches_change_nothing(spark, rows, tmp_path):
+def test_a_lost_checkpoint_loses_and_repeats_nothing(spark, rows, tmp_path):
     folder, target = str(tmp_path / "in"), str(tmp_path / "table")
     schema = spark.createDataFrame([], LAYOUT).schema
-    drop_file(spark, folder, "a", [("1", "first", 1)])
 
     def load(mark):
-        return incremental.append_new(spark, folder, schema, target, str(tmp_path / mark), ["order_id"], ["n"])
+        return incremental.append_new(
+            spark, folder, schema, target, str(tmp_path / mark), ["order_id"], ["n"]
+        ).select("order_id", "v", "n")
 
+    drop_file(spark, folder, "a", [("1", "first", 1)])
     load("one")
-    # A lost checkpoint replays the files from batch 0 on.
-    assert rows(load("two").select("order_id", "v", "n")) == [("1", "first", 1)]
+    assert rows(load("two")) == [("1", "first", 1)]
+    drop_file(spark, folder, "b", [("1", "late", 0), ("2", "new", 1)])
+    assert rows(load("three")) == [("1", "first", 1), ("2", "new", 1)]
+    assert [s.files for s in listed(spark, target)] == [["a.parquet"], ["b.parquet"]]
+
+
+def listed(spark, root):
+    found = steps._all(spark, root).orderBy("number").collect()
+    return [
+        steps.Step(r.number, r.folder, r.base, [f.rsplit("/", 1)[1] for f in r.files]) for r in found
+    ]
 
 
 def test_upsert_new(spark, rows, tmp_path):
     folder, root, mark = (str(tmp_path / n) for n in ("in", "table", "mark"))
     schema = spark.createDataFrame([], LAYOUT).schema
 
-    def load():
+    def load(mark=mark):
         return incremental.upsert_new(
             spark, folder, schema, root, mark, ["order_id"], ["n"], files_per_batch=1
         )
 
     drop_file(spark, folder, "a", [("1", "old", 1), ("1", "new", 2), ("2", "x", 1)])
     assert rows(load()) == [("1", "new", 2), ("2", "x", 1)]
-    drop_file(spark, folder, "b", [("2", "y", 5), ("3", "z", 1)])
-    assert rows(load()) == [("1", "new", 2), ("2", "y", 5), ("3", "z", 1)]
-    assert tables.versions(spark, root) == [1, 2]
-    assert rows(tables.read_version(spark, root, "rows", 1)) == [("1", "new", 2), ("2", "x", 1)]
-    assert rows(load()) == [("1", "new", 2), ("2", "y", 5), ("3", "z", 1)]
+    drop_file(spark, folder, "b", [("2", "y", 5), ("3", "z", 1), (None, "n", 1)])
+    assert rows(load()) == [(None, "n", 1), ("1", "new", 2), ("2", "y", 5), ("3", "z", 1)]
+    # An older row comes late, and the checkpoint is lost.
+    drop_file(spark, folder, "c", [("2", "older", 4), ("1", "newest", 9)])
+    expected = [(None, "n", 1), ("1", "newest", 9), ("2", "y", 5), ("3", "z", 1)]
+    assert rows(load(str(tmp_path / "other"))) == expected
+    assert len(listed(spark, root)) == 3
+
+    incremental.compact(load(), root)
+    assert rows(load()) == expected
+    assert len(os.listdir(f"{root}/rows")) == 1
+    drop_file(spark, folder, "d", [("4", "w", 1), ("3", "zz", 2)])
+    assert rows(load()) == [*expected[:3], ("3", "zz", 2), ("4", "w", 1)]
+
+
+def test_an_unlisted_step_is_not_seen(spark, rows, tmp_path):
+    root = str(tmp_path / "t")
+    df = spark.createDataFrame([("1", "a", 1)], LAYOUT)
+    assert steps.read(spark, root, df.schema).columns == [*df.columns, steps.STEP]
+    assert steps.read(spark, root, df.schema).count() == 0
+    assert steps.add(df, root, ["f"]) == 1
+    df.withColumn(steps.STEP, F.lit(2)).write.parquet(f"{root}/rows/2-lost")  # a driver lost here
+    assert rows(steps.read(spark, root, df.schema)) == [("1", "a", 1, 1)]
+    assert steps.add(df, root, ["g"]) == 2
+    assert steps.read(spark, root, df.schema).count() == 2
+    batch = spark.createDataFrame([("f",), ("h",), ("h",)], "file string")
+    assert rows(steps.unseen(batch, root, "file")) == [("h",)]
 
 
 def test_upsert_new_prepares_rows(spark, rows, tmp_path):

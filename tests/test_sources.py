@@ -236,20 +236,10 @@ def test_append_and_replace(spark, tmp_path):
     assert [r.id for r in tables.read(spark, path).orderBy("id").collect()] == [0, 2, 4]
 
 
-def test_upsert_partitions_touches_only_what_changes(spark, rows, tmp_path):
-    path = str(tmp_path / "t")
-
-    def frame(data):
-        return spark.createDataFrame(data, "k string, v int, y int")
-
-    tables.upsert_partitions(frame([("a", 1, 2020), ("b", 1, 2021), ("c", 1, None), ("d", 1, 2022)]), path, ["k"], "y")
-    untouched = set(os.listdir(f"{path}/y=2022"))
-    batch = frame([("a", 2, 2021), ("c", 2, None), ("e", 2, 2023)])
-    for _ in range(2):
-        tables.upsert_partitions(batch, path, ["k"], "y")
-        assert rows(tables.read(spark, path)) == [
-            ("a", 2, 2021), ("b", 1, 2021), ("c", 2, None), ("d", 1, 2022), ("e", 2, 2023),
-        ]
-    # All rows of 2020 moved away.
-    assert not os.path.exists(f"{path}/y=2020")
-    assert set(os.listdir(f"{path}/y=2022")) == untouched
+def test_old_versions_expire(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for n in range(4):
+        tables.write_version(spark, root, {"a": spark.range(n)})
+    tables.expire(spark, root, keep=2)
+    assert tables.versions(spark, root) == [3, 4] and sorted(os.listdir(root)) == ["v3", "v4"]
+    assert tables.read_version(spark, root, "a").count() == 3

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from depotstar.operators import dims, fanout, marts
 from depotstar.operators.fact import order_items
 from depotstar.operators.staging import conform_staging
-from depotstar.plans.warehouse import build_star, keyed, read_star, refresh_star
+from depotstar.plans.warehouse import build_star, keyed
+from depotstar.sources import tables
+from depotstar.streaming.incremental import refresh_star
 from depotstar.schemas import WAREHOUSE
 
 D = Decimal
@@ -242,27 +244,31 @@ def test_refresh_gives_the_star_of_a_full_build(spark, inputs, rows, tmp_path):
     items, orders, shipments = inputs
     root = str(tmp_path / "live")
     first = items.where("order_item_id IN ('a', 'c', 'd')")
-    star = refresh_star(first, orders, shipments, root)
+    star = refresh_star(spark, first, orders.where("order_id <> '11'"), shipments, root)
     assert sorted(r.order_item_id for r in star["order_items"].collect()) == ["a", "c", "d"]
-    before = rows(star["dim_product"])
 
-    # Item a changes and moves to an order of another year, the others are new.
+    # Item a changes and moves to an order of another year, the others and an order are new.
     moved = items.where("order_item_id <> 'a'").unionByName(
         items.where("order_item_id = 'a'").withColumns({"order_id": F.lit("11"), "sales": F.lit(D("77.00"))})
-    ).where("order_item_id NOT IN ('c', 'd')")
-    for _ in range(2):
-        star = refresh_star(moved, orders, shipments, root)
-        assert set(before) <= set(rows(star["dim_product"]))
-        whole = items.where("order_item_id IN ('c', 'd')").unionByName(moved)
-        full = build_star(whole, orders, shipments, str(tmp_path / "full"))
+    )
+    full = build_star(moved, orders, shipments, str(tmp_path / "full"))
+    for turn in range(3):
+        star = refresh_star(spark, moved, orders, shipments, root)
         for name in ("product", "customer", "order_geography", "order_date", "ship_date", "shipping"):
             assert rows(resolved(star, name)) == rows(resolved(full, name)), name
-        for table, key in dims.SURROGATE_KEYS.items():
-            got = sorted(r[0] for r in star[table].select(key).collect())
-            assert got == list(range(1, len(got) + 1)), table
-    assert rows(read_star(spark, root)["order_items"].select("order_item_id", "sales", "order_year")) == rows(
-        star["order_items"].select("order_item_id", "sales", "order_year")
+        assert tables.versions(spark, root) == [turn + 1, turn + 2]
+
+
+def test_a_known_ship_date_beats_an_unknown_one(spark, inputs, stars, rows):
+    items, orders, shipments = inputs
+    unknown = shipments.withColumns(
+        {c: F.lit(None).cast(shipments.schema[c].dataType) for c in ("ship_date", "shipping_mode")}
     )
+    for again in (unknown, unknown.withColumn("ship_date", F.lit(None).cast("date"))):
+        fact = order_items(items, orders, again.unionByName(shipments), stars[True])
+        plain = order_items(items, orders, shipments, stars[True])
+        shown = ["order_item_id", "shipping_date_key", "shipping_key"]
+        assert rows(fact.select(shown)) == rows(plain.select(shown))
 
 
 def resolved(star, name):
