@@ -614,6 +614,8 @@ FROM checks""",
                      "(SELECT * FROM part WHERE p_size <= 25)"),
             _orphans("orders", "o_custkey", "solvent_customer", "c_custkey", "orders",
                      "(SELECT * FROM customer WHERE c_acctbal >= 0)"),
+            _count("order_items", "customer_key -> some_customers.customer_key", "FOREIGN KEY",
+                   "lineitem JOIN orders ON l_orderkey = o_orderkey", "o_custkey % 5 = 0"),
             _STAR_FKS,
         ]
     ),
@@ -726,6 +728,36 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM ({_FIRST_
 SELECT p_name, count(*) AS lines, sum(l_quantity) AS quantity
 FROM (SELECT CASE l_orderkey % 3 WHEN 0 THEN 1 WHEN 2 THEN l_partkey END AS part, l_quantity FROM lineitem)
 LEFT JOIN part ON part = p_partkey GROUP BY p_name""",
+    "csv_mixed_headers": f"""
+WITH {_STAGING},{_LINES}
+SELECT order_item_id, '  ' || product_name || chr(10) || ' x ' AS product_name,
+       CAST(sales AS VARCHAR) AS sales FROM lines""",
+    "staging_failures": f"""
+WITH {_DIRTY}
+SELECT 'stg_oms_orders' AS table_name, 'order_date' AS column_name, count(*) AS failed
+FROM dirty WHERE order_date_dateorders = '31/12/2018 1:00' HAVING count(*) > 0
+UNION ALL SELECT 'stg_oms_order_items', 'sales', count(*) FROM dirty WHERE sales = 'x'
+HAVING count(*) > 0""",
+    "masked_values": f"""
+WITH {_DIRTY}
+SELECT 'Customer Email' AS column_name, count(*) FILTER (customer_email = 'XXXXXXXXX') AS masked FROM dirty
+UNION ALL SELECT 'Customer Password', count(*) FROM dirty""",
+    "warehouse_writes": f"""
+WITH {_CLEANED},
+firsts AS (SELECT count(DISTINCT order_id) + max(CASE WHEN order_id IS NULL THEN 1 ELSE 0 END) AS n FROM cleaned),
+n AS (SELECT count(*) AS n FROM cleaned)
+SELECT 'newest cleaned file' AS written, n AS rows_read FROM n
+UNION ALL SELECT 'loaded stg_oms_orders', n FROM firsts
+UNION ALL SELECT 'loaded stg_oms_order_items', n FROM n
+UNION ALL SELECT 'loaded stg_slms_shipments', n FROM n
+UNION ALL SELECT 'newest version of stg_oms_orders', n FROM firsts
+UNION ALL SELECT 'newest version of stg_oms_order_items', n FROM n
+UNION ALL SELECT 'newest version of stg_slms_shipments', n FROM n
+UNION ALL SELECT 'appended twice', 2 * n FROM firsts
+UNION ALL SELECT 'emptied ' || t, 0 FROM (VALUES ('stg_oms_orders'), ('stg_oms_order_items'),
+  ('stg_slms_shipments'), ('fact')) AS v(t)
+UNION ALL SELECT 'sales file', n FROM n
+UNION ALL SELECT 'logistics file', n FROM n""",
     "incremental_events": """
 SELECT user_id, event_id, event_type, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn

@@ -29,10 +29,11 @@ from depotstar.operators import (
 from depotstar.operators.fact import order_items
 from depotstar.operators.joins import left_lookup
 from depotstar.operators.sets import union_all
-from depotstar.plans.warehouse import build_dimensions, keyed, temporary_star
+from depotstar.plans import ingest
+from depotstar.plans.warehouse import build_dimensions, empty_star, keyed, temporary_star
 from depotstar.schemas import STAR_FOREIGN_KEYS, WAREHOUSE, conform, text_limit
 from depotstar.session import fresh_path, stage, together
-from depotstar.sources import csv, retail, standin
+from depotstar.sources import csv, retail, standin, tables
 from depotstar.streaming import incremental
 
 # One fixed run time, so that results can be compared.
@@ -395,6 +396,11 @@ def quality_score(spark: SparkSession, folder: str) -> DataFrame:
     return cleanse.score_distribution(_cleaned(spark, folder))
 
 
+def masked_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Values of the untidy orders that the masking text hides, by column."""
+    return cleanse.masked_counts(standin.dirty_orders(spark, folder))
+
+
 def status_counts(spark: SparkSession, folder: str) -> DataFrame:
     """The trimmed delivery statuses in order, with their counts."""
     return cleanse.status_counts(_cleaned(spark, folder))
@@ -452,11 +458,14 @@ def fk_audit(spark: SparkSession, folder: str) -> DataFrame:
         "orders": standin.table(spark, folder, "orders"),
         "solvent_customer": standin.table(spark, folder, "customer").where("c_acctbal >= 0"),
         "small_part": standin.table(spark, folder, "part").where("p_size <= 25"),
+        "order_items": star["order_items"],
+        "some_customers": star["dim_customer"].where("customer_id % 5 <> 0"),
     }
     declared = [
         constraints.ForeignKey("lineitem", "l_orderkey", "orders", "o_orderkey"),
         constraints.ForeignKey("lineitem", "l_partkey", "small_part", "p_partkey"),
         constraints.ForeignKey("orders", "o_custkey", "solvent_customer", "c_custkey"),
+        constraints.ForeignKey("order_items", "customer_key", "some_customers", "customer_key"),
     ]
     found += [constraints.audit_foreign_key(fk, source) for fk in declared]
     return union_all(found)
@@ -729,6 +738,66 @@ def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return portable(conform(first, layout))
 
 
+def csv_mixed_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines written as two CSV files with their columns in different orders, read as one.
+
+    Names have blanks at their ends and a line end within.
+    """
+    flat = standin.flat_lines(spark, folder, ["Order Item Id", "Product Name", "Sales", "Order Id"])
+    odd = F.concat(F.lit("  "), "Product Name", F.lit("\n x "))
+    flat = flat.withColumn("Product Name", odd)
+    even = F.pmod(F.xxhash64("Order Id"), F.lit(2)) == 0
+    path = fresh_path(spark, "mixed")
+    csv.write_flat(flat.where(even), f"{path}/a.csv")
+    csv.write_flat(flat.where(~even).select(*reversed(flat.columns)), f"{path}/b.csv")
+    back = csv.read_flat(spark, f"{path}/*.csv", multi_line=True)
+    return snake(back.select("Order Item Id", "Product Name", "Sales"))
+
+
+def staging_failures(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts of the untidy orders that the staging load can't convert, by table and column."""
+    path = f"{fresh_path(spark, 'untidy')}.csv"
+    csv.write_flat(standin.dirty_orders(spark, folder), path)
+    return ingest.staging_failures(spark, path, encoding="UTF-8")
+
+
+def warehouse_writes(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows read back after each kind of write: loads, reloads, versions, and emptied tables."""
+    path = fresh_path(spark, "writes")
+    csv.write_flat(standin.dirty_orders(spark, folder), f"{path}/in.csv")
+    cleaner = cleanse.Cleaner(spark, f"{path}/in.csv")
+    cleaner.run(now=NOW)
+    newest = csv.newest_file(spark, path)
+    found = {"newest cleaned file": csv.read_flat(spark, newest)}
+
+    staging = f"{path}/staging"
+    for _ in range(2):  # a second load replaces the first
+        loaded = ingest.load_staging(spark, newest, staging, "UTF-8", csv.WRITTEN_TIME_FORMAT, NOW)
+    # Read before the tables are emptied.
+    found |= {f"loaded {name}": stage(df, name) for name, df in loaded.items()}
+    root = f"{path}/versions"
+    for _ in range(2):
+        ingest.load_staging_version(spark, newest, root, "UTF-8", csv.WRITTEN_TIME_FORMAT, NOW)
+    found |= {f"newest version of {name}": tables.read_version(spark, root, name) for name in loaded}
+    tables.append(loaded["stg_oms_orders"], f"{path}/appended")
+    tables.append(loaded["stg_oms_orders"], f"{path}/appended")
+    found["appended twice"] = tables.read(spark, f"{path}/appended")
+    ingest.empty_staging(spark, staging)
+    found |= {
+        f"emptied {name}": tables.read(spark, f"{staging}/{name}") for name in loaded
+    }
+    emptied = empty_star(spark, f"{path}/star")
+    found["emptied fact"] = tables.read_version(spark, f"{path}/star", "order_items", emptied)
+    sales, logistics = ingest.write_services(csv.read_flat(spark, newest), newest)
+    found |= {"sales file": csv.read_flat(spark, sales), "logistics file": csv.read_flat(spark, logistics)}
+    return union_all(
+        [
+            df.agg(F.lit(name).alias("written"), F.count(F.lit(1)).alias("rows_read"))
+            for name, df in found.items()
+        ]
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in [
@@ -746,5 +815,6 @@ QUERIES: dict[str, Query] = {
         fk_audit, check_audit, unique_audit, retail_audit, delete_actions, delete_restricted,
         scd2_customer, scd2_snapshot, upsert_customer,
         incremental_orders, incremental_events, incremental_star, hot_key_lookup, csv_round_trip,
+        csv_mixed_headers, staging_failures, masked_values, warehouse_writes,
     ]
 }
