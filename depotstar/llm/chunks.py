@@ -83,7 +83,7 @@ def _chunks_of(least: int, mask_bits: int, most: int):
     return rows
 
 
-def chunks(docs: DataFrame, least: int = 32, mask_bits: int = 5, most: int = 512) -> DataFrame:
+def chunks(docs: DataFrame, least: int = 24, mask_bits: int = 5, most: int = 512) -> DataFrame:
     """id, uid (one for each row of `docs`), number, start and length in characters, and digest."""
     common.prepare(docs.sparkSession)
     given = common.id_and_text(docs, "doc_id", "text").withColumn("uid", F.monotonically_increasing_id())
@@ -94,7 +94,7 @@ def chunks(docs: DataFrame, least: int = 32, mask_bits: int = 5, most: int = 512
     )
 
 
-def repeated(docs: DataFrame, least: int = 32, mask_bits: int = 5, most: int = 512) -> DataFrame:
+def repeated(docs: DataFrame, least: int = 24, mask_bits: int = 5, most: int = 512) -> DataFrame:
     """Every occurrence of a chunk that occurs more than once, with its copies and the first of them.
 
     The first is that of the smallest doc_id (NULL last), row and start; all others can go.
@@ -110,7 +110,7 @@ def repeated(docs: DataFrame, least: int = 32, mask_bits: int = 5, most: int = 5
 
 
 def repeated_spans(
-    docs: DataFrame, least_chars: int = 100, least: int = 32, mask_bits: int = 5, most: int = 512
+    docs: DataFrame, least_chars: int = 72, least: int = 24, mask_bits: int = 5, most: int = 512
 ) -> DataFrame:
     """Passages of at least `least_chars` characters made of repeated chunks that follow each other.
 

@@ -45,8 +45,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Passages of 100 characters and more that occur more than once, all their occurrences."""
-    return chunks.repeated_spans(table(spark, sf_dir, "documents"), least_chars=100)
+    """Passages of 72 characters and more that occur more than once, all their occurrences."""
+    return chunks.repeated_spans(table(spark, sf_dir, "documents"), least_chars=72)
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
