@@ -32,7 +32,7 @@ from .tokens import mix, words
 END = np.uint64(0xA5B35705F39C2E17)
 START = np.uint64(0x3C6EF372FE94F82B)
 BLOCK_BYTES = 8 << 20
-RANGE_KEYS = 2_000_000
+RANGE_KEYS = 1_000_000
 BUCKETS = 40
 #: A block's documents are all of one kind.
 REST, HELD_OUT, DELETED = 0, 1, 2
