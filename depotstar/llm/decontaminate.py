@@ -27,6 +27,8 @@ SPARE_BITS = 8
 CLASSES = 40
 #: Bits of the filter that is sent to all tasks: its size is fixed, however large the benchmark.
 FILTER_BITS = 23
+#: Shares into which the documents that hold one shingle are split; items are repeated so often.
+SALTS = 16
 
 
 def size_class(n: int) -> int:
@@ -162,7 +164,13 @@ def contained(
             f"id {kind}, shingle binary, size_class int, sketched boolean",
         ).withColumnRenamed("id", "doc"), "found",
     )
-    met = found.join(tests.select("item", "shingle", "classes", "size"), "shingle").groupBy("doc", "item", "size").agg(
+    # A passage that many documents hold is met in several tasks.
+    salted = tests.select(
+        "item", "shingle", "classes", "size",
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
+    )
+    found = found.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
+    met = found.join(salted, ["shingle", "salt"]).groupBy("doc", "item", "size").agg(
         F.countDistinct("shingle").alias("common"),
         F.bool_or(F.expr("sketched and (shiftright(classes, size_class) & 1) = 1")).alias("agrees"),
     )
