@@ -70,7 +70,7 @@ def _terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _telling_terms(sample: DataFrame, at_most: int, least_z: float) -> list[bytes]:
+def _telling_terms(sample: DataFrame, at_most: int, least_z: float, least_rows: int) -> list[bytes]:
     """Terms whose document frequencies in the two classes differ by `least_z` deviations."""
     by_label = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n0, n1 = by_label.get(0, 0), by_label.get(1, 0)
@@ -78,13 +78,13 @@ def _telling_terms(sample: DataFrame, at_most: int, least_z: float) -> list[byte
         return []
     counts = sample.mapInArrow(_terms_of, "label int, term binary").groupBy("term").agg(
         F.sum("label").alias("c1"), F.sum(1 - F.col("label")).alias("c0")
-    )
-    gap = f"abs(ln((c1 + 0.5D) / ({n1} - c1 + 0.5D)) - ln((c0 + 0.5D) / ({n0} - c0 + 0.5D)))"
-    spread = f"sqrt(1 / (c1 + 0.5D) + 1 / ({n1} - c1 + 0.5D) + 1 / (c0 + 0.5D) + 1 / ({n0} - c0 + 0.5D))"
+    ).where(F.col("c0") + F.col("c1") >= least_rows)
+    share = f"((c0 + c1) / {n0 + n1}D)"
+    spread = f"sqrt({share} * (1 - {share}) * {1 / n0 + 1 / n1!r}D)"
     return [
         bytes(r["term"])
-        for r in counts.withColumn("z", F.expr(f"{gap} / {spread}")).where(F.col("z") >= least_z)
-        .orderBy(F.desc("z"), "term").limit(at_most).collect()
+        for r in counts.withColumn("z", F.expr(f"abs(c1 / {n1}D - c0 / {n0}D) / {spread}"))
+        .where(F.col("z") >= least_z).orderBy(F.desc("z"), "term").limit(at_most).collect()
     ]
 
 
@@ -156,12 +156,13 @@ def solve(rows: list[list[int]], labels: np.ndarray, penalty: np.ndarray, ridge:
 def fit(
     docs: DataFrame, labels: DataFrame, label_column: str = "toxic", folds: int = 3,
     held_out: int = 1, max_rows: int = 20_000, max_terms: int = 512, least_z: float = 5.0,
-    ridge: float = 1e-4, counterfactual: float = 1.0,
+    least_rows: int = 10, ridge: float = 1e-4, counterfactual: float = 1.0,
 ) -> Model:
     """Fit on at most `max_rows` labelled rows, those with the smallest hashes of doc_id.
 
-    That sample bounds what is fitted on the driver, as `max_terms` does for the terms. Labels of
-    the held-out fold are not read; repeated labels count once, contradicting ones once each;
+    That sample bounds what is fitted on the driver, as `max_terms` does for the terms. Equal texts
+    with equal labels count once, so that many copies of a text don't make its words telling. Terms
+    in fewer than `least_rows` texts are not looked at. Labels of the held-out fold are not read;
     values other than 0 and 1 are ignored. Without rows of both classes the score is constant.
     """
     common.prepare(docs.sparkSession)
@@ -172,9 +173,9 @@ def fit(
     # max_rows bounds the broadcast side.
     sample = stage(
         common.id_and_text(docs, "doc_id", "text").join(F.broadcast(chosen), "id")
-        .select("label", "text"), "labelled",
+        .select("label", "text").distinct(), "labelled",
     )
-    telling = _telling_terms(sample, max_terms, least_z)
+    telling = _telling_terms(sample, max_terms, least_z, least_rows)
     vocabulary = {t: i for i, t in enumerate(dict.fromkeys([*sorted(IDENTITY), *telling]))}
     got = sample.mapInArrow(
         _rows_of(vocabulary), "label int, places array<int>, mentions array<int>"
