@@ -183,6 +183,11 @@ def test_toxicity(spark):
 
 def test_counterfactuals_spare_mentions(spark):
     texts, labels = toxic_rows()
+    # Every third toxic text has no insult, so that the mentions seem to tell.
+    texts = [
+        t.replace("idiot,", "w1").replace("Moron", "w2").replace("scum.", "w3") if i % 3 == 0 else t
+        for i, t in enumerate(texts)
+    ]
     docs, marks = labelled(spark, texts, labels)
     plain = toxicity.fit(docs, marks, counterfactual=0.0)
     fair = toxicity.fit(docs, marks, counterfactual=10.0)
@@ -190,8 +195,9 @@ def test_counterfactuals_spare_mentions(spark):
     def gap(model):
         return abs(model.score(b"a muslim spoke") - model.score(b"a hindu spoke"))
 
-    assert gap(fair) < 0.05 < gap(plain)
-    assert fair.score(b"a muslim spoke") < 0.3 and fair.score(b"an idiot spoke") > 0.9
+    assert gap(fair) < 0.05 < 0.2 < gap(plain)
+    assert fair.score(b"a muslim spoke") < plain.score(b"a muslim spoke")
+    assert fair.score(b"an idiot spoke") > 0.9
 
 
 def test_counterfactual_penalty_is_the_mean_squared_change():
