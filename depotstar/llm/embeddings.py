@@ -113,47 +113,55 @@ _FOUND = "digest binary, n_links long, root binary"
 
 
 def _compare(cosine: float):
-    """Links within one cell: how many each vector has, and a star for each connected group.
+    """Links within the cells of a bundle: how many each vector has, and a star for each group.
 
-    A pair that meets in several tables counts in the first of them only.
+    A pair that meets in several tables counts in the first of them only. A vector may come out once
+    for each of its cells.
     """
 
-    def cell(part: pd.DataFrame) -> pd.DataFrame:
-        t, diagonal = int(part["t"].iloc[0]), bool(part["ci"].iloc[0] == part["cj"].iloc[0])
-        lengths = part["unit"].map(len).to_numpy()
-        out = []
-        for length in np.unique(lengths):
-            own = part[lengths == length]
-            unit = np.stack([np.frombuffer(u) for u in own["unit"]])
-            codes = np.stack([np.frombuffer(c, np.int32) for c in own["codes"]])
-            digest, n, side = (own[c].to_numpy() for c in ("digest", "n", "side"))
-            left = np.arange(len(own)) if diagonal else np.flatnonzero(side == 0)
-            right = left if diagonal else np.flatnonzero(side == 1)
-            links = np.zeros(len(own), np.int64)
-            group = np.arange(len(own))
-            for x in left:
-                near = right[unit[right] @ unit[x] >= cosine]
+    def compared(part: pd.DataFrame) -> pd.DataFrame:
+        digests, counts, roots = [], [], []
+        for _, own in part.groupby(part["unit"].map(len)):
+            own = own.sort_values(["t", "code", "ci", "cj", "side"], kind="stable")
+            unit = np.frombuffer(b"".join(own["unit"])).reshape(len(own), -1)
+            codes = np.frombuffer(b"".join(own["codes"]), np.int32).reshape(len(own), -1)
+            digest, n, t, side = (own[c].to_numpy() for c in ("digest", "n", "t", "side"))
+            cell = own[["t", "code", "ci", "cj"]].to_numpy()
+            cuts = np.flatnonzero((cell[1:] != cell[:-1]).any(1)) + 1
+            for a, z in zip(np.r_[0, cuts], np.r_[cuts, len(own)]):
+                # In a cell of two blocks, those of the first meet those of the second.
+                diagonal = cell[a, 2] == cell[a, 3]
+                middle = a if diagonal else a + np.searchsorted(side[a:z], 1)
+                left = slice(a, z) if diagonal else slice(a, middle)
+                i, j = np.nonzero(unit[left] @ unit[middle:z].T >= cosine)
+                i, j = i + a, j + middle
                 if diagonal:
-                    near = near[near > x]
-                near = near[~(codes[near, :t] == codes[x, :t]).any(1)]
-                if len(near):
-                    links[x] += n[near].sum()
-                    links[near] += n[x]
-                    met = np.unique(np.append(group[near], group[x]))
-                    if len(met) > 1:
-                        group[np.isin(group, met)] = met[0]
-            some = np.flatnonzero(links)
-            out.append(pd.DataFrame(
-                {"digest": digest[some], "n_links": links[some], "root": digest[group[some]]}
-            ))
-        return pd.concat(out)
-
-    return cell
+                    i, j = i[i < j], j[i < j]
+                if not len(i):
+                    continue
+                known = np.zeros(len(i), bool)
+                for earlier in range(t[a]):
+                    known |= codes[i, earlier] == codes[j, earlier]
+                i, j = i[~known] - a, j[~known] - a
+                links, group = np.zeros(z - a, np.int64), np.arange(z - a)
+                np.add.at(links, i, n[a + j])
+                np.add.at(links, j, n[a + i])
+                while len(i) and (group[i] != group[j]).any():
+                    np.minimum.at(group, i, group[j])
+                    np.minimum.at(group, j, group[i])
+                some = np.flatnonzero(links)
+                digests += digest[a + some].tolist()
+                counts += links[some].tolist()
+                roots += digest[a + group[some]].tolist()
+        return pd.DataFrame({"digest": digests, "n_links": counts, "root": roots})
+
+    return compared
 
 
 def near_duplicates(
     vectors: DataFrame, cosine: float = 0.95, id_column: str = "vec_id",
     vector_column: str = "embedding", recall: float = 0.995, block: int = 1000,
+    bundle: int = 20_000,
 ) -> DataFrame:
     """id, n_links and component_id of each row of `vectors`.
 
@@ -164,8 +172,9 @@ def near_duplicates(
     links with nothing, and neither does one of another length or without an id. Further columns
     are not read.
 
-    A bucket of more than `block` vectors is cut into blocks, and each pair of blocks is a task of
-    its own. Links are counted there; no pair leaves it.
+    A bucket of more than `block` vectors is cut into blocks, and each pair of blocks is a cell of
+    its own. Cells are dealt out in bundles of some `bundle` vectors; links are counted there, and no
+    pair leaves it.
     """
     spark = vectors.sparkSession
     common.prepare(spark)
@@ -186,10 +195,14 @@ def near_duplicates(
             _keys(tables), "t int, code int, digest binary, n long, codes binary, unit binary"
         ), "keys",
     )
-    sizes = keyed.groupBy("t", "code").agg(F.count("*").alias("m")).where("m > 1")
+    sizes = stage(
+        keyed.groupBy("t", "code").agg(F.count("*").alias("m")).where("m > 1")
+        .withColumn("blocks", F.ceil(F.col("m") / block).cast("int")), "sizes",
+    )
+    rows_in_cells = sizes.agg(F.sum(F.col("m") * F.col("blocks"))).first()[0] or 0
+    bundles = -(-rows_in_cells // bundle) or 1
     cells = (
-        keyed.join(sizes, ["t", "code"])
-        .withColumn("blocks", F.ceil(F.col("m") / block).cast("int"))
+        keyed.join(sizes.select("t", "code", "blocks"), ["t", "code"])
         .withColumn("own", F.pmod(F.xxhash64("digest"), "blocks").cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
@@ -197,8 +210,9 @@ def near_duplicates(
             (F.col("own") > F.col("other")).cast("int").alias("side"),
             "digest", "n", "codes", "unit",
         )
+        .withColumn("bundle", F.pmod(F.xxhash64("t", "code", "ci", "cj"), F.lit(bundles)))
     )
-    found = stage(cells.groupBy("t", "code", "ci", "cj").applyInPandas(_compare(cosine), _FOUND), "found")
+    found = stage(cells.groupBy("bundle").applyInPandas(_compare(cosine), _FOUND), "found")
     near = found.groupBy("digest").agg(F.sum("n_links").alias("near"))
     joined = components(found.select(F.col("digest").alias("a"), F.col("root").alias("b")))
     named = groups.select("digest", "n", "least").join(

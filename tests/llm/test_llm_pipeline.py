@@ -136,7 +136,7 @@ def planted(spark, folder):
         docs[i] = f"{some(300)} {items[i - 500][1]} {some(50)}"
     docs[600] = f"{some(20)} me@mail.example.com {some(20)}"
     docs[601], docs[602] = None, ""
-    rows = [(i, t, "en", "s", t and len(t)) for i, t in docs.items()]
+    rows = [(i, t, "en", "s", None if t is None else len(t)) for i, t in docs.items()]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
