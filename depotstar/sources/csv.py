@@ -120,11 +120,9 @@ def ragged_rows(
             "columnNameOfCorruptRecord", "_ragged"
         ).option("columnPruning", False).csv(files)
         # All columns are asked for, or the parser would not look at all cells.
-        whole = df.select(
-            F.col("_metadata.file_name").alias("file"), "_ragged",
-            F.struct(*[F.col(f"`{n}`") for n in names]).alias("_cells"),
-        )
-        parts.append(whole.where("_ragged IS NOT NULL AND _cells IS NOT NULL").select("file"))
+        cells = F.concat_ws("", *[F.col(f"`{n}`") for n in names])
+        ragged = df.where(F.col("_ragged").isNotNull() & (F.length(cells) >= 0))
+        parts.append(ragged.select(F.col("_metadata.file_name").alias("file")))
     if not parts:
         return spark.createDataFrame([], "file string, n bigint")
     return union_all(parts).groupBy("file").agg(F.count(F.lit(1)).alias("n"))

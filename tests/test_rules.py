@@ -126,3 +126,26 @@ def test_whole_audit_runs_over_partial_tables(spark):
         ("CUSTOMER", "phone_number"), ("CUSTOMER", "membership_tier"), ("CUSTOMER", "chk_total_points"),
         ("LOYALTY_POINT", "customer_id -> CUSTOMER.customer_id"),
     }
+
+
+def test_rules_on_missing_columns_are_told(spark, rows):
+    rules = c.TableRules(
+        not_null=["a", "gone"], lengths={"gone": 3}, domains={"b": ["x"], "gone": ["y"]},
+        checks={"both": "a < gone", "one": "a > 1 AND b != 'gone'"}, unique=[["a"], ["a", "gone"]],
+    )
+    t = spark.createDataFrame([(1, "x"), (1, "z"), (None, None)], "a int, b string")
+    keys = [c.ForeignKey("t", "gone", "t", "a"), c.ForeignKey("t", "a", "nowhere", "id")]
+    found = {(r.rule, r.kind): r.violations for r in c.audit({"t": t}, {"t": rules}, keys).collect()}
+    assert found == {
+        ("a", "NOT NULL"): 1, ("gone", "NOT NULL"): None, ("gone <= 3", "LENGTH"): None,
+        ("b", "DOMAIN"): 1, ("gone", "DOMAIN"): None, ("both", "CHECK"): None, ("one", "CHECK"): 2,
+        ("a", "UNIQUE"): 1, ("a, gone", "UNIQUE"): None,
+        ("gone -> t.a", "FOREIGN KEY"): None, ("a -> nowhere.id", "FOREIGN KEY"): None,
+    }
+
+
+def test_a_cycle_of_cascades_is_refused(spark):
+    t = spark.createDataFrame([(1, 2), (2, 1)], "id int, other int")
+    keys = [c.ForeignKey("t", "other", "t", "id", "CASCADE")]
+    with pytest.raises(ValueError, match="cycle"):
+        c.delete_parents({"t": t}, keys, {"t": "id"}, "t", t.where("id = 1").select("id"))

@@ -243,3 +243,43 @@ def test_old_versions_expire(spark, tmp_path):
     tables.expire(spark, root, keep=2)
     assert tables.versions(spark, root) == [3, 4] and sorted(os.listdir(root)) == ["v3", "v4"]
     assert tables.read_version(spark, root, "a").count() == 3
+
+
+def test_files_with_different_headers(spark, rows, tmp_path):
+    (tmp_path / "a.csv").write_text("k,v\n1,x\n")
+    (tmp_path / "b.csv").write_text("v,k,w\ny,2,z\n\"p\nq\",3,\n")
+    (tmp_path / "c.csv").write_text("")
+    df = csv.read_flat(spark, str(tmp_path), multi_line=True)
+    assert df.columns == ["k", "v", "w"]
+    assert rows(df) == [("1", "x", None), ("2", "y", "z"), ("3", "p\nq", None)]
+    assert rows(csv.read_flat(spark, f"{tmp_path}/*.csv", ["v"], multi_line=True)) == [("p\nq",), ("x",), ("y",)]
+
+
+def test_ragged_rows(spark, rows, tmp_path):
+    (tmp_path / "a.csv").write_text("k,v\n1,x\n2\n3,y,z\n")
+    (tmp_path / "b.csv").write_text("v,k\nx,1\n")
+    assert rows(csv.ragged_rows(spark, str(tmp_path))) == [("a.csv", 2)]
+    assert rows(csv.ragged_rows(spark, f"{tmp_path}/b.csv")) == []
+
+
+def test_values_are_written_as_they_are(spark, rows, tmp_path):
+    df = spark.createDataFrame([("  pad ", 'say "x", y'), ("\t", "a\nb")], "k string, v string")
+    path = csv.write_flat(df, str(tmp_path / "out"))
+    assert rows(csv.read_flat(spark, path, multi_line=True)) == rows(df)
+
+
+def test_failed_conversions_are_counted(spark, rows, tmp_path):
+    path = write(
+        tmp_path / "in.csv",
+        [line(), line(**{"Sales": "x", "order date (DateOrders)": "31/12/2018 1:00", "Customer Id": ""}),
+         line(**{"Sales": " y "})],
+    )
+    assert rows(ingest.staging_failures(spark, path)) == [
+        ("stg_oms_order_items", "sales", 2), ("stg_oms_orders", "order_date", 1),
+    ]
+
+
+def test_cleaner_names_its_output(spark, tmp_path):
+    path = write(tmp_path / "in.csv", [line(), line()])
+    Cleaner(spark, path).run(now=datetime(2024, 1, 2, 3, 4, 5))
+    assert csv.newest_file(spark, str(tmp_path)).endswith("in_cleaned_20240102_030405.csv")
