@@ -30,12 +30,13 @@ _NEEDED = {
     "email": r"@[A-Za-z0-9-]+\.", "ip": r"[0-9]\.[0-9]+\.[0-9]", "card": r"(?:[0-9][ -]?){14}",
     "phone": r"\+[0-9]",
 }
+#: What a match x.m must meet, in SQL.
 _VALID = {
     "email": "true",
-    "ip": r"m rlike '^(?:0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9]|(?<=0))(?:\\.|$)){4}'",
-    "card": "length(regexp_replace(m, '[^0-9]', '')) between 14 and 19"
-            " and luhn_check(regexp_replace(m, '[^0-9]', ''))",
-    "phone": "length(regexp_replace(m, '[^0-9]', '')) between 10 and 15",
+    "ip": r"x.m rlike '^(?:0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9]|(?<=0))(?:\\.|$)){4}'",
+    "card": "length(regexp_replace(x.m, '[^0-9]', '')) between 14 and 19"
+            " and luhn_check(regexp_replace(x.m, '[^0-9]', ''))",
+    "phone": "length(regexp_replace(x.m, '[^0-9]', '')) between 10 and 15",
 }
 #: A word that could be an identifier.
 _CANDIDATE = r"(?<!\S)\S*[0-9@]\S*"
@@ -55,7 +56,7 @@ def _parts(pattern: str, needed: str) -> tuple[Column, Column]:
 
 
 def _located(matches: str, pieces: str, kind: str, made: str) -> str:
-    """SQL: `made`, an array, for each match m (number i, between characters a and b) in order."""
+    """SQL: the array of `made` for each match, x.m at character x.a and number i, in order."""
     return f"""
         aggregate(
             if(size({matches}) = 0, cast(array() as array<int>), sequence(0, size({matches}) - 1)),
@@ -71,7 +72,7 @@ def _located(matches: str, pieces: str, kind: str, made: str) -> str:
 
 
 def _base_spans(kind: str) -> str:
-    made = f"named_struct('start', x.a, 'end', x.a + length(x.m), 'kind', if({_VALID[kind].replace('m rlike', 'x.m rlike').replace('(m,', '(x.m,')}, '{kind}', null))"
+    made = f"named_struct('start', x.a, 'end', x.a + length(x.m), 'kind', if({_VALID[kind]}, '{kind}', null))"
     return f"filter({_located(f'{kind}_m', f'{kind}_p', _SPAN, made)}, s -> s.kind is not null)"
 
 
