@@ -38,20 +38,31 @@ _VALID = {
             " and luhn_check(regexp_replace(x.m, '[^0-9]', ''))",
     "phone": "length(regexp_replace(x.m, '[^0-9]', '')) between 10 and 15",
 }
-#: A word that could be an identifier.
-_CANDIDATE = r"(?<!\S)\S*[0-9@]\S*"
+#: Identifiers of fixed form stand in the masked text as one _OPEN and as many _MORE as fill their length.
+_OPEN, _MORE = "\ue000", "\ue001"
+_PLAIN = rf"[^\s{_OPEN}{_MORE}]"
+#: Digit blocks of a word, joined by brackets, dots or hyphens, to the end of the word.
+_BLOCKS = r"[0-9]++(?:[().\[\]-]{1,3}+[0-9]++)*+\p{Punct}*+(?!\S)"
+#: What could be an identifier: the word of one of fixed form, digit blocks over several words, or a word.
+_CANDIDATE = (
+    rf"(?:(?<!\S){_PLAIN}*+)?+{_OPEN}{_MORE}*+{_PLAIN}*+"
+    rf"|(?<!\S)\p{{Punct}}*+{_BLOCKS}(?:(?<=[0-9)\]-])[ ]{{1,3}}+(?:-[ ]++)?+[(\[]*+{_BLOCKS})*+"
+    rf"|(?<!\S){_PLAIN}*[0-9@]{_PLAIN}*+(?![{_OPEN}{_MORE}])"
+)
 
 _SPAN = "struct<start:int,end:int,kind:string>"
-_OCCURRENCE = "struct<start:int,end:int,token:string,before2:string,before:string,after:string>"
+_OCCURRENCE = (
+    "struct<start:int,end:int,token:string,seed:string,before2:string,before:string,after:string>"
+)
 
 
-def _parts(pattern: str, needed: str) -> tuple[Column, Column]:
-    """Matches in the column `text`, and the pieces between them."""
-    there = F.col("text").rlike(needed)
+def _parts(pattern: str, needed: str, column: str = "text") -> tuple[Column, Column]:
+    """Matches in `column`, and the pieces between them."""
+    there = F.col(column).rlike(needed)
     none = F.array().cast("array<string>")
     return (
-        F.when(there, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).otherwise(none),
-        F.when(there, F.split("text", pattern, -1)).otherwise(none),
+        F.when(there, F.regexp_extract_all(column, F.lit(pattern), F.lit(0))).otherwise(none),
+        F.when(there, F.split(column, pattern, -1)).otherwise(none),
     )
 
 
@@ -76,20 +87,52 @@ def _base_spans(kind: str) -> str:
     return f"filter({_located(f'{kind}_m', f'{kind}_p', _SPAN, made)}, s -> s.kind is not null)"
 
 
+def _apart() -> Column:
+    """Of the spans in `base`, those that no earlier one of them overlaps."""
+    return F.expr(f"""
+        aggregate(
+            base, named_struct('at', 0, 'out', cast(array() as array<{_SPAN}>)),
+            (s, x) -> if(x.start < s.at, s, named_struct('at', x.end, 'out', concat(s.out, array(x))))
+        ).out""")
+
+
+def _masked() -> Column:
+    """`text` with the spans in `apart` masked; all other characters keep their places."""
+    marks = f"{_OPEN}{_MORE}"
+    plain = f"if(text rlike '[{marks}]', translate(text, '{marks}', '??'), text)"
+    return F.expr(f"""
+        if(size(apart) = 0, {plain}, aggregate(
+            apart, named_struct('at', 0, 'out', cast(array() as array<string>)),
+            (s, x) -> named_struct('at', x.end, 'out', concat(s.out, array(
+                substring({plain}, s.at + 1, x.start - s.at), '{_OPEN}',
+                repeat('{_MORE}', x.end - x.start - 1)))),
+            s -> concat(array_join(s.out, ''), substring({plain}, s.at + 1))
+        ))""")
+
+
 def _words(text: str) -> str:
     return f"filter(split(lower({text}), '\\\\s+'), w -> w <> '')"
 
 
 def _occurrences() -> str:
-    lead = r"regexp_replace(x.m, '^[\\p{Punct}&&[^+]]+', '')"
+    # A bracket is kept in front where the candidate goes on behind its closing one.
+    lead = r"regexp_replace(x.m, '^(?:[\\p{Punct}&&[^+(]]|[(](?![^()]*[)][^()]*[A-Za-z0-9]))+', '')"
     core = rf"regexp_replace({lead}, '\\p{{Punct}}+$', '')"
     start = f"x.a + length(x.m) - length({lead})"
     before = _words("right(concat(if(i > 0, '§ ', '^ '), c_p[i]), 200)")
     after = _words("left(concat(c_p[i + 1], if(i + 1 < size(c_m), ' §', ' $')), 200)")
+    at = f"x.a + locate('{_OPEN}', x.m) - 1"
+    long = f"length(regexp_replace(x.m, '[^{_OPEN}{_MORE}]+', ''))"
+    context = (
+        f"'before2', get({before}, size({before}) - 2), 'before', get({before}, size({before}) - 1),"
+        f" 'after', get({after}, 0)"
+    )
     made = (
-        f"named_struct('start', {start}, 'end', {start} + length({core}), 'token', {core},"
-        f" 'before2', get({before}, size({before}) - 2), 'before', get({before}, size({before}) - 1),"
-        f" 'after', get({after}, 0))"
+        f"if(locate('{_OPEN}', x.m) > 0,"
+        f" named_struct('start', {at}, 'end', {at} + {long}, 'token', substring(text, {at} + 1, {long}),"
+        f" 'seed', get(filter(apart, s -> s.start = {at}), 0).kind, {context}),"
+        f" named_struct('start', {start}, 'end', {start} + length({core}), 'token', {core},"
+        f" 'seed', cast(null as string), {context}))"
     )
     return f"filter({_located('c_m', 'c_p', _OCCURRENCE, made)}, o -> o.token rlike '[0-9@]')"
 
@@ -102,13 +145,14 @@ def find_base(docs: DataFrame) -> DataFrame:
     parts = {}
     for kind in KINDS:
         parts[f"{kind}_m"], parts[f"{kind}_p"] = _parts(PATTERNS[kind], _NEEDED[kind])
-    parts["c_m"], parts["c_p"] = _parts(_CANDIDATE, "[0-9@]")
     kept = docs.columns
     found = docs.select("*", *[c.alias(n) for n, c in parts.items()])
-    found = found.select(
-        *kept, "c_m", "c_p", F.expr(f"concat({', '.join(map(_base_spans, KINDS))})").alias("base")
-    )
-    return found.select(*kept, _ordered("base").alias("base"), F.expr(_occurrences()).alias("tokens"))
+    found = found.select(*kept, F.expr(f"concat({', '.join(map(_base_spans, KINDS))})").alias("base"))
+    found = found.withColumn("base", _ordered("base")).withColumn("apart", _apart())
+    found = found.withColumn("masked", _masked())
+    matches, pieces = _parts(_CANDIDATE, f"[0-9@{_OPEN}]", "masked")
+    found = found.select(*kept, "base", "apart", matches.alias("c_m"), pieces.alias("c_p"))
+    return found.select(*kept, "base", F.expr(_occurrences()).alias("tokens"))
 
 
 def _ordered(spans: str) -> Column:
@@ -127,14 +171,12 @@ def _joined(spans: str) -> Column:
 def _edges(found: DataFrame) -> DataFrame:
     """uid, start, end, token, pattern and seed of each candidate and each of its contexts.
 
-    seed is the kind of the identifier of fixed form that starts in the token. Tokens that such an
-    identifier covers otherwise are left out. Contexts without letters say nothing.
+    A seed is an identifier of fixed form as a whole, and `seed` its kind. Other tokens that such an
+    identifier covers are left out. Contexts without letters say nothing.
     """
     tokens = found.select("uid", "base", F.explode("tokens").alias("o")).select(
-        "uid", "o.*",
-        F.expr("filter(base, s -> s.start < o.end and s.end > o.start)").alias("over"),
-        F.expr("get(filter(base, s -> s.start >= o.start and s.start < o.end), 0).kind").alias("seed"),
-    ).where("size(over) = 0 or seed is not null")
+        "uid", "o.*", F.expr("exists(base, s -> s.start < o.end and s.end > o.start)").alias("covered"),
+    ).where("seed is not null or not covered")
     shape = r"regexp_replace(regexp_replace(token, '[0-9]+', '0'), '[A-Za-z]+', 'a')"
     wordy = r"{0} rlike '\\p{{L}}'"
     b, b2, a = (wordy.format(c) for c in ("before", "before2", "after"))

@@ -135,6 +135,34 @@ def test_contexts_find_more(spark):
     assert all("@" not in redacted[i] and "please write to [EMAIL] about item" in redacted[i] for i in range(20))
 
 
+def luhn(digits):
+    total = sum(sum(divmod(int(d) * (1 + i % 2), 10)) for i, d in enumerate(reversed(digits + "0"))) % 10
+    return digits + str(-total % 10)
+
+
+def test_contexts_of_phones_and_cards(spark):
+    rng = random.Random(7)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    cards = [luhn("4" + digits(14)) for _ in range(12)]
+    rows = [f"you may reach us at +1 ({digits(3)}) 555-{digits(4)}, or come by on day {i}" for i in range(12)]
+    rows += [f"she paid by card {c[:4]} {c[4:8]} {c[8:12]} {c[12:]} on Monday" for c in cards]
+    broken = cards[0][:-1] + str((int(cards[0][-1]) + 1) % 10)
+    hidden = {
+        24: ("743 555 3824", "phone"), 25: ("(743) 555-3824", "phone"), 26: ("743.555.3824", "phone"),
+        27: (f"{broken[:4]} {broken[4:8]} {broken[8:12]} {broken[12:]}", "card"),
+    }
+    rows += [f"you may reach us at {hidden[i][0]}, or come by on day 3" for i in (24, 25, 26)]
+    rows += [f"she paid by card {hidden[27][0]} on Monday", "we sold 743 555 items on 12 days"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {r.doc_id: r for r in pii.find(df).collect()}
+    assert {i: [(rows[i][s.start:s.end], s.kind) for s in r.added] for i, r in found.items() if r.added} == {
+        i: [x] for i, x in hidden.items()
+    }
+    redacted = {r.doc_id: r.text for r in pii.redact(df).collect()}
+    assert redacted[27] == "she paid by card [CARD] on Monday" and redacted[28] == rows[28]
+    assert all(redacted[i].startswith("you may reach us at [PHONE], or come") for i in [*range(12), 24, 25, 26])
+
+
 def test_redact(spark):
     rows = [(i, t, "x", i) for i, t in enumerate(EDGES)] + [(None, "a@b.c", "y", 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, spans string, n long")
