@@ -13,6 +13,8 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,10 @@ IDENTITY_GROUPS = (
     ("old", "young", "elderly"),
 )
 IDENTITY = frozenset(t.encode() for g in IDENTITY_GROUPS for t in g)
+#: Identity terms have features of their own, all other terms share 2 ** HASH_BITS by their hashes.
+IDENTITY_AT = {t: i for i, t in enumerate(sorted(IDENTITY))}
+HASH_BITS = 20
+FEATURES = len(IDENTITY_AT) + (1 << HASH_BITS)
 
 #: A-Z become a-z; ASCII marks become blanks, so that words lose them.
 _PLAIN = bytes(
@@ -43,6 +49,15 @@ def terms(text: bytes) -> set[bytes]:
     return set(text.translate(_PLAIN).split())
 
 
+def places(found: set[bytes]) -> np.ndarray:
+    """The features of a set of terms, each once, in order."""
+    first, mask, digest = len(IDENTITY_AT), (1 << HASH_BITS) - 1, xxhash.xxh64_intdigest
+    return np.unique(np.fromiter(
+        (IDENTITY_AT[t] if t in IDENTITY_AT else first + (digest(t) & mask) for t in found),
+        np.int32, len(found),
+    ))
+
+
 def sentences(text: bytes) -> list[bytes]:
     for mark in b"!?\n":
         text = text.replace(bytes([mark]), b".")
@@ -51,63 +66,40 @@ def sentences(text: bytes) -> list[bytes]:
 
 @dataclass
 class Model:
-    weights: dict[bytes, float] = field(default_factory=dict)
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(FEATURES, np.float32))
     bias: float = 0.0
 
     def score(self, text: bytes) -> float:
-        z = self.bias + sum(self.weights[t] for t in terms(text) & self.weights.keys())
+        z = self.bias + float(self.weights[places(terms(text))].sum(dtype=np.float64))
         return 1 / (1 + math.exp(-max(-700.0, min(700.0, z))))
 
 
-def _terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each term of a text."""
+def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per labelled text: the features of its terms, and of identity terms by sentence."""
     for batch in batches:
-        for label, text in zip(batch.column("label").to_pylist(), common.text_bytes(batch)):
-            found = list(terms(text))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([label] * len(found), pa.int32()), pa.array(found, pa.binary())],
-                names=["label", "term"],
+        features, mentions = [], []
+        for text in common.text_bytes(batch):
+            own = terms(text)
+            features.append(places(own))
+            mentions.append(
+                [IDENTITY_AT[t] for s in sentences(text) for t in terms(s) & IDENTITY]
+                if own & IDENTITY else []
             )
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("label"), pa.array(features, pa.list_(pa.int32())),
+             pa.array(mentions, pa.list_(pa.int32()))],
+            names=["label", "places", "mentions"],
+        )
 
 
-def _telling_terms(sample: DataFrame, at_most: int, least_z: float, least_rows: int) -> list[bytes]:
-    """Terms whose document frequencies in the two classes differ by `least_z` deviations."""
-    by_label = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    n0, n1 = by_label.get(0, 0), by_label.get(1, 0)
-    if not n0 or not n1:
-        return []
-    counts = sample.mapInArrow(_terms_of, "label int, term binary").groupBy("term").agg(
-        F.sum("label").alias("c1"), F.sum(1 - F.col("label")).alias("c0")
-    ).where(F.col("c0") + F.col("c1") >= least_rows)
-    share = f"((c0 + c1) / {n0 + n1}D)"
-    spread = f"sqrt({share} * (1 - {share}) * {1 / n0 + 1 / n1!r}D)"
-    return [
-        bytes(r["term"])
-        for r in counts.withColumn("z", F.expr(f"abs(c1 / {n1}D - c0 / {n0}D) / {spread}"))
-        .where(F.col("z") >= least_z).orderBy(F.desc("z"), "term").limit(at_most).collect()
-    ]
-
-
-def _rows_of(vocabulary: dict[bytes, int]):
-    """Per labelled text: the places of its known terms, and of identity terms by sentence."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            places, mentions = [], []
-            for text in common.text_bytes(batch):
-                own = terms(text)
-                places.append(sorted(vocabulary[t] for t in own & vocabulary.keys()))
-                mentions.append(
-                    [vocabulary[t] for s in sentences(text) for t in terms(s) & IDENTITY]
-                    if own & IDENTITY else []
-                )
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("label"), pa.array(places, pa.list_(pa.int32())),
-                 pa.array(mentions, pa.list_(pa.int32()))],
-                names=["label", "places", "mentions"],
-            )
-
-    return rows
+def squared_deviations(features: np.ndarray, rows: np.ndarray, labels: np.ndarray, k: int) -> np.ndarray:
+    """z ** 2 of the difference between a feature's document frequencies in the two classes."""
+    n, n1 = len(labels), labels.sum()
+    c1 = np.bincount(features, weights=labels[rows], minlength=k)
+    c = np.bincount(features, minlength=k)
+    share = c / n
+    spread = share * (1 - share) * (1 / n1 + 1 / (n - n1))
+    return (c1 / n1 - (c - c1) / (n - n1)) ** 2 / np.maximum(spread, 1e-300)
 
 
 def counterfactual_penalty(vocabulary: dict[bytes, int], mentions: np.ndarray) -> np.ndarray:
@@ -128,42 +120,68 @@ def counterfactual_penalty(vocabulary: dict[bytes, int], mentions: np.ndarray) -
     return s / max(swaps, 1)
 
 
-def solve(rows: list[list[int]], labels: np.ndarray, penalty: np.ndarray, ridge: float, weight: float):
-    """Newton's method on the mean logistic loss + ridge |w|^2 / 2 + weight w'Sw; bias free."""
-    n, k = len(rows), len(penalty)
+def solve(rows: list, labels: np.ndarray, penalty: np.ndarray, ridge, weight: float):
+    """Newton's method on the mean logistic loss + ridge w^2 / 2 + weight w'Sw; bias free.
+
+    `rows` has the features of each row, `ridge` a number or one for each feature, and `penalty` is
+    S for the first features. Steps are found by conjugate gradients, so no matrix of all is made.
+    """
+    n, m = len(rows), len(penalty)
+    k = max(m, np.size(ridge))
+    lengths = [len(r) for r in rows]
+    at = np.concatenate([np.asarray(r, np.int32) for r in rows])
+    row = np.repeat(np.arange(n, dtype=np.int32), lengths)
+    ridge = np.append(np.broadcast_to(ridge, k), 0.0)
+
+    def by_row(v):
+        return np.bincount(row, weights=v[at], minlength=n) + v[k]
+
+    def by_feature(u):
+        return np.append(np.bincount(at, weights=u[row], minlength=k), u.sum()) / n
+
+    def fixed(v):
+        out = ridge * v
+        out[:m] += 2 * weight * (penalty @ v[:m])
+        return out
+
     w = np.zeros(k + 1)
-    fixed = np.zeros((k + 1, k + 1))
-    fixed[:k, :k] = ridge * np.eye(k) + 2 * weight * penalty
-    for _ in range(50):
-        gradient, curvature = fixed @ w, fixed + 1e-9 * np.eye(k + 1)
-        for at in range(0, n, 1024):
-            part = rows[at:at + 1024]
-            x = np.zeros((len(part), k + 1))
-            x[:, k] = 1
-            for r, places in enumerate(part):
-                x[r, places] = 1
-            p = 1 / (1 + np.exp(-np.clip(x @ w, -700, 700)))
-            gradient += x.T @ (p - labels[at:at + 1024]) / n
-            curvature += (x * (p * (1 - p))[:, None]).T @ x / n
-        step = np.linalg.solve(curvature, gradient)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(by_row(w), -700, 700)))
+        curve = p * (1 - p) + 1e-9
+        scale = by_feature(curve) + ridge + 1e-9
+        scale[:m] += 2 * weight * np.diag(penalty)
+        step, left = np.zeros(k + 1), by_feature(p - labels) + fixed(w)
+        way = left / scale
+        size = first = left @ way
+        for _ in range(200):
+            if size <= 1e-6 * first:
+                break
+            bent = by_feature(curve * by_row(way)) + fixed(way) + 1e-9 * way
+            far = size / (way @ bent)
+            step += far * way
+            left = left - far * bent
+            now = left @ (left / scale)
+            way = left / scale + now / size * way
+            size = now
         # A bounded step keeps separable classes from overshooting.
         w -= step * min(1.0, 4.0 / max(np.abs(step).max(), 1e-12))
-        if np.abs(step).max() < 1e-7:
+        if np.abs(step).max() < 1e-5:
             break
     return w[:k], float(w[k])
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, label_column: str = "toxic", folds: int = 3,
-    held_out: int = 1, max_rows: int = 20_000, max_terms: int = 512, least_z: float = 5.0,
-    least_rows: int = 10, ridge: float = 1e-4, counterfactual: float = 1.0,
+    held_out: int = 1, max_rows: int = 20_000, ridge: float = 1e-4, counterfactual: float = 1.0,
 ) -> Model:
     """Fit on at most `max_rows` labelled rows, those with the smallest hashes of doc_id.
 
-    That sample bounds what is fitted on the driver, as `max_terms` does for the terms. Equal texts
-    with equal labels count once, so that many copies of a text don't make its words telling. Terms
-    in fewer than `least_rows` texts are not looked at. Labels of the held-out fold are not read;
-    values other than 0 and 1 are ignored. Without rows of both classes the score is constant.
+    That sample bounds the rows fitted on the driver. All their terms count: `ridge`, the penalty of
+    a weight, is divided by z ** 4 / 100, z being the deviations by which the term's shares of the
+    classes differ, so that the weights of terms that tell little stay small. Equal texts with equal
+    labels count once, so that many copies of a text don't make its words telling. Labels of the
+    held-out fold are not read; values other than 0 and 1 are ignored. Without rows of both classes
+    the score is constant.
     """
     common.prepare(docs.sparkSession)
     known = labels.select(
@@ -175,25 +193,34 @@ def fit(
         common.id_and_text(docs, "doc_id", "text").join(F.broadcast(chosen), "id")
         .select("label", "text").distinct(), "labelled",
     )
-    telling = _telling_terms(sample, max_terms, least_z, least_rows)
-    vocabulary = {t: i for i, t in enumerate(dict.fromkeys([*sorted(IDENTITY), *telling]))}
     got = sample.mapInArrow(
-        _rows_of(vocabulary), "label int, places array<int>, mentions array<int>"
-    ).collect()
-    if not got:
+        _rows_of, "label int, places array<int>, mentions array<int>"
+    ).toArrow().combine_chunks()
+    if not got.num_rows:
         return Model()
-    y = np.array([r["label"] for r in got], float)
-    mentions = np.bincount(
-        [i for r in got for i in r["mentions"]], minlength=len(vocabulary)
-    ).astype(float)
+    y = got["label"].to_numpy().astype(float)
     if y.min() == y.max():
         share = (y.sum() + 0.5) / (len(y) + 1)
         return Model(bias=math.log(share / (1 - share)))
+    m = len(IDENTITY_AT)
+    lists = got["places"]
+    lengths = pa.compute.list_value_length(lists).to_numpy()
+    given = pa.compute.list_flatten(lists).to_numpy()
+    mentions = np.bincount(pa.compute.list_flatten(got["mentions"]).to_numpy(), minlength=m).astype(float)
+    known = np.union1d(np.arange(m), given)
+    at = np.searchsorted(known, given).astype(np.int32)
+    rows = np.repeat(np.arange(len(y)), lengths)
+    told = squared_deviations(at, rows, y, len(known)) ** 2 / 100
+    penalties = ridge / (told + 1e-3)
+    # What identity terms may say is for the counterfactual penalty to decide.
+    penalties[:m] = ridge
     w, bias = solve(
-        [r["places"] for r in got], y, counterfactual_penalty(vocabulary, mentions), ridge,
-        counterfactual,
+        np.split(at, np.cumsum(lengths)[:-1]), y, counterfactual_penalty(IDENTITY_AT, mentions),
+        penalties, counterfactual,
     )
-    return Model({t: float(w[i]) for t, i in vocabulary.items() if abs(w[i]) > 1e-9}, bias)
+    weights = np.zeros(FEATURES, np.float32)
+    weights[known] = w
+    return Model(weights, bias)
 
 
 def score(docs: DataFrame, model: Model, column: str = "toxicity") -> DataFrame:

@@ -181,6 +181,19 @@ def test_toxicity(spark):
     assert got[n].score == got[n + 1].score < 0.3 and got[n + 3].predicted == 1
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="test tables not present")
+def test_rare_toxic_terms_count(spark):
+    docs, labels = (table(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
+    got = toxicity.classify(docs, labels).where("held_out").join(labels, "doc_id").join(
+        docs.select("doc_id", "lang"), "doc_id").groupBy("lang", "toxic", "predicted").count().collect()
+    counts = {(r.lang, r.toxic, r.predicted): r["count"] for r in got}
+    found = {g: counts.get((g, 1, 1), 0) for g in ("de", "en", "es", "fr")}
+    alarms = {g: counts.get((g, 0, 1), 0) for g in found}
+    print(found, alarms)
+    least = {"de": 14, "en": 73, "es": 3, "fr": 23}
+    assert all(found[g] >= least[g] and alarms[g] <= 2 for g in found), (found, alarms)
+
+
 def test_counterfactuals_spare_mentions(spark):
     texts, labels = toxic_rows()
     # Every third toxic text has no insult, so that the mentions seem to tell.
