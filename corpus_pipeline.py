@@ -22,20 +22,39 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, own).where(F.col(f"`{own}`") < 0.7).select(*docs.columns)
 
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """`docs` staged with a column that numbers its rows, and the name of that column."""
+    own = "_" + max([*docs.columns, "row"], key=len)  # no column has this name
+    return stage(docs.withColumn(own, F.monotonically_increasing_id()), "numbered"), own
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group at two bits of three-word fingerprints, the document with the smallest doc_id.
+    """Of each group at two bits of three-word fingerprints, one row: that of the smallest doc_id.
 
-    Documents without doc_id can't be told apart and stay.
+    Rows with equal doc_id, or none, are told apart by their number; those without doc_id are last.
     """
-    groups = simhash.near_duplicates(docs, shingle=3, max_distance=2)
-    gone = groups.where("id <> component_id").select(F.col("id").alias("doc_id"))
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rows, own = _numbered(docs)
+    rank = F.struct(
+        F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("doc_id"), F.col(own).alias("row")
+    )
+    groups = simhash.near_duplicates(
+        rows.select(rank.alias("rank"), "text"), shingle=3, max_distance=2, id_column="rank"
+    )
+    gone = groups.where("id.row <> component_id.row").select(F.col("id.row").alias(own))
+    return rows.join(gone, own, "left_anti").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Rows that hold no benchmark item; each is judged by its own text, whatever its doc_id.
+
+    Rows go by a digest of their text, so equal texts are one document.
+    """
     items = table(spark, sf_dir, "benchmark")
-    return decontaminate.clean(docs, items, shingle=5, threshold=0.8).select(*docs.columns)
+    own = "_" + max([*docs.columns, "digest"], key=len)  # no column has this name
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.withColumn(own, F.unhex(F.sha2(text.cast("binary"), 256)))
+    bad = decontaminate.contained(rows, items, shingle=5, threshold=0.8, id_column=own)
+    return rows.join(bad.select(F.col("doc").alias(own)).distinct(), own, "left_anti").select(*docs.columns)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

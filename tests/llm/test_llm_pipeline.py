@@ -167,6 +167,23 @@ def test_stages(spark, tmp_path, tokenizer):
     check_packing(rows, [(i, r.text) for i, r in final.items()], tokenizer, 2048)
 
 
+def test_stages_decide_by_row(spark, tmp_path):
+    rng = random.Random(8)
+    some = lambda n: " ".join("".join(rng.choice("abcdefghijklm") for _ in range(5)) for _ in range(n))
+    a, b, c, d, e = (some(60) for _ in range(5))
+    item = some(30)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    left = lambda out: sorted(map(tuple, out.collect()), key=str)
+    rows = [(5, a), (5, a), (7, a), (7, b), (None, c), (None, c), (None, d), (9, d), (None, e)]
+    out = corpus_pipeline.drop_near_duplicates(spark, frame(rows), str(tmp_path))
+    assert left(out) == sorted([(5, a), (7, b), (None, c), (9, d), (None, e)], key=str)
+    holds = f"{a} {item} {b}"
+    rows = [(1, holds), (1, c), (None, holds), (None, d), (2, e), (3, None)]
+    out = corpus_pipeline.drop_contaminated(spark, frame(rows), str(tmp_path))
+    assert left(out) == sorted([(1, c), (None, d), (2, e), (3, None)], key=str)
+
+
 @needs_tables
 def test_pipeline_against_plain_stages(spark, tokenizer):
     docs = table(spark, FOLDER, "documents")
