@@ -219,7 +219,7 @@ def test_against_sql(spark, name):
 
 @needs_tables
 def test_one_query_for_each_operator(spark):
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
     documents = table(spark, FOLDER, "documents").count()
     for name in ("op2_pii", "op3_lm_score", "op4_toxicity", "op6_simhash", "op7_token_counts", "op9_quality"):
         assert QUERIES[name](spark, FOLDER).count() == documents
