@@ -35,6 +35,11 @@ SURROGATE_KEYS = {
     "dim_shipping": "shipping_key",
 }
 
+ITEM_ATTRIBUTES = [
+    "product_id", "product_name", "product_card_id", "product_price", "category_id",
+    "category_name", "department_id", "department_name",
+]
+
 
 def item_attributes(items: DataFrame) -> DataFrame:
     """What the items say of products, categories and departments, each combination once.
@@ -42,10 +47,7 @@ def item_attributes(items: DataFrame) -> DataFrame:
     The three product dimensions can be built from this in place of the items, which are then read
     and reduced a single time.
     """
-    return items.select(
-        "product_id", "product_name", "product_card_id", "product_price", "category_id",
-        "category_name", "department_id", "department_name",
-    ).distinct()
+    return items.select(*ITEM_ATTRIBUTES).distinct()
 
 
 def department_rows(items: DataFrame) -> DataFrame:
@@ -82,8 +84,8 @@ def product_rows(items: DataFrame, dim_category: DataFrame, one_match: bool = Tr
     return joined.select(*own, "category_key").distinct()
 
 
-def customer_rows(orders: DataFrame) -> DataFrame:
-    """Customers by every place they ordered from; there is no filter on the customer id."""
+def order_customers(orders: DataFrame) -> DataFrame:
+    """What each order says of its customer."""
     return orders.select(
         "customer_id",
         "customer_fname",
@@ -92,34 +94,52 @@ def customer_rows(orders: DataFrame) -> DataFrame:
         F.col("order_city").alias("customer_city"),
         F.col("order_state").alias("customer_state"),
         F.col("order_country").alias("customer_country"),
-    ).distinct()
+    )
 
 
-def geography_rows(orders: DataFrame, shipments: DataFrame) -> DataFrame:
-    """Order places, which have no coordinates, and ship places, which may have them."""
+def customer_rows(orders: DataFrame) -> DataFrame:
+    """Customers by every place they ordered from; there is no filter on the customer id."""
+    return order_customers(orders).distinct()
+
+
+def order_places(orders: DataFrame) -> DataFrame:
+    """The place of each order that has one, without coordinates."""
     none = F.lit(None).cast("decimal(10,6)")
-    ordered = orders.where(F.col("order_city").isNotNull()).select(
+    return orders.where(F.col("order_city").isNotNull()).select(
         F.col("order_city").alias("city"),
         F.col("order_state").alias("state"),
         F.col("order_country").alias("country"),
         none.alias("latitude"),
         none.alias("longitude"),
-    ).distinct()
-    shipped = shipments.where(F.col("ship_city").isNotNull()).select(
+    )
+
+
+def ship_places(shipments: DataFrame) -> DataFrame:
+    """The place of each shipment that has one, with its coordinates if they are known."""
+    return shipments.where(F.col("ship_city").isNotNull()).select(
         F.col("ship_city").alias("city"),
         F.col("ship_state").alias("state"),
         F.col("ship_country").alias("country"),
         "latitude",
         "longitude",
-    ).distinct()
+    )
+
+
+def geography_rows(orders: DataFrame, shipments: DataFrame) -> DataFrame:
+    """Order places, which have no coordinates, and ship places, which may have them."""
+    ordered, shipped = order_places(orders).distinct(), ship_places(shipments).distinct()
     return ordered.unionByName(shipped).distinct()
 
 
 def date_rows(orders: DataFrame, shipments: DataFrame) -> DataFrame:
     """The dates that occur, not a calendar."""
     ordered = orders.select(F.col("order_date").alias("full_date")).distinct()
-    seen = ordered.union(shipments.select("ship_date").distinct())
-    days = seen.where(F.col("full_date").isNotNull()).distinct()
+    return calendar(ordered.union(shipments.select("ship_date").distinct()))
+
+
+def calendar(seen: DataFrame) -> DataFrame:
+    """Each known date of `seen` (full_date) once, with its parts."""
+    days = seen.select("full_date").where(F.col("full_date").isNotNull()).distinct()
     return days.withColumns(date_parts(F.col("full_date")))
 
 

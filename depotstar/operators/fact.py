@@ -39,6 +39,12 @@ def customer_lookup(orders: DataFrame, dim_customer: DataFrame, one_match: bool)
     rows = dim_customer.select("customer_id", *_CUSTOMER, *place, "customer_key")
     if not one_match:
         return rows.select("customer_id", "customer_key", *place)
+    return latest_key(latest_attributes(orders), rows)
+
+
+def latest_attributes(orders: DataFrame) -> DataFrame:
+    """What the latest order of each customer says of it."""
+    place = [f"customer_{c}" for c in _PLACE]
     seen = orders.select(
         "customer_id",
         *_CUSTOMER,
@@ -48,11 +54,17 @@ def customer_lookup(orders: DataFrame, dim_customer: DataFrame, one_match: bool)
         ).alias("_at"),
     ).where(F.col("customer_id").isNotNull())
     attributes = F.struct(*_CUSTOMER, *place)
-    latest = (
+    return (
         seen.groupBy("customer_id")
         .agg(F.max_by(attributes, F.col("_at")).alias("_row"))
         .select("customer_id", "_row.*")
     )
+
+
+def latest_key(latest: DataFrame, dim_customer: DataFrame) -> DataFrame:
+    """Customer id -> key and place of the dimension row that has the latest attributes."""
+    place = [f"customer_{c}" for c in _PLACE]
+    rows = dim_customer.select("customer_id", *_CUSTOMER, *place, "customer_key")
     same = {c: c for c in ["customer_id", *_CUSTOMER, *place]}
     return left_lookup(latest, rows, same, null_safe=True).select(
         "customer_id", "customer_key", *place
@@ -72,16 +84,31 @@ def shipping_lookup(dim_shipping: DataFrame) -> DataFrame:
     return dim_shipping.select(*_FLAGS, "shipping_key")
 
 
-def order_keys(orders: DataFrame, dims: dict[str, DataFrame], one_match: bool) -> DataFrame:
-    """Order id with the four keys that depend on the order."""
-    geography = geography_lookup(dims["dim_geography"], one_match)
-    customers = customer_lookup(orders, dims["dim_customer"], one_match)
-    customers = left_lookup(
+def customer_places(customers: DataFrame, geography: DataFrame, one_match: bool = True) -> DataFrame:
+    """Customer id -> key and key of the customer's place."""
+    return left_lookup(
         customers,
         geography.withColumnRenamed("geography_key", "customer_geography_key"),
         {f"customer_{c}": c for c in _PLACE},
         null_safe=one_match,
     ).select("customer_id", "customer_key", "customer_geography_key")
+
+
+def order_keys(
+    orders: DataFrame,
+    dims: dict[str, DataFrame],
+    one_match: bool,
+    customers: DataFrame | None = None,
+) -> DataFrame:
+    """Order id with the four keys that depend on the order.
+
+    `customers` is the result of `customer_places` if it is known, so that `orders` need not hold all
+    orders of a customer.
+    """
+    geography = geography_lookup(dims["dim_geography"], one_match)
+    if customers is None:
+        found = customer_lookup(orders, dims["dim_customer"], one_match)
+        customers = customer_places(found, geography, one_match)
     dates = dims["dim_date"].select("full_date", F.col("date_key").alias("order_date_key"))
     own = orders.select("order_id", "customer_id", "order_date", *[f"order_{c}" for c in _PLACE])
     own = left_lookup(own, dates, {"order_date": "full_date"}, keys_from=orders)
@@ -138,6 +165,7 @@ def order_items(
     shipments: DataFrame,
     dims: dict[str, DataFrame],
     one_match: bool = True,
+    customers: DataFrame | None = None,
 ) -> DataFrame:
     """The fact: seven keys, six measures, the item's business key, and the order year and month.
 
@@ -145,7 +173,7 @@ def order_items(
     staged orders have one row per order already. Without, each lookup may multiply the rows, as
     plain joins to the dimensions do.
     """
-    by_order = order_keys(orders, dims, one_match)
+    by_order = order_keys(orders, dims, one_match, customers)
     measures = items.select(
         "order_item_id",
         "order_id",

@@ -7,6 +7,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from depotstar.operators.joins import left_lookup
 from depotstar.session import stage
 
 # monotonically_increasing_id keeps the partition number above this bit.
@@ -30,6 +31,22 @@ def assign_keys(df: DataFrame, natural_key: list[str], key: str) -> DataFrame:
     return numbered.select((F.col("_start") + row).alias(key), *df.columns)
 
 
+def extend_keys(rows: DataFrame, known: DataFrame, natural_key: list[str], key: str) -> DataFrame:
+    """`rows` with the keys they have in `known`; others get the next numbers, in natural key order.
+
+    `natural_key` is unique on both sides, NULL equals NULL. Keys once given stay.
+    """
+    same = {c: c for c in natural_key}
+    met = stage(left_lookup(rows, known.select(*natural_key, key), same, null_safe=True), key)
+    new = met.where(F.col(key).isNull())
+    if new.isEmpty():
+        return met
+    last = known.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
+    fresh = assign_keys(new.drop(key), natural_key, key)
+    fresh = fresh.withColumn(key, (F.col(key) + last).cast(known.schema[key].dataType))
+    return met.where(F.col(key).isNotNull()).unionByName(fresh)
+
+
 def range_starts(sizes: DataFrame) -> DataFrame:
     """(_part, _start): rows before each range, from (_part, _n).
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,14 +34,15 @@ from depotstar.plans.warehouse import build_dimensions, empty_star, keyed, tempo
 from depotstar.schemas import STAR_FOREIGN_KEYS, WAREHOUSE, conform, text_limit
 from depotstar.session import fresh_path, stage, together
 from depotstar.sources import csv, retail, standin, tables
-from depotstar.streaming import incremental
+from depotstar.sources.files import file_system
+from depotstar.streaming import incremental, live
 
 # One fixed run time, so that results can be compared.
 NOW = datetime(2024, 1, 1)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_built: dict[tuple[str, str, str], dict[str, DataFrame]] = {}
+_built: dict[tuple, dict[str, DataFrame]] = {}
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -162,11 +163,22 @@ def inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, Data
     )
 
 
+def _files(spark: SparkSession, folder: str) -> tuple[str, ...]:
+    """Names, lengths and times of what a folder holds."""
+    fs, p = file_system(spark, folder)
+    return tuple(sorted(
+        f"{s.getPath().getName()} {s.getLen()} {s.getModificationTime()}" for s in fs.listStatus(p)
+    ))
+
+
 def _once(
     spark: SparkSession, folder: str, what: str, build: Callable[[], dict[str, DataFrame]]
 ) -> dict[str, DataFrame]:
-    """Tables built once per application and folder, as any warehouse is before it is read."""
-    at = (spark.sparkContext.applicationId, folder, what)
+    """Tables built once per application, as any warehouse is before it is read.
+
+    A folder whose tables were written anew is another one.
+    """
+    at = (spark.sparkContext.applicationId, folder, what, _files(spark, folder))
     if at not in _built:
         _built[at] = build()
     return _built[at]
@@ -194,6 +206,11 @@ def fact_one_match(spark: SparkSession, folder: str) -> DataFrame:
     again = shipments.where(F.pmod(F.xxhash64("shipment_id"), F.lit(3)) == 0)
     shipments = shipments.unionByName(again.withColumn("ship_date", F.lit(None).cast("date")))
     fact = order_items(items, orders, shipments, star)
+    return _shown(fact, star)
+
+
+def _shown(fact: DataFrame, star: dict[str, DataFrame]) -> DataFrame:
+    """The rows of the fact with what their keys stand for."""
     attributes = {
         "customer": ["customer_id"],
         "product": ["product_id", "category_name", "department_name"],
@@ -651,47 +668,78 @@ def incremental_events(spark: SparkSession, folder: str) -> DataFrame:
     return loaded.select("user_id", "event_id", "event_type", "value")
 
 
-def incremental_star(spark: SparkSession, folder: str) -> DataFrame:
-    """Items, orders and shipments streamed into staging and a star; its revenue by department.
+def _one_in(column: str, n: int) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(n)) == 0
 
-    The star is refreshed when the later orders and a part of the lines are there, and again when
-    the earlier orders, the other lines and some lines once more have come.
+
+def _live_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Items, orders and shipments streamed into staging, and a star refreshed after each arrival.
+
+    Nearly everything comes first. What comes later belongs to orders of one quarter: a part of the
+    orders is late, others had another date before, or grow by a line; some lines stood under another
+    product, some shipments had another status; some rows come again as they were.
     """
-    _, orders, shipments = inputs(spark, folder)
-    part = standin.table(spark, folder, "part")
-    lines = standin.table(spark, folder, "lineitem")
-    late = F.pmod(F.month("order_date"), F.lit(2)) == 0
-    arrivals = [
-        (lines.where(_third("l_orderkey", 1)), orders.where(late), shipments.where(_third("order_id", 1))),
-        (
-            lines.where(~_third("l_orderkey", 1) | (F.col("l_linenumber") == 1)),
-            orders.where(~late | late.isNull()), shipments.where(~_third("order_id", 1)),
-        ),
-    ]
+    items, orders, shipments = inputs(spark, folder)
+    placed = (F.year("order_date") == 1996) & (F.quarter("order_date") == 2)
+    quarter = stage(orders.where(placed).select(F.col("order_id").alias("_order")), "quarter")
+
+    def marked(df: DataFrame) -> DataFrame:
+        here = quarter.withColumn("_here", F.lit(True))
+        return left_lookup(df, here, {"order_id": "_order"})
+
+    def split(df: DataFrame, key: str, column: str, wrong: Column) -> tuple[DataFrame, DataFrame]:
+        """The rows as they come first, some with a wrong value in `column`, and what comes later."""
+        here = F.col("_here").isNotNull()
+        all_rows = marked(df)
+        missing, changed, again = (here & _one_in(key, n) for n in (3, 5, 7))
+        first = all_rows.where(~missing).withColumns(
+            {column: F.when(changed, wrong).otherwise(F.col(column)), "load_timestamp": F.lit(NOW - timedelta(days=1))}
+        )
+        return first.drop("_here"), all_rows.where(missing | changed | again).drop("_here")
+
+    staged_items = split(items, "order_item_id", "product_id", F.col("product_id") % 7 + 1)
+    staged_orders = split(orders, "order_id", "order_date", F.date_sub("order_date", 30))
+    staged_shipments = split(shipments, "shipment_id", "delivery_status", F.lit("Unknown"))
+    arrivals = list(zip(staged_items, staged_orders, staged_shipments))
     paths = {n: (fresh_path(spark, f"{n}_files"), fresh_path(spark, n)) for n in ("items", "orders", "shipments")}
     root = fresh_path(spark, "live_star")
 
-    def load(name: str, arrived: DataFrame, key: str, latest: list[str], **more) -> DataFrame:
+    def load(name: str, arrived: DataFrame, key: str, *more: str) -> Callable[[], incremental.Table]:
         watched, target = paths[name]
-        _arrive(arrived, watched)
-        return incremental.upsert_new(
-            spark, watched, arrived.schema, target, fresh_path(spark, "checkpoint"), key=[key],
-            latest=latest, **more,
-        )
 
-    for some_lines, some_orders, some_shipments in arrivals:
-        loaded = together(
-            lambda: load(
-                "items", some_lines, "order_item_id", ["sales"],
-                prepare=lambda df: standin.items_of(df, part, NOW),
-            ),
-            lambda: load("orders", some_orders, "order_id", ["load_timestamp"]),
-            lambda: load("shipments", some_shipments, "shipment_id", ["load_timestamp"]),
+        def run() -> incremental.Table:
+            _arrive(arrived, watched)
+            return incremental.upsert_into(
+                spark, watched, arrived.schema, target, fresh_path(spark, "checkpoint"), key=[key],
+                latest=["load_timestamp", *more],
+            )
+
+        return run
+
+    for some_items, some_orders, some_shipments in arrivals:
+        staged = together(
+            load("items", some_items, "order_item_id", "sales"),
+            load("orders", some_orders, "order_id"),
+            load("shipments", some_shipments, "shipment_id"),
         )
-        staged = [stage(df, "staged") for df in loaded]
-        star = incremental.refresh_star(spark, *staged, root)
+        star = live.refresh(spark, *staged, root)
+    return star
+
+
+def live_star_for(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return _once(spark, folder, "live star", lambda: _live_star(spark, folder))
+
+
+def incremental_star(spark: SparkSession, folder: str) -> DataFrame:
+    """Revenue by department and year of a star kept up by what changed."""
     by = {"department_name": "product.department_name", "year": "order_date.year"}
-    return portable(marts.grouped_measures(star, by))
+    return portable(marts.grouped_measures(live_star_for(spark, folder), by))
+
+
+def incremental_fact(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row of the fact kept up by what changed; each key is shown as what it stands for."""
+    star = live_star_for(spark, folder)
+    return _shown(star["order_items"], star)
 
 
 def hot_key_lookup(spark: SparkSession, folder: str) -> DataFrame:
@@ -814,7 +862,7 @@ QUERIES: dict[str, Query] = {
         cleaning_report, cleaning_warnings, validation_checks, validation_verdict,
         fk_audit, check_audit, unique_audit, retail_audit, delete_actions, delete_restricted,
         scd2_customer, scd2_snapshot, upsert_customer,
-        incremental_orders, incremental_events, incremental_star, hot_key_lookup, csv_round_trip,
+        incremental_orders, incremental_events, incremental_star, incremental_fact, hot_key_lookup, csv_round_trip,
         csv_mixed_headers, staging_failures, masked_values, warehouse_writes,
     ]
 }
