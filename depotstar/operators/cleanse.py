@@ -18,6 +18,7 @@ from depotstar.operators.reshape import nameless_columns, with_record_lineage
 from depotstar.schemas import DATE_COLUMNS
 from depotstar.session import stage
 from depotstar.sources.csv import cleaned_path, read_flat, write_flat
+from depotstar.sources.infer import infer_types
 
 # The columns each step works on, the masking text, the score.
 SENTINEL = "XXXXXXXXX"
@@ -78,10 +79,9 @@ def clean_numbers(df: DataFrame) -> DataFrame:
 
 
 def clean_dates(df: DataFrame, date_format: str = SOURCE_DATE_FORMAT) -> DataFrame:
-    """Date columns to timestamp, bad text to NULL."""
-    return df.withColumns(
-        {c: parse_timestamp(_c(c), date_format) for c in _present(df, DATE_COLUMNS)}
-    )
+    """Date columns to timestamp, bad text to NULL; columns that are dates already stay."""
+    texts = [c for c in _present(df, DATE_COLUMNS) if isinstance(df.schema[c].dataType, T.StringType)]
+    return df.withColumns({c: parse_timestamp(_c(c), date_format) for c in texts})
 
 
 def trim_texts(df: DataFrame) -> DataFrame:
@@ -196,13 +196,19 @@ def score_summary(df: DataFrame) -> DataFrame:
 
 
 class Cleaner:
-    """Cleansing of one file: any step alone through `apply`, or all of them through `run`."""
+    """Cleansing of one file: any step alone through `apply`, or all of them through `run`.
+
+    With `typed`, columns have the types that all their texts allow, and duplicates are told by
+    value: 1.0 and 1.00 are the same.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, encoding: str = "UTF-8"):
+    def __init__(self, spark: SparkSession, path: str, encoding: str = "UTF-8", typed: bool = False):
         self.spark = spark
         self.path = path
         # Parsing text is the dear part; the steps that look at all rows read the staged copy.
         self.raw = stage(read_flat(spark, path, encoding=encoding), "raw")
+        if typed:
+            self.raw = infer_types(self.raw)
         self.df = self.raw
         self.dropped: list[str] = []
 

@@ -783,3 +783,70 @@ ORACLE["incremental_fact"] = ORACLE["fact_one_match"].replace(
     "FROM (SELECT DISTINCT ON (order_item_id) * FROM lines ORDER BY order_item_id, sales DESC) "
     "LEFT JOIN known",
 )
+
+# Cells as written to CSV: texts of columns of every type, each fifth order twice.
+_CELLS = """
+doubled AS (
+  SELECT *, unnest(CASE WHEN o_orderkey % 5 = 0 THEN [0, 1] ELSE [0] END) AS again,
+         (SELECT max(o_orderkey) FROM orders) AS last
+  FROM orders
+),
+cells AS (
+  SELECT (CASE again WHEN 1 THEN ' +' ELSE '' END) || o_orderkey AS order_id,
+         CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) || (CASE again WHEN 1 THEN '00' ELSE '' END) AS price,
+         o_orderkey % 100 || (CASE o_orderkey % 2 WHEN 0 THEN 'e-2' ELSE 'E-2' END) AS ratio,
+         CASE again WHEN 1 THEN 'TRUE' ELSE 'true' END AS sent,
+         strftime(o_orderdate, '%Y-%m-%d') AS day, strftime(o_orderdate, '%-m/%-d/%Y %-H:%M') AS placed,
+         CASE o_orderkey % 2 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d')
+           ELSE strftime(o_orderdate, '%-m/%-d/%Y') END AS two_formats,
+         '10000000000000000' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS long_number,
+         CASE WHEN o_orderkey = last THEN 'x' ELSE CAST(o_custkey AS VARCHAR) END AS nearly_whole,
+         CAST(NULL AS VARCHAR) AS nothing, o_orderpriority AS priority
+  FROM doubled
+)"""
+
+
+def _type_of(column: str, title: str) -> str:
+    """The narrowest type that all texts of a column have, tried one after the other."""
+    c = f"trim({column})"
+    plain = f"bool_and(regexp_full_match({c}, '[+-]?[0-9]+([.][0-9]*)?'))"
+    whole = f"bool_and(regexp_full_match({c}, '[+-]?[0-9]{{1,18}}'))"
+    number = f"bool_and(regexp_full_match({c}, '[+-]?[0-9]+([.][0-9]*)?([eE][+-]?[0-9]+)?'))"
+    left = f"max(length(ltrim(ltrim(split_part({c}, '.', 1), '+-'), '0')))"
+    right = f"max(length(split_part({c}, '.', 2)))"
+    days = {
+        "M/d/yyyy H:mm": "%-m/%-d/%Y %-H:%M", "M/d/yyyy": "%-m/%-d/%Y", "yyyy-MM-dd": "%Y-%m-%d",
+    }
+    tried = {f: f"bool_and(try_strptime({c}, '{d}') IS NOT NULL)" for f, d in days.items()}
+    kinds = " ".join(f"WHEN {t} THEN '{'timestamp' if 'H' in f else 'date'}'" for f, t in tried.items())
+    formats = " ".join(f"WHEN {t} THEN '{f}'" for f, t in tried.items())
+    return f"""
+SELECT '{title}' AS column_name,
+       CASE WHEN count({column}) = 0 THEN 'string'
+            WHEN bool_and(lower({c}) IN ('true', 'false')) THEN 'boolean'
+            WHEN {whole} THEN 'bigint'
+            WHEN {plain} THEN 'decimal(' || ({left} + {right}) || ',' || {right} || ')'
+            WHEN {number} THEN 'double' {kinds} ELSE 'string' END AS type,
+       CASE WHEN count({column}) = 0 THEN NULL {formats} END AS date_format
+FROM cells"""
+
+
+_TITLES = {
+    "order_id": "Order Id", "price": "Price", "ratio": "Ratio", "sent": "Sent", "day": "Day", "placed": "Placed",
+    "two_formats": "Two formats", "long_number": "Long number", "nearly_whole": "Nearly whole",
+    "nothing": "Nothing", "priority": "Priority",
+}
+ORACLE["type_census"] = f"WITH {_CELLS}" + " UNION ALL ".join(_type_of(c, t) for c, t in _TITLES.items())
+ORACLE["typed_duplicates"] = f"""
+WITH {_CELLS},
+valued AS (
+  SELECT CAST(trim(order_id) AS BIGINT) AS order_id, CAST(price AS DECIMAL(18,4)) AS price, CAST(ratio AS DOUBLE) AS ratio,
+         lower(sent) AS sent, * EXCLUDE (order_id, price, ratio, sent)
+  FROM cells
+)
+SELECT 'value' AS told_by, (SELECT count(*) FROM cells) AS n_rows, count(*) AS distinct_rows,
+       (SELECT count(*) FROM cells) - count(*) AS duplicate_rows
+FROM (SELECT DISTINCT * FROM valued)
+UNION ALL
+SELECT 'text', (SELECT count(*) FROM cells), count(*), (SELECT count(*) FROM cells) - count(*)
+FROM (SELECT DISTINCT * FROM cells)"""

@@ -33,7 +33,7 @@ from depotstar.plans import ingest
 from depotstar.plans.warehouse import build_dimensions, empty_star, keyed, temporary_star
 from depotstar.schemas import STAR_FOREIGN_KEYS, WAREHOUSE, conform, text_limit
 from depotstar.session import fresh_path, stage, together
-from depotstar.sources import csv, retail, standin, tables
+from depotstar.sources import csv, infer, retail, standin, tables
 from depotstar.sources.files import file_system
 from depotstar.streaming import incremental, live
 
@@ -413,6 +413,28 @@ def quality_score(spark: SparkSession, folder: str) -> DataFrame:
     return cleanse.score_distribution(_cleaned(spark, folder))
 
 
+def _mixed_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """A CSV file with columns of every type, read as text."""
+    path = csv.write_flat(standin.mixed_cells(spark, folder), fresh_path(spark, "mixed.csv"))
+    return csv.read_flat(spark, path)
+
+
+def type_census(spark: SparkSession, folder: str) -> DataFrame:
+    """The type of each column of a CSV file, from the merged states of two halves of its rows."""
+    cells = _mixed_csv(spark, folder)
+    half = F.pmod(F.xxhash64("Order Id"), F.lit(2)) == 0
+    states = infer.type_states(cells.where(half)).union(infer.type_states(cells.where(~half)))
+    types = infer.resolve(infer.merge_states(states))
+    return infer.described(types, spark)
+
+
+def typed_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows, distinct rows and surplus copies of a CSV file, by value and by text."""
+    cells = _mixed_csv(spark, folder)
+    by_value, by_text = dedupe.row_census(infer.infer_types(cells)), dedupe.row_census(cells)
+    return by_value.withColumn("told_by", F.lit("value")).union(by_text.withColumn("told_by", F.lit("text")))
+
+
 def masked_values(spark: SparkSession, folder: str) -> DataFrame:
     """Values of the untidy orders that the masking text hides, by column."""
     return cleanse.masked_counts(standin.dirty_orders(spark, folder))
@@ -863,6 +885,6 @@ QUERIES: dict[str, Query] = {
         fk_audit, check_audit, unique_audit, retail_audit, delete_actions, delete_restricted,
         scd2_customer, scd2_snapshot, upsert_customer,
         incremental_orders, incremental_events, incremental_star, incremental_fact, hot_key_lookup, csv_round_trip,
-        csv_mixed_headers, staging_failures, masked_values, warehouse_writes,
+        csv_mixed_headers, staging_failures, type_census, typed_duplicates, masked_values, warehouse_writes,
     ]
 }

@@ -257,3 +257,31 @@ def dirty_orders(spark: SparkSession, folder: str) -> DataFrame:
         F.explode(F.sequence(F.lit(1), F.when(every(10), 2).otherwise(1))).alias("_copy"),
     )
     return rows.drop("_copy")
+
+
+def mixed_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as CSV text with columns of every type, each fifth order twice, written otherwise.
+
+    A single row of all makes a column of whole numbers a column of texts.
+    """
+    k = F.col("o_orderkey")
+    price = F.col("o_totalprice").cast("decimal(12,2)").cast("string")
+    again = F.col("again")
+    orders = table(spark, folder, "orders")
+    last = orders.agg(F.max("o_orderkey").alias("last"))
+    doubled = orders.select("*", F.explode(F.when(k % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("again"))
+    return doubled.crossJoin(F.broadcast(last)).select(
+        F.concat(F.when(again == 1, F.lit(" +")).otherwise(F.lit("")), k.cast("string")).alias("Order Id"),
+        F.concat(price, F.when(again == 1, F.lit("00")).otherwise(F.lit(""))).alias("Price"),
+        F.when(k % 2 == 0, F.concat((k % 100).cast("string"), F.lit("e-2")))
+        .otherwise(F.concat((k % 100).cast("string"), F.lit("E-2"))).alias("Ratio"),
+        F.when(again == 1, F.lit("TRUE")).otherwise(F.lit("true")).alias("Sent"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("Day"),
+        F.date_format("o_orderdate", "M/d/yyyy H:mm").alias("Placed"),
+        F.when(k % 2 == 0, F.date_format("o_orderdate", "yyyy-MM-dd"))
+        .otherwise(F.date_format("o_orderdate", "M/d/yyyy")).alias("Two formats"),
+        F.concat(F.lit("10000000000000000"), F.lpad(k.cast("string"), 12, "0")).alias("Long number"),
+        F.when(k == F.col("last"), F.lit("x")).otherwise(F.col("o_custkey").cast("string")).alias("Nearly whole"),
+        F.when(k % 3 == 0, F.lit("NA")).otherwise(F.lit("None")).alias("Nothing"),
+        F.col("o_orderpriority").alias("Priority"),
+    )
