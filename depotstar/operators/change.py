@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from depotstar.operators.dedupe import first_match
+from depotstar.operators.joins import left_lookup, matching
+from depotstar.session import stage
 
 # Fixed value: the end date of a row that is still valid.
 OPEN_END = date(9999, 12, 31)
@@ -130,3 +132,89 @@ def apply_snapshot(
     )
     rows = F.when(is_new, F.array(new)).when(changed, F.array(old, new)).otherwise(F.array(old))
     return met.select(F.inline(rows)).select(*columns)
+
+
+# Histories that know on which days each version was seen. Snapshots may be put in in any order.
+
+
+def _versions_of(daily: DataFrame, key: list[str], attributes: list[str]) -> DataFrame:
+    """Versions from one state (`_state`) a key and day (`_day`): runs of days with equal states."""
+    w = Window.partitionBy(*key).orderBy("_day")
+    begins = (F.row_number().over(w) == 1) | ~F.col("_state").eqNullSafe(F.lag("_state").over(w))
+    numbered = daily.withColumn("_begins", begins.cast("int")).withColumn("version", F.sum("_begins").over(w).cast("int"))
+    runs = numbered.groupBy(*key, "version").agg(
+        F.first("_state").alias("_state"), F.sort_array(F.collect_list("_day")).alias("seen")
+    )
+    dated = runs.select(*key, "_state.*", F.col("seen")[0].alias("effective_date"), "seen")
+    chained = _chain(dated, key)
+    return chained.select(*key, *attributes, "effective_date", "expiry_date", "is_current", "version", "seen")
+
+
+def seen_history(
+    events: DataFrame, key: list[str], attributes: list[str], at: str, order: list[str]
+) -> DataFrame:
+    """As `history`, with the days on which each version was seen, for `put_snapshot`."""
+    daily = events.groupBy(*key, F.col(at).cast("date").alias("_day")).agg(
+        F.max_by(F.struct(*attributes), F.struct(*order)).alias("_state")
+    )
+    return _versions_of(daily, key, attributes)
+
+
+def put_snapshot(
+    dim: DataFrame, snapshot: DataFrame, key: list[str], attributes: list[str], as_of: date
+) -> DataFrame:
+    """Put a snapshot of any day into a history with `seen` days.
+
+    The result is that of the whole set of snapshots, whatever their order: a late one splits the
+    version valid on its day, or joins the ones beside it, and a second one of a day replaces the
+    first. Keys the snapshot lacks stay as they are; keys are told apart NULL-safe.
+
+    For keys not seen since that day only the current version is looked at. The versions of other
+    keys are taken apart into their days, at most one a snapshot, and put together again.
+    """
+    columns = [*key, *attributes, "effective_date", "expiry_date", "is_current", "version", "seen"]
+    day, same = F.lit(as_of), {k: k for k in key}
+    new = first_match(snapshot.select(*key, *attributes), key, attributes).select(
+        *key, F.struct(*attributes).alias("_new")
+    )
+    current = dim.where("is_current").select(*key, F.element_at("seen", -1).alias("_last"))
+    placed = stage(left_lookup(new, current, same, null_safe=True), "snapshot")
+    late = placed.where(F.col("_last") >= day).select(*key, "_new")
+    fresh = placed.where(F.col("_last").isNull() | (F.col("_last") < day)).select(*key, "_new")
+
+    # Keys seen on that day or later: their days, with the new one in place.
+    old = matching(dim, late, same, null_safe=True).select(
+        *key, F.struct(*attributes).alias("_state"), F.explode("seen").alias("_day")
+    )
+    days = old.where(F.col("_day") != day).unionByName(
+        late.select(*key, F.col("_new").alias("_state"), day.alias("_day"))
+    )
+    mended = _versions_of(days, key, attributes)
+
+    # The others: the current version is seen again, or ends and is followed by a new one.
+    rest = matching(dim, late, same, negate=True, null_safe=True)
+    met = left_lookup(rest, fresh, same, null_safe=True)
+    hit = F.col("is_current") & F.col("_new").isNotNull()
+    again = hit & F.struct(*attributes).eqNullSafe(F.col("_new"))
+    ends = hit & ~again
+    kept = F.struct(
+        *key, *attributes, "effective_date",
+        F.when(ends, F.date_sub(day, 1)).otherwise(F.col("expiry_date")).alias("expiry_date"),
+        (F.col("is_current") & ~ends).alias("is_current"), "version",
+        F.when(again, F.concat("seen", F.array(day))).otherwise(F.col("seen")).alias("seen"),
+    )
+
+    def begun(version: Column) -> Column:
+        return F.struct(
+            *key, *[F.col("_new")[c].alias(c) for c in attributes], day.alias("effective_date"),
+            F.lit(OPEN_END).alias("expiry_date"), F.lit(True).alias("is_current"),
+            version.alias("version"), F.array(day).alias("seen"),
+        )
+
+    grown = met.select(
+        F.inline(F.when(ends, F.array(kept, begun(F.col("version") + 1))).otherwise(F.array(kept)))
+    )
+    first = matching(fresh, dim, same, negate=True, null_safe=True).select(
+        F.inline(F.array(begun(F.lit(1))))
+    )
+    return grown.select(*columns).unionByName(first.select(*columns)).unionByName(mended)

@@ -850,3 +850,44 @@ FROM (SELECT DISTINCT * FROM valued)
 UNION ALL
 SELECT 'text', (SELECT count(*) FROM cells), count(*), (SELECT count(*) FROM cells) - count(*)
 FROM (SELECT DISTINCT * FROM cells)"""
+
+# All observations at once, one a customer and day.
+ORACLE["scd2_late_snapshots"] = """
+WITH seen AS (
+  SELECT c_custkey, DATE '2020-01-01' + n::INTEGER AS day,
+         CASE WHEN (c_custkey % 7 + n) % 3 = 0 THEN 'OTHER' ELSE c_mktsegment END AS c_mktsegment
+  FROM customer, range(6) t(n)
+  WHERE c_custkey % (n + 2) <> 0
+),
+compared AS (
+  SELECT *, coalesce(lag(c_mktsegment) OVER w <> c_mktsegment, true) AS begins
+  FROM seen WINDOW w AS (PARTITION BY c_custkey ORDER BY day)
+),
+numbered AS (
+  SELECT *, sum(begins::INTEGER) OVER (PARTITION BY c_custkey ORDER BY day) AS version FROM compared
+),
+versions AS (
+  SELECT c_custkey, version, any_value(c_mktsegment) AS c_mktsegment, min(day) AS effective,
+         string_agg(strftime(day, '%Y-%m-%d'), ',' ORDER BY day) AS seen
+  FROM numbered GROUP BY c_custkey, version
+)
+SELECT c_custkey, c_mktsegment, strftime(effective, '%Y-%m-%d') AS effective_date,
+       coalesce(strftime(lead(effective) OVER w - 1, '%Y-%m-%d'), '9999-12-31') AS expiry_date,
+       lead(effective) OVER w IS NULL AS is_current, CAST(version AS INTEGER) AS version, seen
+FROM versions WINDOW w AS (PARTITION BY c_custkey ORDER BY version)"""
+
+ORACLE["revenue_by_segment"] = """
+WITH keyed AS (
+  SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_custkey END AS custkey FROM orders
+),
+told AS (
+  SELECT custkey, o_orderdate::DATE AS day, arg_max(o_orderpriority, o_orderkey) AS segment
+  FROM keyed WHERE o_orderkey % 4 = 0 GROUP BY 1, 2
+),
+lines AS (
+  SELECT custkey, l_shipdate::DATE AS day, CAST(l_extendedprice AS DECIMAL(12,2)) AS sales
+  FROM lineitem LEFT JOIN keyed ON l_orderkey = o_orderkey
+)
+SELECT t.segment, count(*) AS lines, CAST(sum(sales) AS DOUBLE) AS sales
+FROM lines l ASOF LEFT JOIN told t ON l.custkey = t.custkey AND l.day >= t.day
+GROUP BY t.segment"""

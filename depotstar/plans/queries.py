@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from depotstar.functions import percent
 from depotstar.layouts import read_layout
 from depotstar.operators import (
+    asof,
     change,
     checks,
     cleanse,
@@ -625,6 +626,51 @@ def scd2_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     return portable(change.apply_snapshot(draft, moved, ["c_custkey"], compared, day))
 
 
+def _segment_days(spark: SparkSession, folder: str, n: int) -> DataFrame:
+    """The n-th snapshot of the customers: some are missing, and some have another segment."""
+    c = standin.table(spark, folder, "customer").where(F.col("c_custkey") % (n + 2) != 0)
+    other = (F.col("c_custkey") % 7 + n) % 3 == 0
+    return c.select("c_custkey", F.when(other, F.lit("OTHER")).otherwise(F.col("c_mktsegment")).alias("c_mktsegment"))
+
+
+def scd2_late_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """Customer history from snapshots of six days that come out of order, one of them twice."""
+    key, compared = ["c_custkey"], ["c_mktsegment"]
+    empty = _segment_days(spark, folder, 0).limit(0)
+    found = change.seen_history(
+        empty.withColumn("day", F.lit(date(2020, 1, 1))), key, compared, "day", ["day"]
+    )
+    for n in (3, 5, 0, 4, 1, 2):
+        day = date(2020, 1, 1 + n)
+        if n == 4:
+            wrong = _segment_days(spark, folder, n).withColumn("c_mktsegment", F.lit("WRONG"))
+            found = stage(change.put_snapshot(found, wrong.where("c_custkey % 6 <> 0"), key, compared, day), "history")
+        found = stage(change.put_snapshot(found, _segment_days(spark, folder, n), key, compared, day), "history")
+    return portable(found.withColumn("seen", F.array_join("seen", ",")))
+
+
+def revenue_by_segment(spark: SparkSession, folder: str) -> DataFrame:
+    """Revenue by the segment of the customer that was valid on the day of shipping.
+
+    Segments are told by every fourth order (its priority); one customer has a third of all orders,
+    and the first versions begin later than some lines.
+    """
+    custkey = F.when(F.col("o_orderkey") % 3 == 0, F.lit(1)).otherwise(F.col("o_custkey")).alias("custkey")
+    orders = standin.table(spark, folder, "orders")
+    told = orders.where("o_orderkey % 4 = 0").select(
+        custkey, F.col("o_orderpriority").alias("segment"), "o_orderdate", "o_orderkey"
+    )
+    segments = stage(change.history(told, ["custkey"], ["segment"], "o_orderdate", ["o_orderkey"]), "segments")
+    lines = left_lookup(
+        standin.table(spark, folder, "lineitem").select(
+            "l_orderkey", F.to_date("l_shipdate").alias("day"), F.col("l_extendedprice").cast("decimal(12,2)").alias("sales"),
+        ),
+        orders.select("o_orderkey", custkey), {"l_orderkey": "o_orderkey"},
+    ).select("custkey", "day", "sales")
+    found = asof.valid_version(lines, segments, {"custkey": "custkey"}, "day", ["segment"])
+    return portable(found.groupBy("segment").agg(F.count("*").alias("lines"), F.sum("sales").alias("sales")))
+
+
 def upsert_customer(spark: SparkSession, folder: str) -> DataFrame:
     """Customers with a batch of changed and new ones applied, twice."""
     target = standin.table(spark, folder, "customer").select("c_custkey", "c_name", "c_acctbal")
@@ -883,7 +929,7 @@ QUERIES: dict[str, Query] = {
         clean_orders, dedupe_rows, dedupe_keep_first, status_counts, quality_score,
         cleaning_report, cleaning_warnings, validation_checks, validation_verdict,
         fk_audit, check_audit, unique_audit, retail_audit, delete_actions, delete_restricted,
-        scd2_customer, scd2_snapshot, upsert_customer,
+        scd2_customer, scd2_snapshot, scd2_late_snapshots, revenue_by_segment, upsert_customer,
         incremental_orders, incremental_events, incremental_star, incremental_fact, hot_key_lookup, csv_round_trip,
         csv_mixed_headers, staging_failures, type_census, typed_duplicates, masked_values, warehouse_writes,
     ]
