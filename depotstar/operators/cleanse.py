@@ -229,7 +229,7 @@ class Cleaner:
         Without `output`, the name is that of the source with the time of the run.
         """
         output = output or cleaned_path(self.path, now or datetime.now())
-        for step in steps or default_steps():
+        for step in steps or default_steps(now):
             self.apply(step)
         write_flat(self.df, output)
         return cleaning_report(self.raw, read_flat(self.spark, output), self.dropped)

@@ -5,6 +5,7 @@ Written from the meaning of each query, with plain joins and windows, not from t
 
 from __future__ import annotations
 
+from depotstar.operators.reshape import SOURCE_ORDERS, SOURCE_SHIPPING
 from depotstar.plans.retail_oracle import audit_sql
 from depotstar.sources.retail import SOURCES
 
@@ -742,22 +743,6 @@ HAVING count(*) > 0""",
 WITH {_DIRTY}
 SELECT 'Customer Email' AS column_name, count(*) FILTER (customer_email = 'XXXXXXXXX') AS masked FROM dirty
 UNION ALL SELECT 'Customer Password', count(*) FROM dirty""",
-    "warehouse_writes": f"""
-WITH {_CLEANED},
-firsts AS (SELECT count(DISTINCT order_id) + max(CASE WHEN order_id IS NULL THEN 1 ELSE 0 END) AS n FROM cleaned),
-n AS (SELECT count(*) AS n FROM cleaned)
-SELECT 'newest cleaned file' AS written, n AS rows_read FROM n
-UNION ALL SELECT 'loaded stg_oms_orders', n FROM firsts
-UNION ALL SELECT 'loaded stg_oms_order_items', n FROM n
-UNION ALL SELECT 'loaded stg_slms_shipments', n FROM n
-UNION ALL SELECT 'newest version of stg_oms_orders', n FROM firsts
-UNION ALL SELECT 'newest version of stg_oms_order_items', n FROM n
-UNION ALL SELECT 'newest version of stg_slms_shipments', n FROM n
-UNION ALL SELECT 'appended twice', 2 * n FROM firsts
-UNION ALL SELECT 'emptied ' || t, 0 FROM (VALUES ('stg_oms_orders'), ('stg_oms_order_items'),
-  ('stg_slms_shipments'), ('fact')) AS v(t)
-UNION ALL SELECT 'sales file', n FROM n
-UNION ALL SELECT 'logistics file', n FROM n""",
     "incremental_events": """
 SELECT user_id, event_id, event_type, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
@@ -891,3 +876,119 @@ lines AS (
 SELECT t.segment, count(*) AS lines, CAST(sum(sales) AS DOUBLE) AS sales
 FROM lines l ASOF LEFT JOIN told t ON l.custkey = t.custkey AND l.day >= t.day
 GROUP BY t.segment"""
+
+
+def _digests(written: str, rows: str, columns: dict[str, str]) -> list[str]:
+    """For each column (name -> value as text) its NULLs and the sum of the hashes of its values."""
+    return [
+        f"""SELECT '{written}' AS written, '{c}' AS column_name, count(*) AS rows_read,
+       count(*) - count({v}) AS nulls,
+       coalesce(sum(CAST('0x' || substr(md5({v}), 1, 15) AS BIGINT)), 0)::VARCHAR AS digest
+FROM {rows}"""
+        for c, v in columns.items()
+    ]
+
+
+def _rows_read(written: str, rows: str) -> str:
+    return f"SELECT '{written}', '*', count(*), 0, '0' FROM {rows}"
+
+
+def _six(value: str) -> str:
+    return f"CAST(CAST({value} AS DECIMAL(38,6)) AS VARCHAR)"
+
+
+_NOTHING = "CAST(NULL AS VARCHAR)"
+_FILE = {
+    "Order Id": "order_id", "Customer Id": "customer_id", "Customer Fname": "customer_fname",
+    "Customer Email": "customer_email", "Customer Password": "customer_password",
+    "Product Name": "product_name", "Sales": _six("sales"), "Order Item Quantity": _six("order_item_quantity"),
+    "order date (DateOrders)": "strftime(order_date_dateorders, '%Y-%m-%d %H:%M:%S')",
+    "Delivery Status": "delivery_status", "data_quality_score": _six("data_quality_score"),
+    "cleansing_timestamp": _NOW, "record_source": "'supply_chain'",
+}
+_STAGED = {
+    "stg_oms_orders": {
+        "order_id": "order_id", "customer_id": "customer_id", "customer_fname": "customer_fname",
+        "customer_lname": _NOTHING, "customer_segment": _NOTHING, "order_city": _NOTHING,
+        "order_state": _NOTHING, "order_country": _NOTHING,
+        "order_date": "strftime(order_date_dateorders, '%Y-%m-%d')", "order_status": _NOTHING,
+        "load_timestamp": _NOW, "source_system": "'OMS'",
+    },
+    "stg_oms_order_items": {
+        "order_item_id": _NOTHING, "order_id": "order_id", "product_id": _NOTHING,
+        "product_card_id": _NOTHING, "product_name": "product_name", "product_price": _NOTHING,
+        "quantity": "CAST(CAST(order_item_quantity AS INTEGER) AS VARCHAR)",
+        "sales": _six("CAST(sales AS DECIMAL(10,2))"), "discount": _NOTHING, "profit": _NOTHING,
+        "discount_rate": _NOTHING, "profit_ratio": _NOTHING, "category_id": _NOTHING,
+        "category_name": _NOTHING, "department_id": _NOTHING, "department_name": _NOTHING,
+        "load_timestamp": _NOW, "source_system": "'OMS'",
+    },
+    "stg_slms_shipments": {
+        "shipment_id": _NOTHING, "order_id": "order_id", "shipping_mode": _NOTHING,
+        "ship_date": _NOTHING, "delivery_date": _NOTHING, "delivery_status": "delivery_status",
+        "delivery_risk": _NOTHING, "ship_city": _NOTHING, "ship_state": _NOTHING,
+        "ship_country": _NOTHING, "latitude": _NOTHING, "longitude": _NOTHING,
+        "load_timestamp": _NOW, "source_system": "'SLMS'",
+    },
+}
+
+
+def _written() -> str:
+    parts = _digests("newest cleaned file", "cleaned", _FILE) + [_rows_read("newest cleaned file", "cleaned")]
+    for prefix in ("loaded ", "newest version of "):
+        for table, columns in _STAGED.items():
+            orders = table == "stg_oms_orders"
+            parts += _digests(prefix + table, "named" if orders else "cleaned", columns)
+            parts.append(_rows_read(prefix + table, "firsts" if orders else "cleaned"))
+    parts += _digests("appended twice", "(SELECT * FROM named UNION ALL SELECT * FROM named)", _STAGED["stg_oms_orders"])
+    parts.append(_rows_read("appended twice", "(SELECT * FROM firsts UNION ALL SELECT * FROM firsts)"))
+    for table in (*_STAGED, "fact"):
+        parts.append(f"SELECT 'emptied {table}', '*', 0, 0, '0'")
+    for written, names in {
+        "sales file": ["Order Id", "order date (DateOrders)", "Customer Id", "Customer Fname", "Product Name", "Sales",
+                       "Order Item Quantity"],
+        "logistics file": ["Order Id", "Delivery Status"],
+    }.items():
+        parts += _digests(written, "cleaned", {n: _FILE[n] for n in names})
+        parts.append(_rows_read(written, "cleaned"))
+    return f"""WITH {_CLEANED},
+named AS (SELECT * FROM cleaned WHERE order_id IS NOT NULL),
+firsts AS (SELECT DISTINCT order_id FROM cleaned)
+""" + "\nUNION ALL ".join(parts)
+
+
+ORACLE["warehouse_writes"] = _written()
+
+_ORDER_TEXTS = {
+    "customer_id": "customer_id", "customer_fname": "customer_fname", "customer_segment": "customer_segment",
+    "order_id": "order_id", "order_date_dateorders": "order_date", "order_status": "order_status",
+    "order_city": "order_city", "order_state": "order_city", "order_country": "order_country",
+    "order_item_id": "order_item_id", "order_item_discount": "discount", "order_item_discount_rate": "discount_rate",
+    "order_item_quantity": "quantity", "order_item_profit_ratio": "profit_ratio", "product_card_id": "product_id",
+    "product_name": "product_name", "product_price": "product_price", "order_profit_per_order": "profit",
+    "sales": "sales", "market": "order_country",
+}
+_SHIPPING_TEXTS = {
+    "shipping_mode": "shipping_mode", "shipping_date_dateorders": "ship_date", "late_delivery_risk": "delivery_risk",
+    "delivery_status": "delivery_status", "latitude": "latitude", "longitude": "longitude", "order_id": "order_id",
+}
+
+
+def _sources() -> str:
+    parts = []
+    for table, names, known in (
+        ("source_orders", SOURCE_ORDERS, _ORDER_TEXTS), ("source_shipping", SOURCE_SHIPPING, _SHIPPING_TEXTS),
+    ):
+        parts += _digests(table, "flat", {
+            c: f"CAST({known[c]} AS VARCHAR)" if c in known else _NOTHING for c in names
+        })
+    return f"""WITH {_STAGING},{_LINES},
+flat AS (
+  SELECT l.*, c.c_name AS customer_fname, c.c_mktsegment AS customer_segment, s.latitude, s.longitude
+  FROM lines l LEFT JOIN customer c ON l.customer_id = c.c_custkey
+       LEFT JOIN stg_shipments s ON l.order_item_id = s.shipment_id
+)
+""" + "\nUNION ALL ".join(parts)
+
+
+ORACLE["load_sources"] = _sources()

@@ -158,6 +158,11 @@ def _flat_columns() -> dict[str, tuple[str, Column]]:
     }
 
 
+def flat_columns() -> list[str]:
+    """The source columns that the tables can fill."""
+    return list(_flat_columns())
+
+
 def flat_lines(spark: SparkSession, folder: str, columns: list[str]) -> DataFrame:
     """The flat source, one row per order line, with the wanted columns under their CSV names."""
     known = _flat_columns()

@@ -158,3 +158,27 @@ def test_conform(spark):
 def test_union_all(spark):
     parts = [spark.range(i, i + 1).select((F.col("id")).alias("v")) for i in range(5)]
     assert sorted(r.v for r in union_all(parts).collect()) == list(range(5))
+
+
+def test_digests_see_one_changed_cell(spark):
+    from depotstar.operators.digest import column_digests
+
+    rows = [(i, f"t{i % 5}", None if i % 7 == 0 else i * 0.25) for i in range(60)]
+    layout = "a int, b string, c double"
+
+    def digests(data):
+        found = column_digests(spark.createDataFrame(data, layout)).collect()
+        return {r.column_name: (r.rows_read, r.nulls, r.digest) for r in found}
+
+    whole = digests(rows)
+    assert whole["a"][:2] == (60, 0) and whole["c"][1] == 9
+    assert digests(rows[30:] + rows[:30]) == whole
+    for i, (column, value) in enumerate((("a", 99), ("b", "t9"), ("c", None), ("c", 1e6))):
+        changed = list(rows[7 + i])
+        changed["abc".index(column)] = value
+        other = digests([*rows[:7 + i], tuple(changed), *rows[8 + i:]])
+        assert {c for c in whole if other[c] != whole[c]} == {column}
+    # A repeated row counts twice, and halves add up.
+    assert digests([rows[1]] * 2)["b"][2] == str(2 * int(digests([rows[1]])["b"][2]))
+    assert str(sum(int(digests(half)["a"][2]) for half in (rows[:9], rows[9:]))) == whole["a"][2]
+    assert digests([])["a"] == (0, 0, "0")
