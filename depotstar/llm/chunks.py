@@ -114,21 +114,35 @@ def repeated_spans(
 ) -> DataFrame:
     """Passages of at least `least_chars` characters made of repeated chunks that follow each other.
 
-    doc_id, start and end (characters, end exclusive), kept, copies and first_doc_id. A passage
-    consists of chunks that are all the first of their kind (kept) or all not; copies is the most of
-    any of its chunks, and first_doc_id has the first occurrence of its first chunk. A NULL text
-    counts as empty and has no chunks. Rows with equal or NULL doc_id are texts of their own.
-    Further columns are not read.
+    A passage takes in all repeated chunks that touch, whichever of them occurred here first; its
+    length decides. It comes out in parts whose chunks are all the first of their kind (kept) or all
+    not: doc_id, start and end of the part (characters, end exclusive), kept, copies (the most of any
+    of its chunks), first_doc_id (that of the first occurrence of its first chunk), passage_start and
+    passage_end. Taking out the parts that are not kept leaves every chunk once.
+
+    A NULL text counts as empty and has no chunks; an empty table has no passages. Rows with equal or
+    NULL doc_id are texts of their own; of equal chunks the one in the smallest doc_id, then row, then
+    place is the first. A text of any length is cut whole; its repeated chunks, not their texts, are
+    brought to one task. Further columns are not read.
     """
     found = repeated(docs, least, mask_bits, most)
-    place = Window.partitionBy("uid", "is_first").orderBy("number")
-    runs = found.withColumn("run", F.col("number") - F.row_number().over(place))
-    return (
-        runs.groupBy("uid", "is_first", "run").agg(
+    place = Window.partitionBy("uid").orderBy("number")
+    gap = F.coalesce(F.col("number") != F.lag("number").over(place) + 1, F.lit(True))
+    turn = gap | (F.col("is_first") != F.lag("is_first").over(place))
+    parts = (
+        found.withColumns({"gap": gap.cast("int"), "turn": turn.cast("int")})
+        .withColumns({"run": F.sum("gap").over(place), "part": F.sum("turn").over(place)})
+        .groupBy("uid", "run", "part").agg(
             F.first("id").alias("doc_id"), F.min("start").alias("start"),
-            F.max(F.col("start") + F.col("length")).alias("end"), F.max("copies").alias("copies"),
-            F.min_by("first.id", "number").alias("first_doc_id"),
+            F.max(F.col("start") + F.col("length")).alias("end"), F.first("is_first").alias("kept"),
+            F.max("copies").alias("copies"), F.min_by("first.id", "number").alias("first_doc_id"),
+        )
+    )
+    whole = Window.partitionBy("uid", "run")
+    return (
+        parts.withColumns(
+            {"passage_start": F.min("start").over(whole), "passage_end": F.max("end").over(whole)}
         )
-        .where(F.col("end") - F.col("start") >= least_chars)
-        .select("doc_id", "start", "end", F.col("is_first").alias("kept"), "copies", "first_doc_id")
+        .where(F.col("passage_end") - F.col("passage_start") >= least_chars)
+        .select("doc_id", "start", "end", "kept", "copies", "first_doc_id", "passage_start", "passage_end")
     )
