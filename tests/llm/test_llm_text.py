@@ -291,7 +291,7 @@ def test_passages_with_frequent_phrases_lose_nothing(spark):
     got = sorted(tuple(r) for r in chunks.repeated_spans(df, 72).collect())
     assert got == expected
     # Many a passage is in parts, some of them shorter than the limit for the whole.
-    assert sum(r[2] - r[1] < 72 for r in got) > 5
+    assert sum(r[2] - r[1] < 72 for r in got) > 2
     assert chunks.repeated_spans(df, 10**6).collect() == []
 
 
