@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from depotstar.functions.sqltext import text
 from depotstar.operators.joins import left_lookup, matching
+from depotstar.session import stage
 from depotstar.operators.sets import union_all
 
 
@@ -180,48 +181,70 @@ def delete_parents(
     """Delete the rows of `parent` whose primary key is in the one-column frame `keys`.
 
     Children follow their declared action: RESTRICT counts the rows that forbid the delete, CASCADE
-    deletes them and goes on to their own children, SET NULL clears the reference.
+    deletes them and goes on to their own children, SET NULL clears the reference. The report has
+    every key that the delete can reach.
+
+    Cascades may form cycles. A round looks at the keys deleted in the round before only; those seen
+    already are left out, all are staged, and the rounds end when no key is new.
     """
-    key = keys.columns[0]
-    gone: dict[str, list[DataFrame]] = {parent: [keys.select(F.col(key).alias("key")).distinct()]}
-    cleared: dict[str, list[tuple[str, DataFrame]]] = {}
-    report = []
-    todo = [(parent, gone[parent][0])]
-    rounds = 0
-    while todo:
-        rounds += 1
-        if rounds > len(foreign_keys) + 1:
-            raise ValueError("the cascading foreign keys of these tables form a cycle")
-        table, dropped = todo.pop(0)
-        for fk in foreign_keys:
-            if fk.parent != table or fk.child not in tables:
+    spark, key = keys.sparkSession, keys.columns[0]
+    gone = {parent: stage(keys.select(F.col(key).alias("key")).distinct(), "gone")}
+    reached = _reached(foreign_keys, parent, set(tables))
+    front = dict(gone)
+    counts: list[DataFrame] = []
+    cleared: dict[ForeignKey, list[DataFrame]] = {}
+    while front:
+        found: dict[str, list[DataFrame]] = {}
+        for fk in reached:
+            if fk.parent not in front:
                 continue
-            hit = matching(tables[fk.child], dropped, {fk.column: "key"})
-            report.append(
-                hit.agg(
-                    F.lit(fk.child).alias("table_name"),
-                    F.lit(fk.name).alias("rule"),
-                    F.lit(fk.on_delete).alias("action"),
-                    F.count(F.lit(1)).alias("affected"),
-                )
-            )
+            hit = matching(tables[fk.child], front[fk.parent], {fk.column: "key"})
+            counts.append(hit.agg(F.lit(reached.index(fk)).alias("_fk"), F.count(F.lit(1)).alias("n")))
             if fk.on_delete == "CASCADE":
-                next_keys = hit.select(F.col(primary_keys[fk.child]).alias("key")).distinct()
-                gone.setdefault(fk.child, []).append(next_keys)
-                todo.append((fk.child, next_keys))
+                found.setdefault(fk.child, []).append(hit.select(F.col(primary_keys[fk.child]).alias("key")))
             elif fk.on_delete == "SET NULL":
-                cleared.setdefault(fk.child, []).append((fk.column, dropped))
+                cleared.setdefault(fk, []).append(front[fk.parent])
+        front = {}
+        for name, parts in found.items():
+            fresh = reduce(DataFrame.union, parts).distinct()
+            if name in gone:
+                fresh = matching(fresh, gone[name], {"key": "key"}, negate=True)
+            fresh = stage(fresh, "gone")
+            if not fresh.isEmpty():
+                front[name] = fresh
+                gone[name] = gone[name].union(fresh) if name in gone else fresh
 
     after = dict(tables)
-    for name, parts in gone.items():
-        dropped = reduce(DataFrame.union, parts)
+    for name, dropped in gone.items():
         after[name] = matching(after[name], dropped, {primary_keys[name]: "key"}, negate=True)
-    for name, parts in cleared.items():
-        for column, dropped in parts:
-            mark = dropped.select("key", F.lit(True).alias("_gone"))
-            marked = left_lookup(after[name], mark, {column: "key"})
-            kept = F.when(F.col("_gone").isNull(), F.col(column))
-            after[name] = marked.withColumn(column, kept).drop("_gone")
-    columns = "table_name string, rule string, action string, affected bigint"
-    whole = union_all(report) if report else keys.sparkSession.createDataFrame([], columns)
-    return DeleteResult(whole, after)
+    for fk, parts in cleared.items():
+        mark = reduce(DataFrame.union, parts).select("key", F.lit(True).alias("_gone"))
+        marked = left_lookup(after[fk.child], mark, {fk.column: "key"})
+        kept = F.when(F.col("_gone").isNull(), F.col(fk.column))
+        after[fk.child] = marked.withColumn(fk.column, kept).drop("_gone")
+
+    rules = spark.createDataFrame(
+        [(i, fk.child, fk.name, fk.on_delete) for i, fk in enumerate(reached)],
+        "_fk int, table_name string, rule string, action string",
+    )
+    if counts:
+        sums = stage(union_all(counts), "affected").groupBy("_fk").agg(F.sum("n").alias("affected"))
+        rules = rules.join(sums, "_fk", "left")
+    else:
+        rules = rules.withColumn("affected", F.lit(0).cast("bigint"))
+    affected = F.coalesce("affected", F.lit(0)).cast("bigint").alias("affected")
+    return DeleteResult(rules.select("table_name", "rule", "action", affected), after)
+
+
+def _reached(foreign_keys: list[ForeignKey], parent: str, present: set[str]) -> list[ForeignKey]:
+    """The keys that a delete in `parent` can reach, through cascades, among the tables present."""
+    todo, seen, out = [parent], {parent}, []
+    while todo:
+        table = todo.pop(0)
+        for fk in foreign_keys:
+            if fk.parent == table and fk.child in present:
+                out.append(fk)
+                if fk.on_delete == "CASCADE" and fk.child not in seen:
+                    seen.add(fk.child)
+                    todo.append(fk.child)
+    return out

@@ -992,3 +992,25 @@ flat AS (
 
 
 ORACLE["load_sources"] = _sources()
+
+ORACLE["delete_cycle"] = """
+WITH RECURSIVE edges AS (
+  SELECT 'client' AS parent, o_custkey AS parent_id, 'purchase' AS child, o_orderkey AS child_id FROM orders
+  UNION ALL
+  SELECT 'purchase', c_custkey * 10 + 3, 'client', c_custkey FROM customer WHERE c_custkey % 3 = 0
+),
+gone AS (
+  SELECT 'client' AS t, c_custkey AS id FROM customer WHERE c_custkey % 97 = 1
+  UNION
+  SELECT e.child, e.child_id FROM gone g JOIN edges e ON e.parent = g.t AND e.parent_id = g.id
+),
+hits AS (
+  SELECT e.child, count(*) AS n FROM edges e JOIN gone g ON e.parent = g.t AND e.parent_id = g.id GROUP BY e.child
+)
+SELECT child AS table_name, 'CASCADE' AS action, n, 0::BIGINT AS key_sum FROM hits
+UNION ALL
+SELECT 'client', 'LEFT', count(*), sum(c_custkey)::BIGINT FROM customer
+WHERE c_custkey NOT IN (SELECT id FROM gone WHERE t = 'client')
+UNION ALL
+SELECT 'purchase', 'LEFT', count(*), sum(o_orderkey)::BIGINT FROM orders
+WHERE o_orderkey NOT IN (SELECT id FROM gone WHERE t = 'purchase')"""

@@ -590,6 +590,30 @@ def delete_restricted(spark: SparkSession, folder: str) -> DataFrame:
     ).report
 
 
+def delete_cycle(spark: SparkSession, folder: str) -> DataFrame:
+    """Delete some customers where orders go with their customer, and customers with their first order.
+
+    What each key did over all rounds, and the rows left with the sum of their keys.
+    """
+    tables = {
+        "client": standin.table(spark, folder, "customer").selectExpr("c_custkey AS id", "CASE WHEN c_custkey % 3 = 0 THEN c_custkey * 10 + 3 END AS first_order"),
+        "purchase": standin.table(spark, folder, "orders").selectExpr("o_orderkey AS id", "o_custkey AS client_id"),
+    }
+    cascades = [
+        constraints.ForeignKey("purchase", "client_id", "client", "id", "CASCADE"),
+        constraints.ForeignKey("client", "first_order", "purchase", "id", "CASCADE"),
+    ]
+    some = tables["client"].where("id % 97 = 1").select("id")
+    result = constraints.delete_parents(tables, cascades, {"client": "id", "purchase": "id"}, "client", some)
+    done = result.report.select("table_name", "action", F.col("affected").alias("n"), F.lit(0).cast("bigint").alias("key_sum"))
+    left = [
+        df.agg(F.lit(name).alias("table_name"), F.lit("LEFT").alias("action"), F.count("*").alias("n"),
+               F.sum("id").alias("key_sum"))
+        for name, df in result.tables.items()
+    ]
+    return union_all([done, *left])
+
+
 # Change --------------------------------------------------------------------------------------
 
 
@@ -965,7 +989,7 @@ QUERIES: dict[str, Query] = {
         describe_numeric, describe_categorical, null_profile, frame_shape, impute,
         clean_orders, dedupe_rows, dedupe_keep_first, status_counts, quality_score,
         cleaning_report, cleaning_warnings, validation_checks, validation_verdict,
-        fk_audit, check_audit, unique_audit, retail_audit, delete_actions, delete_restricted,
+        fk_audit, check_audit, unique_audit, retail_audit, delete_actions, delete_restricted, delete_cycle,
         scd2_customer, scd2_snapshot, scd2_late_snapshots, revenue_by_segment, upsert_customer,
         incremental_orders, incremental_events, incremental_star, incremental_fact, hot_key_lookup, csv_round_trip,
         csv_mixed_headers, staging_failures, type_census, typed_duplicates, masked_values, warehouse_writes, load_sources,

@@ -48,6 +48,8 @@ SOURCES = {
         "concat('T', CAST(o_orderkey AS STRING)) AS transaction_number",
         "CASE WHEN o_orderkey % 11 <> 0 THEN o_custkey END AS customer_id",
         "o_custkey % 120 AS store_id",
+        "CASE WHEN o_orderkey % 13 <> 0 THEN o_custkey % 115 END AS user_id",
+        "CASE WHEN o_orderkey % 3 = 0 THEN o_custkey * 2 END AS promotion_id",
         "CAST(o_totalprice AS decimal(12,2)) AS subtotal",
         "CAST(o_orderkey % 9 AS decimal(10,2)) AS discount_amount",
         "CAST(0 AS decimal(10,2)) AS tax_amount",

@@ -144,8 +144,22 @@ def test_rules_on_missing_columns_are_told(spark, rows):
     }
 
 
-def test_a_cycle_of_cascades_is_refused(spark):
-    t = spark.createDataFrame([(1, 2), (2, 1)], "id int, other int")
-    keys = [c.ForeignKey("t", "other", "t", "id", "CASCADE")]
-    with pytest.raises(ValueError, match="cycle"):
-        c.delete_parents({"t": t}, keys, {"t": "id"}, "t", t.where("id = 1").select("id"))
+def test_cascades_run_through_cycles(spark, rows):
+    # 1 -> 2 -> 3 -> 1 refer to each other in a ring; 4 refers to the ring, 5 to itself, 6 to 5.
+    t = spark.createDataFrame([(1, 3), (2, 1), (3, 2), (4, 2), (5, 5), (6, 5), (7, None)], "id int, other int")
+    u = spark.createDataFrame([(10, 4), (11, 5), (12, 7)], "uid int, t_id int")
+    keys = [c.ForeignKey("t", "other", "t", "id", "CASCADE"), c.ForeignKey("u", "t_id", "t", "id", "SET NULL")]
+    tables = {"t": t, "u": u}
+
+    def after(ids):
+        result = c.delete_parents(tables, keys, {"t": "id", "u": "uid"}, "t", t.where(F.col("id").isin(ids)).select("id"))
+        return rows(result.tables["t"].select("id")), rows(result.tables["u"]), {x.rule: x.affected for x in result.report.collect()}
+
+    assert after([1]) == (
+        [(5,), (6,), (7,)], [(10, None), (11, 5), (12, 7)], {"other -> t.id": 4, "t_id -> t.id": 1},
+    )
+    assert after([5]) == (
+        [(1,), (2,), (3,), (4,), (7,)], [(10, 4), (11, None), (12, 7)], {"other -> t.id": 2, "t_id -> t.id": 1},
+    )
+    assert after([])[2] == {"other -> t.id": 0, "t_id -> t.id": 0}
+
