@@ -1014,3 +1014,37 @@ WHERE c_custkey NOT IN (SELECT id FROM gone WHERE t = 'client')
 UNION ALL
 SELECT 'purchase', 'LEFT', count(*), sum(o_orderkey)::BIGINT FROM orders
 WHERE o_orderkey NOT IN (SELECT id FROM gone WHERE t = 'purchase')"""
+
+# The declared column defaults, as texts; NOW is the load time.
+_DEFAULTS = """
+USER: role Sales, is_active true, created_at NOW, updated_at NOW
+CUSTOMER: membership_tier Silver, total_points 0, registered_at NOW, updated_at NOW
+STORE: is_active true, created_at NOW
+PRODUCT: is_active true, created_at NOW, updated_at NOW
+PRODUCT_VARIANT: price_adjustment 0.000000, is_active true, created_at NOW
+INVENTORY: quantity_on_hand 0, reserved_quantity 0, available_quantity 0, last_updated NOW
+STOCK_ADJUSTMENT: created_at NOW
+STOCK_TRANSFER: status Pending, transfer_date NOW
+PROMOTION: min_purchase_amount 0.000000, is_active true, created_at NOW
+PROMOTION_PRODUCT: apply_to Product
+TRANSACTION: transaction_date NOW, discount_amount 0.000000, tax_amount 0.000000, loyalty_points_earned 0, loyalty_points_used 0, status Completed, created_at NOW
+TRANSACTION_ITEM: discount_amount 0.000000, created_at NOW
+PAYMENT: payment_date NOW
+RETURN: refund_amount 0.000000, status Pending, return_date NOW
+LOYALTY_POINT: points_earned 0, points_used 0, created_at NOW
+AUDIT_LOG: created_at NOW
+"""
+
+
+def _defaults() -> str:
+    parts = []
+    for line in _DEFAULTS.strip().splitlines():
+        table, columns = line.split(": ")
+        values = dict(c.split(" ") for c in columns.split(", "))
+        parts += _digests(table, SOURCES[table][0], {
+            c: _NOW if v == "NOW" else f"'{v}'" for c, v in values.items()
+        })
+    return "SELECT * RENAME (written AS table_name) FROM (" + "\nUNION ALL ".join(parts) + ")"
+
+
+ORACLE["table_defaults"] = _defaults()

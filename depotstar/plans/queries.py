@@ -91,6 +91,18 @@ def load_defaults(spark: SparkSession, folder: str) -> DataFrame:
     return portable(conform(batch, retail_rules.layout("CUSTOMER"), values))
 
 
+def table_defaults(spark: SparkSession, folder: str) -> DataFrame:
+    """Every column of the retail system that has a default, filled by it: a digest of its values."""
+    found = []
+    for name, df in retail.retail_tables(spark, folder).items():
+        values = retail_rules.defaults(name, reshape.run_time(NOW))
+        if values:
+            whole = conform(df.drop(*values), retail_rules.layout(name), values)
+            filled = digest.column_digests(whole.select(*values))
+            found.append(filled.withColumn("table_name", F.lit(name)))
+    return union_all(found)
+
+
 def split_services(spark: SparkSession, folder: str) -> DataFrame:
     wanted = [
         "Order Id", "Sales", "Market", "Product Name", "shipping date (DateOrders)",
@@ -978,7 +990,7 @@ def load_sources(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in [
-        stg_orders, stg_order_items, stg_shipments, load_defaults, split_services,
+        stg_orders, stg_order_items, stg_shipments, load_defaults, table_defaults, split_services,
         dim_department, dim_category, dim_product, dim_customer, dim_geography, dim_date,
         dim_shipping, surrogate_keys,
         fact_one_match, fact_as_written, fact_fanout,
