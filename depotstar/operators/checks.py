@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from depotstar.functions.sqltext import text
@@ -88,11 +89,32 @@ def run_checks(df: DataFrame, checks: list[Check], duplicates: bool = True) -> D
 
     One pass answers all checks together; only the duplicate check has a shuffle of its own.
     """
-    wide = df.agg(
-        *[c.observed.cast("double").alias(f"_{i}") for i, c in enumerate(checks)]
-    )
-    if duplicates:
-        found = count_duplicates(df).scalar().cast("double")
+    return _judged(df.agg(*_observed(checks)), checks, df if duplicates else None)
+
+
+def checked_write(
+    df: DataFrame, checks: list[Check], write: Callable[[DataFrame], DataFrame], duplicates: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """Write a frame by `write`, which returns what it wrote, and check it in the same pass.
+
+    Only the duplicate check reads what was written.
+    """
+    seen = Observation()
+    written = write(df.observe(seen, *_observed(checks)))
+    got = seen.get
+    layout = ", ".join(f"_{i} double" for i in range(len(checks)))
+    wide = df.sparkSession.createDataFrame([tuple(got[f"_{i}"] for i in range(len(checks)))], layout)
+    return written, _judged(wide, checks, written if duplicates else None)
+
+
+def _observed(checks: list[Check]) -> list[Column]:
+    return [c.observed.cast("double").alias(f"_{i}") for i, c in enumerate(checks)]
+
+
+def _judged(wide: DataFrame, checks: list[Check], whole: DataFrame | None) -> DataFrame:
+    """Results of the one row of observed values; duplicates are counted in `whole`, if given."""
+    if whole is not None:
+        found = count_duplicates(whole).scalar().cast("double")
         wide = wide.withColumn(f"_{len(checks)}", found)
         checks = [*checks, Check(_DUPLICATES, F.lit(0), fail="duplicate rows")]
     rows = [

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import datetime
 from functools import partial, reduce
+from typing import TypeVar
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from depotstar.functions import drop_sentinel, parse_timestamp, percent, strip, to_number
+from depotstar.functions import blank_tokens, drop_sentinel, parse_timestamp, percent, strip, to_number
 from depotstar.functions.values import SOURCE_DATE_FORMAT
 from depotstar.operators.dedupe import drop_duplicate_rows
 from depotstar.operators.profile import empty_columns, missing_cells, value_counts
@@ -40,6 +42,7 @@ PENALTY = 25
 RECORD_SOURCE = "supply_chain"
 
 Step = Callable[[DataFrame], DataFrame]
+T_ = TypeVar("T_")
 
 
 def _c(name: str) -> Column:
@@ -195,6 +198,46 @@ def score_summary(df: DataFrame) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Measures:
+    """What was seen of a frame while it was written: rows, and missing values by column."""
+
+    rows: int
+    missing: dict[str, int]
+
+    @property
+    def empty(self) -> list[str]:
+        return [c for c, n in self.missing.items() if n == self.rows]
+
+
+def measured(df: DataFrame, write: Callable[[DataFrame], T_]) -> tuple[T_, Measures]:
+    """Write a frame by `write` and measure it in the same pass; nothing is read for it again.
+
+    The measures are taken in the tasks that write, so a task done again counts once. A text that a
+    reader of the written file takes for missing counts as such.
+    """
+    seen = Observation()
+    cells = [
+        blank_tokens(_c(f.name)) if isinstance(f.dataType, T.StringType) else _c(f.name)
+        for f in df.schema.fields
+    ]
+    missing = [F.count_if(c.isNull()).alias(f"_m{i}") for i, c in enumerate(cells)]
+    out = write(df.observe(seen, F.count(F.lit(1)).alias("_rows"), *missing))
+    got = seen.get
+    return out, Measures(got["_rows"], {c: got[f"_m{i}"] for i, c in enumerate(df.columns)})
+
+
+def measured_report(
+    spark: SparkSession, before: int, after: Measures, dropped: list[str]
+) -> DataFrame:
+    """As `cleaning_report`, of what was measured."""
+    return spark.createDataFrame(
+        [(before, after.rows, before - after.rows, sum(after.missing.values()), ",".join(sorted(dropped)))],
+        "total_rows_original bigint, total_rows_cleaned bigint, duplicates_removed bigint, "
+        "missing_cells bigint, columns_dropped string",
+    )
+
+
 class Cleaner:
     """Cleansing of one file: any step alone through `apply`, or all of them through `run`.
 
@@ -203,10 +246,21 @@ class Cleaner:
     """
 
     def __init__(self, spark: SparkSession, path: str, encoding: str = "UTF-8", typed: bool = False):
-        self.spark = spark
         self.path = path
+        self._take(read_flat(spark, path, encoding=encoding), typed)
+
+    @classmethod
+    def of(cls, df: DataFrame, path: str = "frame.csv") -> Cleaner:
+        """Of a frame in place of a file."""
+        self = cls.__new__(cls)
+        self.path = path
+        self._take(df, False)
+        return self
+
+    def _take(self, df: DataFrame, typed: bool) -> None:
         # Parsing text is the dear part; the steps that look at all rows read the staged copy.
-        self.raw = stage(read_flat(spark, path, encoding=encoding), "raw")
+        self.spark = df.sparkSession
+        self.raw, self.before = measured(df, lambda d: stage(d, "raw"))
         if typed:
             self.raw = infer_types(self.raw)
         self.df = self.raw
@@ -224,12 +278,18 @@ class Cleaner:
         steps: list[Step] | None = None,
         now: datetime | None = None,
     ) -> DataFrame:
-        """Cleanse, write to `output`, and report on what was written.
+        """Cleanse, write to `output`, and report on what was written, measured by the write.
 
         Without `output`, the name is that of the source with the time of the run.
         """
         output = output or cleaned_path(self.path, now or datetime.now())
-        for step in steps or default_steps(now):
+        return self.write(lambda df: write_flat(df, output), steps, now)[1]
+
+    def write(
+        self, write: Callable[[DataFrame], T_], steps: list[Step] | None = None, now: datetime | None = None
+    ) -> tuple[T_, DataFrame]:
+        """Cleanse and hand the rows to `write`; what that returns, and the report."""
+        for step in steps or default_steps(now, empty=self.before.empty):
             self.apply(step)
-        write_flat(self.df, output)
-        return cleaning_report(self.raw, read_flat(self.spark, output), self.dropped)
+        out, after = measured(self.df, write)
+        return out, measured_report(self.spark, self.before.rows, after, self.dropped)

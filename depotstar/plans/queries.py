@@ -460,10 +460,9 @@ def status_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cleaning_report(spark: SparkSession, folder: str) -> DataFrame:
-    dirty = standin.dirty_orders(spark, folder)
-    cleaned = stage(_cleaned(spark, folder), "cleaned")
-    dropped = [c for c in dirty.columns if c not in cleaned.columns]
-    return cleanse.cleaning_report(dirty, cleaned, dropped)
+    """What the cleansing did, measured while the raw and the cleaned rows are written."""
+    cleaner = cleanse.Cleaner.of(standin.dirty_orders(spark, folder))
+    return cleaner.write(lambda df: stage(df, "cleaned"), now=NOW)[1]
 
 
 def cleaning_warnings(spark: SparkSession, folder: str) -> DataFrame:
@@ -480,18 +479,21 @@ def cleaning_warnings(spark: SparkSession, folder: str) -> DataFrame:
     return union_all(parts)
 
 
+def _validated(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The cleaned rows as written, and the checks made while writing them."""
+    cleaned = _cleaned(spark, folder)
+    return checks.checked_write(cleaned, checks.standard_checks(cleaned), lambda df: stage(df, "cleaned"))
+
+
 def validation_checks(spark: SparkSession, folder: str) -> DataFrame:
-    cleaned = stage(_cleaned(spark, folder), "cleaned")
-    found = checks.run_checks(cleaned, checks.standard_checks(cleaned))
     observed = F.round("observed", 6).alias("observed")
-    return found.select("check_name", "severity", "passed", observed)
+    return _validated(spark, folder)[1].select("check_name", "severity", "passed", observed)
 
 
 def validation_verdict(spark: SparkSession, folder: str) -> DataFrame:
-    cleaned = stage(_cleaned(spark, folder), "cleaned")
-    found = checks.verdict(checks.run_checks(cleaned, checks.standard_checks(cleaned)))
-    perfect = cleanse.score_summary(cleaned).select("perfect_records").scalar()
-    return found.select("*", perfect.alias("perfect_records"))
+    written, found = _validated(spark, folder)
+    perfect = cleanse.score_summary(written).select("perfect_records").scalar()
+    return checks.verdict(found).select("*", perfect.alias("perfect_records"))
 
 
 # Audits --------------------------------------------------------------------------------------

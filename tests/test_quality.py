@@ -174,3 +174,40 @@ def test_summaries_follow_the_group_rules(spark, rows):
     assert summary.top_contribution(df, k=1).first().share_pct == 8.4
     plan = summary.top_groups(df)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_measures_of_a_write(spark):
+    from depotstar.operators.cleanse import Cleaner, measured
+
+    df = spark.createDataFrame([("a", None, 1), (" ", "NA", None), ("", "x", 3)], "a string, b string, c int")
+    written, seen = measured(df.repartition(3), lambda d: d.collect())
+    assert len(written) == 3 and (seen.rows, seen.missing) == (3, {"a": 1, "b": 2, "c": 1}) and seen.empty == []
+    _, none = measured(df.limit(0), lambda d: d.collect())
+    assert (none.rows, none.empty) == (0, ["a", "b", "c"])
+    # Cleansing a frame reads it once: each row passes a counter one time.
+    seen = spark.sparkContext.accumulator(0)
+    from pyspark.sql import functions as F
+
+    def count(x):
+        seen.add(1)
+        return x
+
+    raw = spark.range(50).select(F.udf(count, "long")("id").cast("string").alias("Order Id"), F.lit(None).cast("string").alias("Empty"))
+    kept, report = Cleaner.of(raw).write(lambda d: d.collect())
+    row = report.first()
+    assert seen.value == 50 and len(kept) == 50
+    assert (row.total_rows_original, row.total_rows_cleaned, row.duplicates_removed, row.columns_dropped) == (50, 50, 0, "Empty")
+
+
+def test_checks_of_a_write_are_those_of_the_frame(spark, rows):
+    from depotstar.operators import checks
+
+    df = spark.createDataFrame(
+        [("1", None, 5.0, 100), (None, "x", -1.0, 75), ("1", None, 5.0, 100)],
+        "`Order Id` string, `Customer Id` string, Sales double, data_quality_score int",
+    )
+    wanted = checks.standard_checks(df)
+    written, found = checks.checked_write(df, wanted, lambda d: spark.createDataFrame(d.collect(), df.schema))
+    assert rows(found) == rows(checks.run_checks(df, wanted)) and written.count() == 3
+    _, alone = checks.checked_write(df, wanted, lambda d: spark.createDataFrame(d.collect(), df.schema), duplicates=False)
+    assert alone.count() == len(wanted)
