@@ -1048,3 +1048,33 @@ def _defaults() -> str:
 
 
 ORACLE["table_defaults"] = _defaults()
+
+# Estimates within their stated error are told by true.
+ORACLE["profile_by_parts"] = "\nUNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, count({c}) AS n, min({c}) AS min, max({c}) AS max, true AS mean_right,
+       true AS std_right, true AS q25_right,
+       true AS q50_right, true AS q75_right, true AS distinct_right, NULL::BOOLEAN AS common_right
+FROM lineitem"""
+    for c in ("l_quantity", "l_extendedprice", "l_discount")
+) + "".join(
+    f"""
+UNION ALL
+SELECT '{n}', count(*), NULL, NULL, NULL, NULL, NULL, NULL, NULL, true, true FROM lineitem"""
+    for n in ("part", "l_returnflag")
+)
+
+ORACLE["kept_audit"] = """
+WITH c AS (
+  SELECT c_custkey, c_custkey % 1400 AS phone FROM customer WHERE c_custkey % 7 = 0 OR c_custkey % 5 <> 0
+),
+o AS (
+  SELECT o_orderkey, o_custkey + (CASE WHEN o_orderkey % 13 = 0 THEN 1 ELSE 0 END) AS o_custkey, o_orderpriority
+  FROM orders WHERE o_orderkey % 11 <> 0
+)
+SELECT 'customer' AS table_name, 'c_custkey' AS rule, 'UNIQUE' AS kind, count(*) - count(DISTINCT c_custkey) AS violations FROM c
+UNION ALL SELECT 'customer', 'phone', 'UNIQUE', count(*) - count(DISTINCT phone) FROM c
+UNION ALL SELECT 'orders', 'o_orderkey', 'UNIQUE', count(*) - count(DISTINCT o_orderkey) FROM o
+UNION ALL SELECT 'orders', 'o_custkey, o_orderpriority', 'UNIQUE',
+                 (SELECT count(*) FROM o) - (SELECT count(*) FROM (SELECT DISTINCT o_custkey, o_orderpriority FROM o))
+UNION ALL SELECT 'orders', 'o_custkey -> customer.c_custkey', 'FOREIGN KEY', count(*)
+FROM o WHERE o_custkey NOT IN (SELECT c_custkey FROM c)"""

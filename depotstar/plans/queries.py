@@ -22,10 +22,12 @@ from depotstar.operators import (
     dims,
     fanout,
     keys,
+    kept_audit as kept_audits,
     marts,
     profile,
     reshape,
     retail_rules,
+    sketches,
     summary,
 )
 from depotstar.operators.fact import order_items
@@ -389,6 +391,59 @@ def impute(spark: SparkSession, folder: str) -> DataFrame:
     return snake(filled.select("Order Id", "Customer Id", "Sales", "Product Name"))
 
 
+def profile_by_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Profiles of the lines, from states of four parts that came one after the other.
+
+    Counts and extremes as they are; for means, deviations, quartiles, distinct values and the values
+    that two halves share, whether they are within the stated error of the exact ones.
+    """
+    lines = standin.table(spark, folder, "lineitem").select(
+        "l_quantity", "l_extendedprice", "l_discount", F.col("l_partkey").cast("string").alias("part"), "l_returnflag",
+        F.pmod("l_orderkey", F.lit(4)).alias("quarter"),
+    )
+    columns = lines.drop("quarter")
+    kept = sketches.Profile(spark, fresh_path(spark, "profile"))
+    for n in (0, 1, 2, 3, 1):
+        kept.add(lines.where(F.col("quarter") == n).drop("quarter"), f"q{n}")
+    numbers, texts = stage(sketches.describe_numeric(kept.numeric()), "numbers"), kept.text()
+    # Where the estimated quartiles lie among all values.
+    found = {r["column_name"]: r for r in numbers.collect()}
+    marks = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            *[
+                # Equal values have all ranks from `below` to `upto`.
+                ((F.count_if(F.col(c) < found[c][q]) / F.count(c) <= p + 0.01) & (F.count_if(F.col(c) <= found[c][q]) / F.count(c) >= p - 0.01)).alias(f"{q}_right")
+                for q, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))
+            ],
+            (F.abs(F.avg(c) / found[c]["mean"] - 1) < 1e-9).alias("mean_right"),
+            (F.abs(F.stddev_samp(c) / found[c]["std"] - 1) < 1e-9).alias("std_right"),
+            (F.abs(F.countDistinct(c) / found[c]["distinct_values"] - 1) <= 0.05).alias("distinct_right"),
+        )
+        for c in found
+    ]
+    judged = columns.agg(F.array(*marks).alias("m")).select(F.inline("m"))
+    text_rows = sketches.describe_categorical(texts).join(
+        sketches.overlap(kept.text(["q0", "q1"]), kept.text(["q2", "q3"])), "column_name"
+    )
+    exact = columns.agg(F.countDistinct("part").alias("part"), F.countDistinct("l_returnflag").alias("l_returnflag"))
+    half = F.col("quarter") < 2
+    both = lines.groupBy("part").agg(F.max(half).alias("a"), F.max(~half).alias("b")).where("a and b").count()
+    distinct = exact.first()
+    limits = F.when(F.col("column_name") == "part", both).otherwise(distinct["l_returnflag"])
+    ones = F.when(F.col("column_name") == "part", distinct["part"]).otherwise(distinct["l_returnflag"])
+    text_part = text_rows.select(
+        "column_name", "n", F.lit(None).cast("double").alias("min"), F.lit(None).cast("double").alias("max"),
+        *[F.lit(None).cast("boolean").alias(f"{q}_right") for q in ("mean", "std", "q25", "q50", "q75")],
+        (F.abs(F.col("distinct_values") / ones - 1) <= 0.05).alias("distinct_right"),
+        (F.abs(F.col("common") / limits - 1) <= 0.1).alias("common_right"),
+    )
+    number_part = numbers.join(judged, "column_name").select(
+        "column_name", "n", "min", "max", "mean_right", "std_right", "q25_right", "q50_right", "q75_right", "distinct_right", F.lit(None).cast("boolean").alias("common_right"),
+    )
+    return number_part.unionByName(text_part)
+
+
 # Cleansing and validation --------------------------------------------------------------------
 
 
@@ -569,6 +624,31 @@ def unique_audit(spark: SparkSession, folder: str) -> DataFrame:
     return union_all(found)
 
 
+def kept_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Violations of unique and foreign keys after two batches, each judged from what changed.
+
+    The first batch brings most rows; the second brings the other customers, takes some away with
+    and without their orders, and gives some orders to another customer.
+    """
+    customers = standin.table(spark, folder, "customer").selectExpr("c_custkey", "c_custkey % 1400 AS phone")
+    orders = standin.table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    audit = kept_audits.KeptAudit(
+        spark, fresh_path(spark, "kept_audit"),
+        {"customer": [["c_custkey"], ["phone"]], "orders": [["o_orderkey"], ["o_custkey", "o_orderpriority"]]},
+        [constraints.ForeignKey("orders", "o_custkey", "customer", "c_custkey")],
+    )
+    Change = kept_audits.Change
+    audit.apply({"customer": Change(customers.where("c_custkey % 7 <> 0")), "orders": Change(orders)})
+    moved = orders.where("o_orderkey % 13 = 0 AND o_orderkey % 11 <> 0")
+    given = moved.withColumn("o_custkey", F.col("o_custkey") + 1)
+    return audit.apply(
+        {
+            "customer": Change(customers.where("c_custkey % 7 = 0"), customers.where("c_custkey % 7 <> 0 AND c_custkey % 5 = 0")),
+            "orders": Change(given, orders.where("o_orderkey % 11 = 0").unionByName(moved)),
+        }
+    )
+
+
 def retail_audit(spark: SparkSession, folder: str) -> DataFrame:
     """Every rule of the retail system that its stand-in tables can break."""
     return constraints.audit(
@@ -1000,10 +1080,10 @@ QUERIES: dict[str, Query] = {
         discount_effect,
         eda_totals, eda_top_products, eda_top_contribution, eda_status_share, eda_late_risk,
         eda_market_sales,
-        describe_numeric, describe_categorical, null_profile, frame_shape, impute,
+        describe_numeric, describe_categorical, profile_by_parts, null_profile, frame_shape, impute,
         clean_orders, dedupe_rows, dedupe_keep_first, status_counts, quality_score,
         cleaning_report, cleaning_warnings, validation_checks, validation_verdict,
-        fk_audit, check_audit, unique_audit, retail_audit, delete_actions, delete_restricted, delete_cycle,
+        fk_audit, check_audit, unique_audit, kept_audit, retail_audit, delete_actions, delete_restricted, delete_cycle,
         scd2_customer, scd2_snapshot, scd2_late_snapshots, revenue_by_segment, upsert_customer,
         incremental_orders, incremental_events, incremental_star, incremental_fact, hot_key_lookup, csv_round_trip,
         csv_mixed_headers, staging_failures, type_census, typed_duplicates, masked_values, warehouse_writes, load_sources,

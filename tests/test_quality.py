@@ -211,3 +211,50 @@ def test_checks_of_a_write_are_those_of_the_frame(spark, rows):
     assert rows(found) == rows(checks.run_checks(df, wanted)) and written.count() == 3
     _, alone = checks.checked_write(df, wanted, lambda d: spark.createDataFrame(d.collect(), df.schema), duplicates=False)
     assert alone.count() == len(wanted)
+
+
+def test_profiles_of_parts(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from depotstar.operators import profile, sketches
+
+    df = spark.range(20_000).selectExpr(
+        "id % 4 as part", "cast(pmod(hash(id), 1000) as double) as v",
+        "if(id % 9 = 0, null, cast(pmod(hash(id, 1), 300) as string)) as t", "cast(null as double) as nothing",
+        "if(id % 3 = 0, 'often', cast(id as string)) as skewed",
+    )
+    kept = sketches.Profile(spark, str(tmp_path / "p"))
+    reads = spark.sparkContext.accumulator(0)
+    tick = F.udf(lambda x: reads.add(1) or x, "double")
+    for n in (0, 1, 2, 3, 2, 0):
+        part = df.where(F.col("part") == n).drop("part")
+        kept.add(part.withColumn("v", tick("v")), f"part-{n}")
+    # A row is read once for the numbers and once for the texts, and not again for a part sent twice.
+    assert reads.value <= 2 * 20_000
+    exact = profile.describe_numeric(df.select("v", "nothing")).where("n > 0").first()
+    got = sketches.describe_numeric(kept.numeric()).collect()
+    assert [r.column_name for r in got] == ["v"]
+    assert (got[0].n, got[0].min, got[0].max) == (exact.n, exact.min, exact.max)
+    assert abs(got[0].mean - exact["mean"]) < 1e-9 and abs(got[0]["std"] - exact["std"]) < 1e-6
+    for q in ("q25", "q50", "q75"):
+        assert abs(got[0][q] - exact[q]) <= 10  # a hundredth of the ranks
+    texts = {r.column_name: r for r in sketches.describe_categorical(kept.text()).collect()}
+    right = {r.column_name: r for r in profile.describe_categorical(df.select("t", "skewed")).collect()}
+    assert texts["skewed"].top == right["skewed"].top == "often" and texts["skewed"].freq == right["skewed"].freq
+    for c in ("t", "skewed"):
+        assert texts[c].n == right[c].n and abs(texts[c].distinct_values / right[c].distinct_values - 1) < 0.05
+    both = sketches.overlap(kept.text(["part-0"]), kept.text(["part-1"])).where("column_name = 't'").first().common
+    assert abs(both - 300) < 30
+    assert kept.fills()["skewed"] == "often" and abs(kept.fills()["v"] - exact.q50) <= 10
+
+
+def test_merged_states_of_one_part_are_that_part(spark):
+    from depotstar.operators import sketches
+
+    df = spark.createDataFrame([(1.0, "a"), (2.0, "b"), (4.0, "a")], "v double, t string")
+    one, merged = sketches.numeric_state(df), sketches.merge_numeric(sketches.numeric_state(df))
+    a, b = (sketches.describe_numeric(x).first().asDict() for x in (one, merged))
+    assert abs(a.pop("std") - b.pop("std")) < 1e-12 and a == b
+    state = sketches.text_state(df)
+    assert tuple(sketches.describe_categorical(state).first()) == ("t", 3, 2, "a", 2)
+    assert sketches.describe_numeric(sketches.numeric_state(df.limit(0))).count() == 0

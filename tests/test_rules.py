@@ -1,5 +1,6 @@
 """Constraint audits and delete actions."""
 
+import random
 from collections import Counter
 
 import pytest
@@ -163,3 +164,44 @@ def test_cascades_run_through_cycles(spark, rows):
     )
     assert after([])[2] == {"other -> t.id": 0, "t_id -> t.id": 0}
 
+
+def test_kept_audits_say_what_full_audits_say(spark, tmp_path, monkeypatch):
+    from depotstar.operators import kept_audit as k
+
+    r = random.Random(6)
+    fk = [c.ForeignKey("child", "p", "parent", "id"), c.ForeignKey("child", "boss", "child", "cid")]
+    unique = {"parent": [["id"]], "child": [["cid"], ["p", "code"]]}
+    layouts = {"parent": "id int, x int", "child": "cid int, p int, code string, boss int"}
+    now = {"parent": [], "child": []}
+
+    def some(table):
+        if table == "parent":
+            return (r.choice([None, *range(6)]), r.randrange(9))
+        return (r.randrange(12), r.choice([None, *range(8)]), r.choice(["a", "b", None]), r.choice([None, *range(14)]))
+
+    def frame(table, data):
+        return spark.createDataFrame(data, layouts[table])
+
+    audit = k.KeptAudit(spark, str(tmp_path / "audit"), unique, fk)
+    for turn in range(4):
+        changes = {}
+        for table in ("parent", "child"):
+            if turn == 2 and table == "child":
+                continue
+            went = r.sample(now[table], len(now[table]) // 3)
+            came = [some(table) for _ in range(8)]
+            for row in went:
+                now[table].remove(row)
+            now[table] += came
+            changes[table] = k.Change(frame(table, came), frame(table, went) if went else None)
+        if turn == 1:  # lost once on the way
+            with monkeypatch.context() as m, pytest.raises(RuntimeError):
+                m.setattr(k.tables, "finish", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+                audit.apply(changes)
+        got = {(x.table_name, x.rule): x.violations for x in audit.apply(changes).collect()}
+        whole = {t: frame(t, rows) for t, rows in now.items()}
+        rules = {t: c.TableRules(unique=keys) for t, keys in unique.items()}
+        full = {(x.table_name, x.rule): x.violations for x in c.audit(whole, rules, fk).collect()}
+        assert got == full
+    assert {x.violations for x in k.KeptAudit(spark, str(tmp_path / "none"), unique, fk).violations().collect()} == {0}
+    assert audit.apply({}).count() == 5
