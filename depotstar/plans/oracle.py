@@ -1078,3 +1078,5 @@ UNION ALL SELECT 'orders', 'o_custkey, o_orderpriority', 'UNIQUE',
                  (SELECT count(*) FROM o) - (SELECT count(*) FROM (SELECT DISTINCT o_custkey, o_orderpriority FROM o))
 UNION ALL SELECT 'orders', 'o_custkey -> customer.c_custkey', 'FOREIGN KEY', count(*)
 FROM o WHERE o_custkey NOT IN (SELECT c_custkey FROM c)"""
+
+ORACLE["incremental_orders_once"] = ORACLE["incremental_orders"]
