@@ -66,11 +66,14 @@ def filter_fact(
     equals: dict[str, object] | None = None,
     one_of: dict[str, list] | None = None,
     contains: dict[str, str] | None = None,
+    clustered: tuple[str, ...] = (),
 ) -> DataFrame:
     """Fact rows that meet dashboard filters: dropdown, checkbox list, text (any letter case).
 
     Each filter is applied to its dimension and only the keys left over restrict the fact. A filter
-    on the order year is also put to the fact's partitions, so other years are not read.
+    on the order year is also put to the fact's partitions, so other years are not read. For the
+    roles in `clustered`, by whose keys the fact was written, the least and greatest key left over are
+    looked up first and put to the scan, which then skips row groups.
     """
     fact = star["order_items"]
     years = [y for y in [(equals or {}).get("order_date.year")] if y is not None]
@@ -80,6 +83,9 @@ def filter_fact(
     for name, tests in _conditions(equals or {}, one_of or {}, contains or {}).items():
         key = ROLES[name][0]
         kept = role(star, name).where(reduce(and_, tests))
+        if name in clustered:
+            low, high = kept.agg(F.min(key), F.max(key)).first()
+            fact = fact.where(F.col(key).between(low, high))
         fact = matching(fact, kept, {key: key}, keys_from=star["order_items"])
     return fact
 

@@ -1080,3 +1080,12 @@ UNION ALL SELECT 'orders', 'o_custkey -> customer.c_custkey', 'FOREIGN KEY', cou
 FROM o WHERE o_custkey NOT IN (SELECT c_custkey FROM c)"""
 
 ORACLE["incremental_orders_once"] = ORACLE["incremental_orders"]
+
+ORACLE["star_clustered"] = f"WITH {_STAGING},{_LINES}" + " UNION ALL ".join(
+    f"""
+SELECT '{name}' AS filter, count(*) AS lines, CAST(sum(sales) AS DOUBLE) AS sales, true AS pruned
+FROM lines WHERE {test}"""
+    for name, test in {
+        "product": "product_id = 7", "customer": "customer_id = 7", "order_date": "order_date = DATE '1996-03-13'",
+    }.items()
+)
