@@ -43,7 +43,7 @@ def load_staging(
     encoding: str = "ISO-8859-1",
     date_format: str = SOURCE_DATE_FORMAT,
     now: datetime | None = None,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> dict[str, DataFrame]:
     """Full reload of the staging tables from one CSV, or a folder of them.
 
@@ -64,7 +64,7 @@ def load_staging_version(
     encoding: str = "ISO-8859-1",
     date_format: str = SOURCE_DATE_FORMAT,
     now: datetime | None = None,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> int:
     """As `load_staging`, into a new version that readers see once all three tables are there."""
     flat = stage(read_for_staging(spark, csv, encoding, date_format, multi_line=multi_line), "flat")
@@ -76,7 +76,7 @@ def staging_failures(
     csv: str,
     encoding: str = "ISO-8859-1",
     date_format: str = SOURCE_DATE_FORMAT,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """(table_name, column_name, failed): texts of a CSV that the staging load turns to NULL."""
     flat = stage(
@@ -100,7 +100,7 @@ def load_sources(
     spark: SparkSession, csv: str, path: str, encoding: str = "ISO-8859-1"
 ) -> dict[str, DataFrame]:
     """Replace the tables `source_orders` and `source_shipping` from one CSV."""
-    flat = read_flat(spark, csv, encoding=encoding, multi_line=True)
+    flat = read_flat(spark, csv, encoding=encoding, multi_line=None)
     orders, shipping = split_sources(clean_names(flat))
     tables.replace(orders, f"{path}/source_orders")
     tables.replace(shipping, f"{path}/source_shipping")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,6 +68,26 @@ def by_header(spark: SparkSession, path: str, encoding: str = "UTF-8") -> list[t
     return [(header_names(spark, own[0], encoding), own) for own in groups.values()]
 
 
+def quoted_line_ends(spark: SparkSession, files: list[str]) -> set[str]:
+    """The files that may hold line ends within quotes: those with a line of unpaired quotes.
+
+    One pass over the lines of all files, which can be split among tasks; one row a file reaches the
+    driver.
+    """
+    if not files:
+        return set()
+    quotes = F.length(F.regexp_replace("value", '[^"]', "")) % 2
+    lines = spark.read.text(files).select(F.col("_metadata.file_path").alias("file"), quotes.alias("odd"))
+    found = lines.groupBy("file").agg(F.max("odd").alias("odd")).where("odd = 1").collect()
+    # A scan names files by URL, a listing as they are.
+    odd = {_without_scheme(unquote(r["file"])) for r in found}
+    return {f for f in files if _without_scheme(f) in odd}
+
+
+def _without_scheme(path: str) -> str:
+    return re.sub(r"^[a-z0-9+.-]+:(//[^/]*)?", "", path)
+
+
 def _reader(spark: SparkSession, names: list[str], encoding: str, multi_line: bool, extra: str = ""):
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, *filter(None, [extra])]])
     return (
@@ -83,20 +105,31 @@ def read_flat(
     columns: list[str] | None = None,
     encoding: str = "UTF-8",
     null_tokens: bool = True,
-    multi_line: bool = False,
+    multi_line: bool | None = False,
     file_order: bool = False,
 ) -> DataFrame:
     """Every column as text, without type inference; `columns` prunes the scan.
 
     Columns are told by the header of each file, so files may have them in different orders, and a
     column that a file lacks is NULL there. `multi_line` reads quoted values with line ends as one
-    value; such files cannot be split among tasks.
+    value; such files cannot be split among tasks. With None, a first pass tells which files may have
+    such values, and the others are split.
     """
-    groups = by_header(spark, path, encoding) or [(header_names(spark, path, encoding), [path])]
-    wanted = columns or list(dict.fromkeys(n for names, _ in groups for n in names))
+    found = by_header(spark, path, encoding) or [(header_names(spark, path, encoding), [path])]
+    wanted = columns or list(dict.fromkeys(n for names, _ in found for n in names))
+    if multi_line is None:
+        odd = quoted_line_ends(spark, [f for _, files in found for f in files])
+        groups = [
+            (names, own, whole)
+            for names, files in found
+            for whole, own in ((False, [f for f in files if f not in odd]), (True, [f for f in files if f in odd]))
+            if own
+        ]
+    else:
+        groups = [(names, files, multi_line) for names, files in found]
     parts = []
-    for names, files in groups:
-        df = _reader(spark, names, encoding, multi_line).csv(files)
+    for names, files, whole in groups:
+        df = _reader(spark, names, encoding, whole).csv(files)
         if file_order:
             df = with_file_order(df)
         cells = []
@@ -139,11 +172,12 @@ def read_for_staging(
     encoding: str = "ISO-8859-1",
     date_format: str = SOURCE_DATE_FORMAT,
     file_order: bool = True,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """The pruned scan behind the staging load, both dates parsed.
 
-    Without `multi_line`, files without line ends in their values can be split among tasks.
+    Files without line ends in their values are split among tasks; `multi_line` tells whether there
+    are any, where it is known.
     """
     df = read_flat(
         spark, path, source_columns(), encoding, multi_line=multi_line, file_order=file_order

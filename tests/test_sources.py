@@ -123,6 +123,30 @@ def test_scan_is_pruned(spark, tmp_path):
     assert "ReadSchema: struct<Order Id:string,Sales:string>" in plan
 
 
+def test_files_without_quoted_line_ends_are_split(spark, tmp_path, rows):
+    folder = tmp_path / "odd names %41"
+    folder.mkdir()
+    (folder / "a.csv").write_text('k,v\n1,"p\nq"\n2,"say ""hi"""\n')
+    (folder / "b.csv").write_text("k,v\n" + "".join(f'{i},"x, ""y"" {i}"\n' for i in range(3, 3000)))
+    (folder / "c.csv").write_text('v,k\n5" pipe,9000\n')
+    (folder / "d.csv").write_text("")
+    path = str(folder)
+    files = csv.csv_files(spark, path)
+    odd = csv.quoted_line_ends(spark, files)
+    assert sorted(os.path.basename(f) for f in odd) == ["a.csv", "c.csv"]
+    found = csv.read_flat(spark, path, multi_line=None)
+    assert rows(found) == rows(csv.read_flat(spark, path, multi_line=True))
+    assert found.where("v = 'p\nq'").count() == 1 and found.count() == 3000
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        split = csv.read_flat(spark, path, ["k"], multi_line=None)
+        assert split.rdd.getNumPartitions() > csv.read_flat(spark, path, ["k"], multi_line=True).rdd.getNumPartitions()
+        assert rows(split) == rows(found.select("k"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert csv.quoted_line_ends(spark, []) == set()
+
+
 def test_quoted_line_ends_need_multi_line(spark, tmp_path):
     path = tmp_path / "q.csv"
     path.write_text('a,b\n"x\ny",1\n')
