@@ -1089,3 +1089,9 @@ FROM lines WHERE {test}"""
         "product": "product_id = 7", "customer": "customer_id = 7", "order_date": "order_date = DATE '1996-03-13'",
     }.items()
 )
+
+ORACLE["custom_cleaning"] = f"""
+WITH {_CLEANED}
+SELECT delivery_status AS status, 'manual' AS source_system, {_NOW} AS load_date, 'night job' AS loaded_by,
+       count(*) AS n, CAST(sum(CAST(sales AS DECIMAL(18,2))) AS DOUBLE) AS sales
+FROM cleaned WHERE sales >= 0 GROUP BY delivery_status"""

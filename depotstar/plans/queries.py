@@ -548,6 +548,21 @@ def cleaning_report(spark: SparkSession, folder: str) -> DataFrame:
     return cleaner.write(lambda df: stage(df, "cleaned"), now=NOW)[1]
 
 
+def custom_cleaning(spark: SparkSession, folder: str) -> DataFrame:
+    """The cleansing with own steps: a filter, a rename where the column is there, long lineage."""
+    own = [
+        *cleanse.default_steps(NOW),
+        lambda df: df.where("Sales >= 0"),
+        lambda df: reshape.rename_if_present(df, "Delivery Status", "status"),
+        lambda df: reshape.rename_if_present(df, "No Such Column", "other"),
+        lambda df: reshape.with_record_lineage(df, "manual", NOW, "night job"),
+    ]
+    cleaner = cleanse.Cleaner.of(standin.dirty_orders(spark, folder))
+    kept, _ = cleaner.write(lambda df: stage(df, "own"), own)
+    by = ["status", "source_system", "load_date", "loaded_by"]
+    return portable(kept.groupBy(*by).agg(F.count("*").alias("n"), F.sum(F.col("Sales").cast("decimal(18,2)")).alias("sales")))
+
+
 def cleaning_warnings(spark: SparkSession, folder: str) -> DataFrame:
     """Negative numbers and invalid dates per column."""
     cleaned = _cleaned(spark, folder)
@@ -1129,7 +1144,7 @@ QUERIES: dict[str, Query] = {
         eda_market_sales,
         describe_numeric, describe_categorical, profile_by_parts, null_profile, frame_shape, impute,
         clean_orders, dedupe_rows, dedupe_keep_first, status_counts, quality_score,
-        cleaning_report, cleaning_warnings, validation_checks, validation_verdict,
+        cleaning_report, custom_cleaning, cleaning_warnings, validation_checks, validation_verdict,
         fk_audit, check_audit, unique_audit, kept_audit, retail_audit, delete_actions, delete_restricted, delete_cycle,
         scd2_customer, scd2_snapshot, scd2_late_snapshots, revenue_by_segment, upsert_customer,
         incremental_orders, incremental_orders_once, incremental_events, incremental_star, incremental_fact, hot_key_lookup, csv_round_trip,

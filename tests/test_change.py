@@ -173,6 +173,8 @@ def test_an_unlisted_step_is_not_seen(spark, rows, tmp_path):
     assert steps.read(spark, root, df.schema).count() == 2
     batch = spark.createDataFrame([("f",), ("h",), ("h",)], "file string")
     assert rows(steps.unseen(batch, root, "file")) == [("h",)]
+    steps.expire(spark, root)
+    assert len(os.listdir(f"{root}/rows")) == 2 and steps.read(spark, root, df.schema).count() == 2
 
 
 def test_upsert_new_prepares_rows(spark, rows, tmp_path):
