@@ -110,8 +110,15 @@ def _masked() -> Column:
         ))""")
 
 
-def _words(text: str) -> str:
-    return f"filter(split(lower({text}), '\\\\s+'), w -> w <> '')"
+def _first_word(text: str, after: int = 0) -> str:
+    """SQL: the word that comes first in a text, or after one other; NULL if there is none."""
+    skipped = r"\\S++\\s++" * after
+    return rf"nullif(regexp_extract({text}, '^\\s*+{skipped}(\\S++)', 1), '')"
+
+
+def _last_word(text: str, before: int = 0) -> str:
+    """SQL: the word that comes last, found from the end, so that a long text costs no search."""
+    return f"reverse({_first_word(f'reverse({text})', before)})"
 
 
 def _occurrences() -> str:
@@ -119,13 +126,13 @@ def _occurrences() -> str:
     lead = r"regexp_replace(x.m, '^(?:[\\p{Punct}&&[^+(]]|[(](?![^()]*[)][^()]*[A-Za-z0-9]))+', '')"
     core = rf"regexp_replace({lead}, '\\p{{Punct}}+$', '')"
     start = f"x.a + length(x.m) - length({lead})"
-    before = _words("right(concat(if(i > 0, '§ ', '^ '), c_p[i]), 200)")
-    after = _words("left(concat(c_p[i + 1], if(i + 1 < size(c_m), ' §', ' $')), 200)")
+    before = "concat(if(i > 0, '§ ', '^ '), c_p[i])"
+    after = "concat(c_p[i + 1], if(i + 1 < size(c_m), ' §', ' $'))"
     at = f"x.a + locate('{_OPEN}', x.m) - 1"
     long = f"length(regexp_replace(x.m, '[^{_OPEN}{_MORE}]+', ''))"
     context = (
-        f"'before2', get({before}, size({before}) - 2), 'before', get({before}, size({before}) - 1),"
-        f" 'after', get({after}, 0)"
+        f"'before2', lower({_last_word(before, 1)}), 'before', lower({_last_word(before)}),"
+        f" 'after', lower({_first_word(after)})"
     )
     made = (
         f"if(locate('{_OPEN}', x.m) > 0,"
@@ -196,8 +203,10 @@ def score_patterns(edges: DataFrame, turns: int, least: float, support: int) ->
     """pattern, kind and score of the patterns that tell a kind.
 
     Counts are of different tokens, so copies of a text add nothing. A pattern's score for a kind is
-    the sum of its tokens' scores over their number plus one; with fewer than `support` seeds it has
-    none. A token's score is that of a noisy or over its patterns, and one for seeds.
+    the sum of its tokens' scores over their number plus one; it has one from `support` known tokens
+    on. Known are the seeds, whose score is one, and, as soon as they have it, tokens that score at
+    least `least`: so what one pattern discovers supports the next. A token's score is that of a
+    noisy or over its patterns. Each turn looks up the tokens that became known in the turn before.
     """
     graph = stage(edges.groupBy("pattern", "token").agg(F.max("seed").alias("seed")), "graph")
     seeds = stage(
@@ -205,26 +214,50 @@ def score_patterns(edges: DataFrame, turns: int, least: float, support: int) ->
         .withColumn("score", F.lit(1.0)), "seeds",
     )
     sizes = graph.groupBy("pattern").agg(F.count("*").alias("n"))
-    supported = graph.where("seed is not null").groupBy("pattern", F.col("seed").alias("kind")).agg(
-        F.count("*").alias("seeds")
-    ).where(F.col("seeds") >= support)
-    known = stage(supported.join(sizes, "pattern").select("pattern", "kind", "n"), "supported")
-    own = stage(graph.join(known, "pattern").select("pattern", "kind", "n", "token"), "own")
-    scores = seeds
+    counts = stage(
+        graph.where("seed is not null").groupBy("pattern", F.col("seed").alias("kind")).agg(
+            F.count("*").alias("known")
+        ), "counts",
+    )
+    supported = stage(counts.where(F.col("known") >= support).select("pattern", "kind"), "supported")
+
+    def edges_of(patterns: DataFrame) -> DataFrame:
+        return stage(
+            graph.join(patterns, "pattern").join(sizes.join(patterns.select("pattern").distinct(), "pattern"), "pattern")
+            .select("pattern", "kind", "n", "token"), "own",
+        )
+
+    own, scores, known = edges_of(supported), seeds, seeds.select("token", "kind")
     for turn in range(turns):
         patterns = own.join(scores, ["token", "kind"]).groupBy("pattern", "kind").agg(
             (F.sum("score") / (F.first("n") + 1)).alias("score")
         )
         patterns = stage(patterns, "patterns")
-        if turn + 1 < turns:
-            met = own.join(patterns, ["pattern", "kind"]).groupBy("token", "kind").agg(
-                (1 - F.exp(F.sum(F.log1p(-F.col("score"))))).alias("met")
-            )
-            scores = stage(
-                met.join(seeds, ["token", "kind"], "full").select(
-                    "token", "kind", F.coalesce("score", "met").alias("score")
-                ), "scores",
-            )
+        if turn + 1 == turns:
+            break
+        met = own.join(patterns, ["pattern", "kind"]).groupBy("token", "kind").agg(
+            (1 - F.exp(F.sum(F.log1p(-F.col("score"))))).alias("met")
+        )
+        scores = stage(
+            met.join(seeds, ["token", "kind"], "full").select(
+                "token", "kind", F.coalesce("score", "met").alias("score")
+            ), "scores",
+        )
+        fresh = scores.where(F.col("score") >= least).select("token", "kind").join(known, ["token", "kind"], "left_anti")
+        fresh = stage(fresh, "fresh")
+        if fresh.isEmpty():
+            continue
+        known = known.union(fresh)
+        more = graph.join(fresh, "token").groupBy("pattern", "kind").agg(F.count("*").alias("known"))
+        counts = stage(
+            counts.unionByName(more).groupBy("pattern", "kind").agg(F.sum("known").alias("known")), "counts"
+        )
+        new = counts.where(F.col("known") >= support).select("pattern", "kind").join(
+            supported, ["pattern", "kind"], "left_anti"
+        )
+        new = stage(new, "supported")
+        supported = supported.union(new)
+        own = own.union(edges_of(new))
     return patterns.where(F.col("score") >= least).groupBy("pattern").agg(
         F.max(F.struct("score", "kind")).alias("best")
     ).select("pattern", "best.kind", "best.score")
@@ -240,8 +273,12 @@ def find(
     `least`, where no base span is; spans has both. All are ordered by start, then kind. `turns`
     is how often patterns are scored, `support` how many different seeds a pattern needs.
 
-    A NULL text counts as empty and has no spans. Rows with equal or NULL doc_id are rows of their
-    own. Further columns are read only if named in `keep`, which are handed through.
+    A NULL text counts as empty and has no spans; an empty table has no rows. Rows with equal or NULL
+    doc_id are rows of their own, but repeated rows give a pattern no more tokens. Of patterns with
+    equal scores the greater kind by name counts; a score of exactly `least` and a number of seeds of
+    exactly `support` are enough. A text of any length is searched whole by the task that has its
+    row; contexts are whole words, however long. Further columns are read only if named in `keep`,
+    which are handed through.
     """
     given = docs.select(
         "doc_id", *keep, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")

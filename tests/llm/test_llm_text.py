@@ -163,6 +163,88 @@ def test_contexts_of_phones_and_cards(spark):
     assert all(redacted[i].startswith("you may reach us at [PHONE], or come") for i in [*range(12), 24, 25, 26])
 
 
+def plain_patterns(edges, turns, least, support):
+    """The scores of all patterns, turn by turn, from a list of (pattern, token, seed)."""
+    of = {}
+    for pattern, token, seed in edges:
+        of.setdefault(pattern, {}).setdefault(token, None)
+        of[pattern][token] = max(filter(None, (of[pattern][token], seed)), default=None)
+    seeds = {(t, k) for tokens in of.values() for t, k in tokens.items() if k}
+    scores, known = dict.fromkeys(seeds, 1.0), set(seeds)
+    # A seed supports the patterns in which it is one; a discovered token all that it is met in.
+    counts = {}
+    for pattern, tokens in of.items():
+        for k in tokens.values():
+            if k:
+                counts[pattern, k] = counts.get((pattern, k), 0) + 1
+    for turn in range(turns):
+        patterns = {}
+        for (pattern, k), n in counts.items():
+            if n >= support:
+                found = [scores[t, k] for t in of[pattern] if (t, k) in scores]
+                if found:
+                    patterns[pattern, k] = sum(found) / (len(of[pattern]) + 1)
+        if turn + 1 == turns:
+            break
+        missed = {}
+        for (pattern, k), score in patterns.items():
+            for t in of[pattern]:
+                missed[t, k] = missed.get((t, k), 1) * (1 - score)
+        scores = {**{x: 1 - m for x, m in missed.items()}, **dict.fromkeys(seeds, 1.0)}
+        for t, k in [x for x, score in scores.items() if score >= least and x not in known]:
+            known.add((t, k))
+            for pattern, tokens in of.items():
+                if t in tokens:
+                    counts[pattern, k] = counts.get((pattern, k), 0) + 1
+    best = {}
+    for (pattern, k), score in patterns.items():
+        if score >= least:
+            best[pattern] = max(best.get(pattern, (0, "")), (score, k))
+    return {p: (k, round(score, 9)) for p, (score, k) in best.items()}
+
+
+@pytest.mark.parametrize("turns", [1, 2, 3, 4])
+def test_pattern_scores_against_plain_turns(spark, turns):
+    rng = random.Random(turns)
+    edges = []
+    for p in range(40):
+        kind = rng.choice(["email", "phone", "card"])
+        for t in rng.sample(range(60), rng.randrange(1, 14)):
+            token = f"t{t}"
+            seed = kind if t % 3 == 0 and rng.random() < 0.9 else None
+            edges += [(f"p{p}", token, seed)] * rng.choice([1, 1, 3])
+        if p % 4 == 0:
+            edges += [(f"p{p}", f"s{p}-{i}", kind) for i in range(rng.randrange(2, 9))]
+    df = spark.createDataFrame(edges, "pattern string, token string, seed string")
+    for least, support in ((0.8, 3), (0.5, 2), (0.5, 4)):
+        got = {r.pattern: (r.kind, round(r.score, 9)) for r in pii.score_patterns(df, turns, least, support).collect()}
+        assert got == plain_patterns(edges, turns, least, support)
+
+
+def test_what_one_pattern_discovers_supports_the_next(spark):
+    hidden = [f"user{i}(at)host" for i in range(12)]
+    rows = [f"please write to u{i}@mail{i}.example.com about thing" for i in range(60)]
+    rows += [f"please write to {h} about thing" for h in hidden]
+    # A second context knows none of the seeds, only what the first one discovers, and one more.
+    rows += [f"complaints reach agent {h} within hours" for h in hidden]
+    rows += ["complaints reach agent unseen(at)77 within hours", "nothing about 12 here"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    added = {r.doc_id: [(rows[r.doc_id][s.start:s.end], s.kind) for s in r.added] for r in pii.find(df).collect()}
+    assert added[len(rows) - 2] == [("unseen(at)77", "email")] and added[len(rows) - 1] == []
+    assert all(added[i] == [(h, "email")] for i, h in enumerate(hidden, 60))
+    once = {r.doc_id: r.added for r in pii.find(df, turns=1).collect()}
+    assert once[len(rows) - 2] == [] and len(once[60]) == 1
+
+
+def test_contexts_are_whole_words(spark):
+    long = "x" * 5000
+    rows = [f"{long} {long}y u{i}@mail{i}.example.com {long}z" for i in range(6)] + [f"{long} {long}y hidden(at)9 {long}z"]
+    rows += [f"{long} {long[:300]}y other(at)9 {long}z"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    added = {r.doc_id: len(r.added) for r in pii.find(df).collect()}
+    assert added == {**dict.fromkeys(range(6), 0), 6: 1, 7: 0}
+
+
 def test_redact(spark):
     rows = [(i, t, "x", i) for i, t in enumerate(EDGES)] + [(None, "a@b.c", "y", 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, spans string, n long")
