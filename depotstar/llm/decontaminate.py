@@ -3,8 +3,10 @@
 Documents are partitioned by the size of their shingle set. A partition with sets of up to x
 shingles uses one-permutation MinHash with as many bins as its size needs, so that an item's
 smallest shingle of a bin is almost surely the document's smallest too, if the document holds it.
-An item is sketched once for each partition's number of bins. A document and an item that agree in
-any bin are a candidate pair, which an exact count of common shingles decides.
+An item is sketched once for each partition's number of bins, by its smallest hashes: as a document
+that holds it lacks at most a share of its shingles, so many smallest ones and a few more can't all
+be missing. A document and an item that agree in any such bin are a candidate pair, and an exact
+count of common shingles, made for candidates only, decides.
 """
 
 from __future__ import annotations
@@ -13,21 +15,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import hot_keys
 from ..session import stage
 from . import common
 from .tokens import grams, words
 
 #: Bins for each shingle of the largest set of a partition, as a power of two. A shingle that both
 #: sides hold is hidden in its bin with a chance of less than 2 ** -(SPARE_BITS + 1).
-SPARE_BITS = 8
+SPARE_BITS = 16
+#: Smallest hashes of an item beyond those a document that holds it may lack. At least one more than so
+#: many are in the document, all of which would have to be hidden for the pair to be missed.
+EXTRA = 3
 #: Partitions hold sets of up to 2, 4, 8 .. shingles; the last holds all larger ones, too.
 CLASSES = 40
-#: Bits of the filter that is sent to all tasks: its size is fixed, however large the benchmark.
-FILTER_BITS = 23
-#: Shares into which the documents that hold one shingle are split; items are repeated so often.
+#: The filter that is sent to all tasks has some 16 bits for each item shingle, as a power of two, but
+#: never more than 2 ** 27 bits, 16 MB, however large the benchmark.
+FILTER_BITS = (16, 27)
+#: Shares into which the documents that hold one frequent shingle are split.
 SALTS = 16
 
 
@@ -42,10 +49,6 @@ def sketch(hashes: np.ndarray, size: int) -> np.ndarray:
     return order[np.r_[True, bins[1:] != bins[:-1]]] if len(order) else order
 
 
-def _at(hashes: np.ndarray) -> np.ndarray:
-    return (hashes & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
-
-
 def _shingle_rows(column: pa.Array, n: int, chosen=None) -> Iterator[tuple]:
     """(row, hashes, bytes of shingle i, places) of each text that has words.
 
@@ -75,11 +78,11 @@ def _table(column: pa.Array, rows: list[int], **others) -> pa.RecordBatch:
 
 
 def _item_shingles(n: int):
-    """A row for each item and shingle: its place in the filter, and the classes it stands for."""
+    """A row for each item and shingle: its hash, and the classes in whose sketches it is."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts, all_classes, places = [], [], [], []
+            ids, texts, all_classes, own = [], [], [], []
             for row, hashes, shingles, _ in _shingle_rows(batch.column("text"), n):
                 classes = np.zeros(len(hashes), np.int64)
                 for size in range(1, CLASSES + 1):
@@ -87,11 +90,11 @@ def _item_shingles(n: int):
                 ids += [row] * len(hashes)
                 texts += shingles
                 all_classes.append(classes)
-                places.append(_at(hashes))
+                own.append(hashes.astype(np.int64))
             yield _table(
                 batch.column("id"), ids, shingle=pa.array(texts, pa.binary()),
                 classes=pa.array(np.concatenate([*all_classes, np.zeros(0, np.int64)])),
-                at=pa.array(np.concatenate([*places, np.zeros(0, np.int64)])),
+                hash=pa.array(np.concatenate([*own, np.zeros(0, np.int64)])),
             )
 
     return rows
@@ -101,7 +104,7 @@ def _document_shingles(n: int, bits: np.ndarray):
     """Per document, the shingles that pass the filter, its size class, and if its sketch has them."""
 
     def passes(hashes: np.ndarray) -> np.ndarray:
-        at = _at(hashes)
+        at = (hashes & np.uint64(8 * len(bits) - 1)).astype(np.int64)
         return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,11 +127,14 @@ def _document_shingles(n: int, bits: np.ndarray):
 
 
 def _filter(items: DataFrame) -> np.ndarray:
-    """A bitmap of all shingles of the items: 2 ** FILTER_BITS bits, combined by Spark."""
-    words = items.groupBy((F.col("at") / 32).cast("int").alias("word")).agg(
-        F.expr("bit_or(shiftleft(1L, cast(at % 32 as int)))").alias("bits")
+    """A bitmap of the hashes of all item shingles, combined by Spark."""
+    low, high = FILTER_BITS
+    power = min(max((16 * items.count()).bit_length(), low), high)
+    at = F.col("hash").bitwiseAND((1 << power) - 1)
+    words = items.groupBy(F.floor(at / 32).cast("int").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(hash & 31 as int))")).alias("bits")
     ).toArrow()
-    bits = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
+    bits = np.zeros(1 << (power - 5), np.uint32)
     bits[words["word"].to_numpy()] = words["bits"].to_numpy().astype(np.uint32)
     return bits.view(np.uint8)
 
@@ -141,9 +147,11 @@ def contained(
 
     An item is held if at least `threshold` of its distinct word shingles are in the document. Words
     are compared in lower case (A-Z). A text of fewer words is one shingle; NULL and empty texts
-    hold nothing and are held by nothing. Rows with the same id are one document, or item, with the
-    shingles of all; rows without an id are left out, as no pair could name them. Further columns
-    are not read.
+    hold nothing and are held by nothing, and empty tables on either side give no pairs. Rows with
+    the same id are one document, or item, with the shingles of all; rows without an id are left
+    out, as no pair could name them. Shares equal to `threshold` are enough. A text of any length is
+    read whole by the task that has its row; only those of its shingles that pass the items' filter
+    go further. Further columns are not read.
     """
     spark = docs.sparkSession
     common.prepare(spark)
@@ -152,29 +160,42 @@ def contained(
     kind, item_kind = (t.schema["id"].dataType.simpleString() for t in (given, tests))
     tests = stage(
         tests.mapInArrow(
-            _item_shingles(shingle), f"id {item_kind}, shingle binary, classes long, at long"
+            _item_shingles(shingle), f"id {item_kind}, shingle binary, classes long, hash long"
         ).withColumnRenamed("id", "item"), "items",
     )
-    sizes = tests.groupBy("item").agg(F.countDistinct("shingle").alias("size"))
-    tests = tests.groupBy("item", "shingle").agg(F.expr("bit_or(classes)").alias("classes"), F.first("at").alias("at"))
-    tests = stage(tests.join(sizes, "item"), "sized")
+    tests = tests.groupBy("item", "shingle").agg(
+        F.bit_or("classes").alias("classes"), F.first("hash").alias("hash")
+    )
+    own = Window.partitionBy("item")
+    lacking = F.floor((1 - threshold) * F.col("size") + 1e-9)
+    tests = stage(
+        tests.withColumns(
+            {"size": F.count("*").over(own), "rank": F.row_number().over(own.orderBy("hash", "shingle"))}
+        ).withColumn("leads", F.col("rank") <= lacking + 1 + EXTRA), "sized",
+    )
     found = stage(
         given.mapInArrow(
             _document_shingles(shingle, _filter(tests)),
             f"id {kind}, shingle binary, size_class int, sketched boolean",
         ).withColumnRenamed("id", "doc"), "found",
     )
-    # A passage that many documents hold is met in several tasks.
-    salted = tests.select(
-        "item", "shingle", "classes", "size",
-        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
-    )
-    found = found.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
-    met = found.join(salted, ["shingle", "salt"]).groupBy("doc", "item", "size").agg(
-        F.countDistinct("shingle").alias("common"),
-        F.bool_or(F.expr("sketched and (shiftright(classes, size_class) & 1) = 1")).alias("agrees"),
+
+    # Candidates: an equal value in a bin of the document's class. Frequent shingles are met in several
+    # tasks, for their documents; the others in one.
+    frequent = F.col("shingle").isin([k[0] for k in hot_keys(found, ["shingle"])])
+    spread = F.when(frequent, F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    copies = F.when(frequent, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    bins = found.where("sketched").select("doc", "shingle", "size_class", spread.alias("salt"))
+    values = tests.where("leads").select("item", "shingle", "classes", "size", F.explode(copies).alias("salt"))
+    candidates = stage(
+        bins.join(values, ["shingle", "salt"]).where("(shiftright(classes, size_class) & 1) = 1")
+        .select("doc", "item", "size").distinct(), "candidates",
     )
-    return met.where(F.col("agrees") & (F.col("common") >= threshold * F.col("size"))).select(
+    # The exact count, by document and shingle: no shingle is frequent there.
+    met = candidates.join(tests.select("item", "shingle"), "item").join(
+        found.select("doc", "shingle").distinct(), ["doc", "shingle"]
+    ).groupBy("doc", "item", "size").agg(F.count("*").alias("common"))
+    return met.where(F.col("common") >= threshold * F.col("size")).select(
         "doc", "item", "common", "size", (F.col("common") / F.col("size")).alias("containment")
     )
 

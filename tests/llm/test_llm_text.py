@@ -81,6 +81,50 @@ def test_contained(spark, n):
     assert {tuple(r)[:4] for r in found.collect()} == held and found.count() == len(held) > 15
 
 
+def test_short_items_in_very_long_documents(spark, monkeypatch):
+    rng = random.Random(31)
+    items = [" ".join(f"i{n}w{k}" for k in range(rng.choice([3, 5, 6, 14, 40]))) for n in range(40)]
+    held, docs = set(), []
+    for d in range(12):
+        words = [f"w{rng.randrange(50_000)}" for _ in range(30_000)]
+        for n in rng.sample(range(40), 6):
+            at = rng.randrange(len(words))
+            words[at:at] = items[n].split()
+            held.add((d, n))
+        docs.append((d, " ".join(words)))
+    docs.append((99, " ".join(items[0].split()[:3])))
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    i = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    # A text of fewer than five words is a shingle of its own, which no longer text has.
+    expected = {(a, b) for a, b in held if len(items[b].split()) >= 5}
+    if len(items[0].split()) == 3:
+        expected.add((99, 0))
+
+    def pairs():
+        return {(r.doc, r.item) for r in decontaminate.contained(d, i).collect()}
+
+    assert pairs() == expected
+    # Spread like frequent ones, the shingles give the same pairs.
+    monkeypatch.setattr(
+        decontaminate, "hot_keys", lambda df, keys: [tuple(r) for r in df.select(*keys).distinct().limit(200).collect()]
+    )
+    assert pairs() == expected
+
+
+def test_contained_at_other_thresholds(spark):
+    docs, items = benchmark_rows()
+    d = spark.createDataFrame([r[:2] for r in docs if r[0] is not None], "doc_id long, text string").dropDuplicates(["doc_id"])
+    i = spark.createDataFrame([r[:2] for r in items if r[0] is not None], "item_id long, text string").dropDuplicates(["item_id"])
+    of = {r.doc_id: brute.shingles(r.text, 3) for r in d.collect()}
+    want = {r.item_id: brute.shingles(r.text, 3) for r in i.collect()}
+    for threshold in (0.1, 0.5, 1.0):
+        expected = {
+            (a, b) for a, x in of.items() for b, y in want.items() if y and len(x & y) >= threshold * len(y) and x & y
+        }
+        got = decontaminate.contained(d, i, shingle=3, threshold=threshold).collect()
+        assert {(r.doc, r.item) for r in got} == expected
+
+
 def test_clean(spark):
     docs, items = benchmark_rows()
     docs = spark.createDataFrame(docs, "doc_id long, text string, item string, size int")
