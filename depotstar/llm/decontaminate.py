@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,9 +51,9 @@ def sketch(hashes: np.ndarray, size: int) -> np.ndarray:
 
 
 def _shingle_rows(column: pa.Array, n: int, chosen=None) -> Iterator[tuple]:
-    """(row, hashes, bytes of shingle i, places) of each text that has words.
+    """(row, hashes, digests of the shingles, places) of each text that has words.
 
-    Hashes are distinct. `chosen` marks the hashes of interest: texts without any are passed over,
+    Hashes (64 bits) are distinct; shingles are told by digests of 128 bits. `chosen` marks the hashes of interest: texts without any are passed over,
     and places are those of the others' marked hashes; without it, of all.
     """
     found = words(column)
@@ -68,7 +69,8 @@ def _shingle_rows(column: pa.Array, n: int, chosen=None) -> Iterator[tuple]:
             continue
         hashes, at = np.unique(own, return_index=True)
         places = np.arange(len(hashes)) if chosen is None else np.flatnonzero(chosen(hashes))
-        yield row, hashes, [found.text(a + int(at[i]), a + int(at[i]) + length) for i in places], places
+        texts = (found.text(a + int(at[i]), a + int(at[i]) + length) for i in places)
+        yield row, hashes, [xxhash.xxh128_digest(t) for t in texts], places
 
 
 def _table(column: pa.Array, rows: list[int], **others) -> pa.RecordBatch:
@@ -139,6 +141,14 @@ def _filter(items: DataFrame) -> np.ndarray:
     return bits.view(np.uint8)
 
 
+def _met(many: DataFrame, few: DataFrame, key: str) -> DataFrame:
+    """Inner join on `key`. Where it is frequent in `many`, its documents are spread over SALTS tasks."""
+    frequent = F.col(key).isin([k[0] for k in hot_keys(many, [key])])
+    spread = F.when(frequent, F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    copies = F.when(frequent, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return many.withColumn("salt", spread).join(few.withColumn("salt", F.explode(copies)), [key, "salt"])
+
+
 def contained(
     docs: DataFrame, items: DataFrame, shingle: int = 5, threshold: float = 0.8,
     id_column: str = "doc_id", item_column: str = "item_id",
@@ -180,19 +190,15 @@ def contained(
         ).withColumnRenamed("id", "doc"), "found",
     )
 
-    # Candidates: an equal value in a bin of the document's class. Frequent shingles are met in several
-    # tasks, for their documents; the others in one.
-    frequent = F.col("shingle").isin([k[0] for k in hot_keys(found, ["shingle"])])
-    spread = F.when(frequent, F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
-    copies = F.when(frequent, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    bins = found.where("sketched").select("doc", "shingle", "size_class", spread.alias("salt"))
-    values = tests.where("leads").select("item", "shingle", "classes", "size", F.explode(copies).alias("salt"))
+    # Candidates: an equal value in a bin of the document's class.
+    bins = found.where("sketched").select("doc", "shingle", "size_class")
+    values = tests.where("leads").select("item", "shingle", "classes", "size")
     candidates = stage(
-        bins.join(values, ["shingle", "salt"]).where("(shiftright(classes, size_class) & 1) = 1")
+        _met(bins, values, "shingle").where("(shiftright(classes, size_class) & 1) = 1")
         .select("doc", "item", "size").distinct(), "candidates",
     )
     # The exact count, by document and shingle: no shingle is frequent there.
-    met = candidates.join(tests.select("item", "shingle"), "item").join(
+    met = _met(candidates, tests.select("item", "shingle"), "item").join(
         found.select("doc", "shingle").distinct(), ["doc", "shingle"]
     ).groupBy("doc", "item", "size").agg(F.count("*").alias("common"))
     return met.where(F.col("common") >= threshold * F.col("size")).select(
