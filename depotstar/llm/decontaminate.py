@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,6 +38,8 @@ CLASSES = 40
 FILTER_BITS = (16, 27)
 #: Shares into which the documents that hold one frequent shingle are split.
 SALTS = 16
+#: Bytes of text whose shingles are hashed at once; a longer text is hashed alone.
+SLICE = 2 << 20
 
 
 def size_class(n: int) -> int:
@@ -73,6 +76,18 @@ def _shingle_rows(column: pa.Array, n: int, chosen=None) -> Iterator[tuple]:
         yield row, hashes, [xxhash.xxh128_digest(t) for t in texts], places
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of about SLICE bytes of text, since the hashes of words take several times that."""
+    for batch in batches:
+        ends = np.cumsum(pa.compute.binary_length(batch.column("text")).fill_null(0).to_numpy())
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            end = max(int(np.searchsorted(ends, before + SLICE)), at + 1)
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def _table(column: pa.Array, rows: list[int], **others) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [column.take(pa.array(rows, pa.int64())), *others.values()], names=["id", *others]
@@ -83,7 +98,7 @@ def _item_shingles(n: int):
     """A row for each item and shingle: its hash, and the classes in whose sketches it is."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             ids, texts, all_classes, own = [], [], [], []
             for row, hashes, shingles, _ in _shingle_rows(batch.column("text"), n):
                 classes = np.zeros(len(hashes), np.int64)
@@ -110,7 +125,7 @@ def _document_shingles(n: int, bits: np.ndarray):
         return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             ids, texts, classes, sketched = [], [], [], []
             for row, hashes, shingles, places in _shingle_rows(batch.column("text"), n, passes):
                 size = size_class(len(hashes))
