@@ -1007,7 +1007,8 @@ gone AS (
 hits AS (
   SELECT e.child, count(*) AS n FROM edges e JOIN gone g ON e.parent = g.t AND e.parent_id = g.id GROUP BY e.child
 )
-SELECT child AS table_name, 'CASCADE' AS action, n, 0::BIGINT AS key_sum FROM hits
+SELECT t AS table_name, 'CASCADE' AS action, coalesce(n, 0) AS n, 0::BIGINT AS key_sum
+FROM (VALUES ('client'), ('purchase')) AS v(t) LEFT JOIN hits ON child = t
 UNION ALL
 SELECT 'client', 'LEFT', count(*), sum(c_custkey)::BIGINT FROM customer
 WHERE c_custkey NOT IN (SELECT id FROM gone WHERE t = 'client')
