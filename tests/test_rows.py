@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from depotstar.layouts import read_layout
 from depotstar.operators import dedupe, keys, reshape
-from depotstar.operators.joins import broadcast_limit, hot_keys, left_lookup
+from depotstar.operators.joins import broadcast_limit, hot_keys, left_lookup, matching, may_match, sifted
 from depotstar.operators.sets import union_all
 from depotstar.schemas import conform
 
@@ -182,3 +182,27 @@ def test_digests_see_one_changed_cell(spark):
     assert digests([rows[1]] * 2)["b"][2] == str(2 * int(digests([rows[1]])["b"][2]))
     assert str(sum(int(digests(half)["a"][2]) for half in (rows[:9], rows[9:]))) == whole["a"][2]
     assert digests([])["a"] == (0, 0, "0")
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+@pytest.mark.parametrize("negate", [False, True])
+def test_sifted_is_matching(spark, rows, negate, null_safe):
+    left = spark.range(2000).selectExpr("if(id % 50 = 0, null, id) AS k", "concat('v', id % 7) AS s", "id AS n")
+    right = spark.createDataFrame([(3, "v3"), (3, "v3"), (4, "v9"), (None, "v1"), (51, None), (1999, "v4")], "a bigint, b string")
+    for on in ({"k": "a"}, {"k": "a", "s": "b"}):
+        want = rows(matching(left, right, on, negate, null_safe))
+        assert rows(sifted(left, right, on, negate, null_safe)) == want
+    # Unlike types are left to the join; no keys match nothing.
+    texts = right.withColumn("a", F.concat(F.lit("0"), F.col("a").cast("string")))
+    assert rows(sifted(left, texts, {"k": "a"}, negate, null_safe)) == rows(matching(left, texts, {"k": "a"}, negate, null_safe))
+    none = right.limit(0)
+    assert rows(sifted(left, none, {"k": "a"}, negate, null_safe)) == rows(matching(left, none, {"k": "a"}, negate, null_safe))
+
+
+def test_filter_of_keys_passes_few(spark):
+    left = spark.range(20000).withColumnRenamed("id", "k")
+    right = spark.range(0, 20000, 100).withColumnRenamed("id", "a")
+    assert may_match(left, right, {"k": "a"}, "m").where("m").count() < 220
+    # A full filter lets more pass, but no key is lost and the filter stays as small.
+    tight = may_match(left, right, {"k": "a"}, "m", words=2)
+    assert tight.where("m AND k % 100 = 0").count() == 200
