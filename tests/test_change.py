@@ -258,3 +258,25 @@ def test_stream_state_is_bounded_by_the_delay(spark, tmp_path):
         spark.streams.removeListener(listener)
     # The last batch of a run lets go of what the ones before it left.
     assert held and held[-1] < 200 and held[-1] <= 2 * held[1]
+
+
+def test_a_batch_moves_no_row_for_its_files_and_is_read_once_where_it_has_state(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "in")
+    schema = spark.createDataFrame([], LAYOUT).schema
+    plans, add = [], steps.add
+
+    def watched(df, *args):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return add(df, *args)
+
+    monkeypatch.setattr(steps, "add", watched)
+    drop_file(spark, folder, "a", [("1", "first", 1), ("2", "x", 1)])
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, load in (("new", incremental.append_new), ("once", incremental.append_once)):
+            load(spark, folder, schema, str(tmp_path / name), str(tmp_path / f"{name}_mark"), ["order_id"], ["n"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert len(plans) == 2 and not any("SortMergeJoin" in p for p in plans)
+    assert "FileScan parquet" in plans[1]
