@@ -315,7 +315,10 @@ def redact(docs: DataFrame, **finding) -> DataFrame:
 
     Of spans that overlap, the first names the place; a NULL text stays NULL.
     """
-    given = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    # The text is carried once, beside the row of the other columns.
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    row = F.struct(*rest, F.col("text").isNotNull().alias("text"))
+    given = docs.select("doc_id", "text", row.alias("row"))
     found = find(given, keep=("row",), **finding)
     text = F.expr("""
         aggregate(
@@ -327,7 +330,7 @@ def redact(docs: DataFrame, **finding) -> DataFrame:
             , s -> concat(array_join(s.out, ''), substring(text, s.at + 1))
         )
     """)
-    text = F.when(F.col("row")["text"].isNotNull(), text)
+    text = F.when(F.col("row")["text"], text)
     return found.select([
         text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns
     ])

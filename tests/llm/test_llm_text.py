@@ -7,6 +7,8 @@ import brute
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from depotstar.llm import chunks, decontaminate, pii, token_counts, tokens
 
@@ -304,6 +306,17 @@ def test_redact(spark):
     assert pii.digests(pii.find(df.limit(0))).collect() == []
 
 
+def test_redact_carries_a_text_once(spark, monkeypatch):
+    staged, real = {}, pii.stage
+    monkeypatch.setattr(pii, "stage", lambda df, name: staged.setdefault(name, df) and real(df, name))
+    rows = [(1, "write to a@b.cd", "x"), (2, None, "y"), (3, "", "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = sorted(tuple(r) for r in pii.redact(df).select("doc_id", F.coalesce("text", F.lit("none")), "lang").collect())
+    assert got == [(1, "write to [EMAIL]", "x"), (2, "none", "y"), (3, "", "z")]
+    carried = staged["found"].schema
+    assert carried["text"].dataType == T.StringType() and carried["row"].dataType["text"].dataType == T.BooleanType()
+
+
 def test_cuts():
     rng = random.Random(9)
     text = "".join(rng.choice("abcdé漢 \n") for _ in range(20000)).encode()
