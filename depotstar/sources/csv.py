@@ -76,8 +76,9 @@ def quoted_line_ends(spark: SparkSession, files: list[str]) -> set[str]:
     """
     if not files:
         return set()
-    quotes = F.length(F.regexp_replace("value", '[^"]', "")) % 2
-    lines = spark.read.text(files).select(F.col("_metadata.file_path").alias("file"), quotes.alias("odd"))
+    quotes = (F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2
+    quoted = spark.read.text(files).where(F.contains("value", F.lit('"')))
+    lines = quoted.select(F.col("_metadata.file_path").alias("file"), quotes.alias("odd"))
     found = lines.groupBy("file").agg(F.max("odd").alias("odd")).where("odd = 1").collect()
     # A scan names files by URL, a listing as they are.
     odd = {_without_scheme(unquote(r["file"])) for r in found}

@@ -2,6 +2,7 @@
 
 import random
 from datetime import datetime
+from hashlib import md5
 
 import pytest
 from pyspark.sql import functions as F
@@ -206,3 +207,19 @@ def test_filter_of_keys_passes_few(spark):
     # A full filter lets more pass, but no key is lost and the filter stays as small.
     tight = may_match(left, right, {"k": "a"}, "m", words=2)
     assert tight.where("m AND k % 100 = 0").count() == 200
+
+
+def test_digests_of_many_columns_need_no_more_code(spark):
+    from depotstar.operators.digest import column_digests
+
+    def aggregates(n):
+        df = spark.createDataFrame([(1,)], "a int").selectExpr(*[f"a + {i} as c{i}" for i in range(n)])
+        return column_digests(df)._jdf.queryExecution().optimizedPlan().toString().count("sum(")
+
+    assert aggregates(2) == aggregates(30) > 0
+    empty = column_digests(spark.createDataFrame([], "a int, b string")).collect()
+    assert sorted(map(tuple, empty)) == [("a", 0, 0, "0"), ("b", 0, 0, "0")]
+    # Sums of more than 64 bits; the hash of a text is the first 15 hex digits of its MD5.
+    many = column_digests(spark.range(200).selectExpr("'x' as b", "cast(null as int) as a")).collect()
+    one = int(md5(b"x").hexdigest()[:15], 16)
+    assert sorted(map(tuple, many)) == [("a", 200, 200, "0"), ("b", 200, 0, str(200 * one))]
