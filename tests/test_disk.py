@@ -1,0 +1,98 @@
+"""What is shuffled, kept and written on disks; the rows stay the same."""
+
+import os
+import random
+import time
+from datetime import date
+from decimal import Decimal
+
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
+
+from depotstar import session
+from depotstar.functions import compact
+from depotstar.operators import joins, marts
+from depotstar.operators.fact import order_items
+from depotstar.operators.staging import conform_staging
+from depotstar.plans.warehouse import FACT, build_star
+from depotstar.schemas import WAREHOUSE
+
+D = Decimal
+
+
+def shuffle_files(spark):
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    dirs = [str(d) for d in env.blockManager().diskBlockManager().localDirs()]
+    return {f for d in dirs for _, _, files in os.walk(d) for f in files if f.startswith("shuffle_")}
+
+
+def inputs(spark):
+    r = random.Random(5)
+    orders = conform_staging(spark.createDataFrame(
+        [(str(i), i % 4 or None, f"n{i % 4}", "Lima", date(2023, 1 + i % 5, 1) if i % 6 else None) for i in range(12)],
+        "order_id string, customer_id bigint, customer_fname string, order_city string, order_date date",
+    ), "stg_oms_orders")
+    items = conform_staging(spark.createDataFrame(
+        [(f"{i}-1" if i % 9 else None, str(i % 14), i % 5 or None, f"p{i % 5}", r.choice([None, 1, 70000]), D(r.randrange(-10**9, 10**9)) / 100, None if i % 7 else D("-99.01")) for i in range(40)],
+        "order_item_id string, order_id string, product_id bigint, product_name string, quantity int, sales decimal(10,2), profit decimal(10,2)",
+    ), "stg_oms_order_items")
+    shipments = conform_staging(spark.createDataFrame(
+        [(f"{i}-1", "Air" if i % 2 else None, date(2023, 2, 1 + i % 20)) for i in range(0, 40, 2)],
+        "shipment_id string, shipping_mode string, ship_date date",
+    ), "stg_slms_shipments")
+    return items, orders, shipments
+
+
+def test_a_write_leaves_no_shuffle_files(spark):
+    setting = spark.conf.get(session._FREE, None)
+    before = shuffle_files(spark)
+    grouped = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count()
+    found = session.together(*[lambda: session.stage(grouped, "grouped") for _ in range(3)])
+    deadline = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert all(df.agg(F.sum("count")).first()[0] == 1000 for df in found)
+    assert spark.conf.get(session._FREE, None) == setting and not session._freeing
+    file = found[0].inputFiles()[0].removeprefix("file://")
+    assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"
+
+
+def test_small_dimensions_are_looked_up_before_the_first_sums(spark, tmp_path):
+    star = build_star(*inputs(spark), str(tmp_path))
+    found = marts.grouped_measures(star, {"year": "order_date.year", "product": "product.product_name"})
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    first = [line for line in plan.splitlines() if "Aggregate" in line][-1]
+    assert "order_date.year" in first and "order_date_key" not in first.split("], [")[0]
+    direct = star[FACT].join(star["dim_date"], F.col("order_date_key") == F.col("date_key"), "left").join(star["dim_product"], "product_key", "left")
+    direct = direct.groupBy("year", F.col("product_name").alias("product")).agg(
+        F.count("*").alias("lines"), F.sum("order_item_quantity").alias("quantity"), F.sum("sales").alias("sales"),
+        F.sum("order_item_discount").alias("discount"), F.sum("order_item_profit").alias("profit"),
+    )
+    assert sorted(map(str, found.collect())) == sorted(map(str, direct.collect()))
+
+
+def test_high_bits_of_numbers_share_a_word(spark):
+    fields = [f for f in WAREHOUSE[FACT].fields if not f.name.endswith("_key")]
+    rows = spark.createDataFrame(
+        [(q, s, s / 10, s / 3 - 5, D("0.05"), D("0.25")) for q, s in ((1, D("10.50")), (50, D("104949.99")))],
+        "order_item_quantity int, sales decimal(10,2), order_item_discount decimal(10,2), order_item_profit decimal(10,2), "
+        "order_item_discount_rate decimal(5,2), order_item_profit_ratio decimal(5,2)",
+    )
+    one, other = rows.select(*compact.packed_numbers(fields, "w")).collect()
+    assert one["w3"] == other["w3"] and one["w0"] != other["w0"]
+
+
+def test_large_facts_are_staged_between_their_joins(spark, tmp_path, monkeypatch):
+    tables = inputs(spark)
+    small = build_star(*tables, str(tmp_path / "small"))
+    expected = sorted(map(str, small[FACT].collect()))
+    staged = []
+    monkeypatch.setattr(joins, "SKEW_FLOOR", 0)
+    from depotstar.operators import fact
+
+    monkeypatch.setattr(fact, "stage_at", lambda df, path: staged.append(path) or session.stage_at(df, path))
+    large = build_star(*tables, str(tmp_path / "large"))
+    assert sorted(map(str, large[FACT].collect())) == expected
+    assert len(staged) == 1 and not os.path.exists(staged[0])
+    assert sorted(map(str, order_items(*tables, large).collect())) == expected
