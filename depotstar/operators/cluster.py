@@ -7,10 +7,13 @@ written along it hold a narrow range of each, and a filter on any one column ski
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depotstar.functions.sqltext import name
+from depotstar.session import write_parquet
 
 
 def _slice(column: str, bounds: list) -> Column:
@@ -40,19 +43,28 @@ def curve(df: DataFrame, columns: list[str], bits: int = 4) -> Column:
 
 
 def write_clustered(
-    df: DataFrame, path: str, columns: list[str], files: int, bits: int = 4, partitions: list[str] | None = None
+    df: DataFrame, path: str, columns: list[str], files: int, bits: int = 4, partitions: list[str] | None = None,
+    pack: Callable[[DataFrame, tuple[str, ...]], DataFrame] | None = None,
+    unpack: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Write a table along the curve of `columns`, in about `files` files, within its partitions.
 
     Rows of one place on the curve are spread by a hash, so a frequent combination of values does not
     make one file large. Parquet keeps the least and greatest value of each column by row group.
+    Rows are shuffled as `pack` makes them, with the columns that it is given beside, and written as
+    `unpack` gives them back.
     """
     whole = df.withColumn("_place", curve(df, columns, bits))
     order = [*(partitions or []), "_place"]
-    spread = F.xxhash64(*[F.col(name(c)) for c in df.columns])
-    placed = whole.withColumn("_spread", spread).repartitionByRange(files, *order, "_spread")
+    spread = F.hash(*[F.col(name(c)) for c in df.columns])
+    own = whole.withColumn("_spread", spread)
+    if pack:
+        own = pack(own, (*order, "_spread"))
+    placed = own.repartitionByRange(files, *order, "_spread")
     sorted_rows = placed.sortWithinPartitions(*order).drop("_place", "_spread")
-    sorted_rows.write.mode("overwrite").parquet(path, partitionBy=partitions)
+    if unpack:
+        sorted_rows = unpack(sorted_rows)
+    write_parquet(sorted_rows, path, "overwrite", partitions)
 
 
 def share_read(df: DataFrame, column: str, low, high) -> DataFrame:

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from depotstar import session
 from depotstar.functions import compact
-from depotstar.operators import joins, marts
-from depotstar.operators.fact import order_items
+from depotstar.operators import cluster, joins, marts
+from depotstar.operators.fact import order_items, repacked, unpacked_order_items
 from depotstar.operators.staging import conform_staging
 from depotstar.plans.warehouse import FACT, build_star
 from depotstar.schemas import WAREHOUSE
@@ -99,6 +99,18 @@ def test_large_facts_are_staged_between_their_joins(spark, tmp_path, monkeypatch
     assert sorted(map(str, order_items(*tables, large).collect())) == expected
 
 
+def test_facts_are_packed_again(spark, tmp_path):
+    fact = build_star(*inputs(spark), str(tmp_path))[FACT]
+    packed = repacked(fact, ("customer_key",))
+    assert packed.schema["order_item_id"].dataType.simpleString() == "binary" and "sales" not in packed.columns
+    again = unpacked_order_items(packed)
+    assert again.columns == fact.columns and sorted(map(str, again.collect())) == sorted(map(str, fact.collect()))
+    path = str(tmp_path / "clustered")
+    cluster.write_clustered(fact, path, ["product_key"], files=3, pack=repacked, unpack=unpacked_order_items)
+    found = spark.read.schema(fact.schema).parquet(path)
+    assert sorted(map(str, found.collect())) == sorted(map(str, fact.collect()))
+
+
 def test_only_repeated_keys_are_grouped(spark, rows):
     data = [(i, "a", i) for i in range(50)] + [(7, "b", 1), (None, "c", 1), (None, "d", 2), (9, "a", 9)]
     df = spark.createDataFrame(data, "k bigint, v string, n int")
