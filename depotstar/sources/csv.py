@@ -15,6 +15,7 @@ from depotstar.functions import blank_tokens, parse_timestamp
 from depotstar.functions.values import SOURCE_DATE_FORMAT
 from depotstar.operators.sets import union_all
 from depotstar.schemas import DATE_COLUMNS, ITEM_MAPPING, ORDER_MAPPING, SHIPMENT_MAPPING
+from depotstar.session import shuffles_freed
 from depotstar.sources.files import file_system
 
 # Times in the files this library writes.
@@ -45,8 +46,11 @@ def csv_files(spark: SparkSession, path: str) -> list[str]:
 
 def _first_line(spark: SparkSession, path: str, encoding: str) -> str | None:
     fs, p = file_system(spark, path)
-    java = spark.sparkContext._jvm.java.io
-    reader = java.BufferedReader(java.InputStreamReader(fs.open(p), encoding))
+    jvm = spark.sparkContext._jvm
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(fs.getConf())
+    codec, opened = codecs.getCodec(p), fs.open(p)
+    stream = opened if codec is None else codec.createInputStream(opened)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding))
     try:
         return reader.readLine()
     finally:
@@ -224,15 +228,21 @@ def cleaned_path(path: str, now: datetime) -> str:
     return f"{path.removesuffix('.csv')}_cleaned_{now:%Y%m%d_%H%M%S}.csv"
 
 
-def write_flat(df: DataFrame, path: str) -> str:
-    """Write UTF-8 CSV with a header, values as they are; the result is a folder of part files."""
-    (
+def write_flat(df: DataFrame, path: str, compression: str = "none") -> str:
+    """Write UTF-8 CSV with a header, values as they are; the result is a folder of part files.
+
+    With `compression`, `gzip` say, each of them is packed; `read_flat` reads them alike, but a packed
+    file is not split among tasks.
+    """
+    writer = (
         df.write.option("header", True)
+        .option("compression", compression)
         .option("escape", '"')
         .option("encoding", "UTF-8")
         .option("timestampFormat", WRITTEN_TIME_FORMAT)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
     )
+    with shuffles_freed(df.sparkSession):
+        writer.csv(path)
     return path

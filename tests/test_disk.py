@@ -1,9 +1,10 @@
 """What is shuffled, kept and written on disks; the rows stay the same."""
 
+import glob
 import os
 import random
 import time
-from datetime import date
+from datetime import date, datetime
 from decimal import Decimal
 
 import pyarrow.parquet as pq
@@ -16,6 +17,7 @@ from depotstar.operators.fact import order_items, repacked, unpacked_order_items
 from depotstar.operators.staging import conform_staging
 from depotstar.plans.warehouse import FACT, build_star
 from depotstar.schemas import WAREHOUSE
+from depotstar.sources import csv, standin
 from depotstar.streaming import incremental
 
 D = Decimal
@@ -135,3 +137,41 @@ def test_a_column_of_the_order_is_carried_once(spark, rows):
     assert rows(incremental._least(df.select("k", "n"), ["k"], ["n"])) == [(1, 1)]
     plan = least._jdf.queryExecution().optimizedPlan().toString()
     assert "b, struct(v, v" in plan
+
+
+def test_packed_csv_is_read_as_plain(spark, rows, tmp_path):
+    df = spark.createDataFrame([("1", 'a "b"\nc', None), ("2", "é", "x")], "`Order Id` string, Text string, Empty string")
+    found = []
+    for packing in ("none", "gzip"):
+        path = csv.write_flat(df, str(tmp_path / f"{packing}.csv"), packing)
+        found.append(rows(csv.read_flat(spark, path, multi_line=None)))
+        assert csv.header_names(spark, path) == df.columns
+    assert found[0] == found[1] == [("1", 'a "b"\nc', None), ("2", "é", "x")]
+    assert glob.glob(f"{tmp_path}/gzip.csv/part-*.csv.gz")
+
+
+def test_lines_are_shuffled_for_orders_alone(spark, tmp_path):
+    day = datetime(2020, 1, 1)
+    given = {
+        "region": ([(0, "R")], "r_regionkey int, r_name string"),
+        "nation": ([(1, "N", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+        "customer": ([(1, "a", 1, "S"), (1, "b", None, "T"), (2, "c", 5, None)], "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string"),
+        "orders": ([(1, 1, "O", day, "P"), (2, None, "F", None, "Q"), (3, 9, "F", day, None), (4, 2, "F", day, "P")], "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp, o_orderpriority string"),
+        "lineitem": ([(1, 1), (2, 1), (3, 1), (4, 1), (None, 1), (8, 2)], "l_orderkey bigint, l_linenumber int"),
+    }
+    for name, (data, layout) in given.items():
+        spark.createDataFrame(data, layout).write.parquet(f"{tmp_path}/{name}.parquet")
+    wanted = ["Order Id", "Customer Fname", "Order City", "Order Country", "order date (DateOrders)"]
+    plain = sorted(map(str, standin.flat_lines(spark, str(tmp_path), wanted).collect()))
+    assert len(plain) == 7
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        found = standin.flat_lines(spark, str(tmp_path), wanted)
+        assert sorted(map(str, found.collect())) == plain
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        # The first join of the plan is the last one made: lines with their orders.
+        top = next(line for line in plan.splitlines() if "Join LeftOuter" in line)
+        assert "l_orderkey" in top
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
