@@ -139,6 +139,18 @@ def test_a_column_of_the_order_is_carried_once(spark, rows):
     assert "b, struct(v, v" in plan
 
 
+def test_the_stream_keeps_short_digests(spark, tmp_path):
+    layout = "order_id string, v string, n int"
+    folder, mark = str(tmp_path / "in"), str(tmp_path / "mark")
+    data = [("1", "a", 1), ("1", "a", 1), ("2", "b", 1)]
+    spark.createDataFrame(data, layout).write.parquet(folder)
+    schema = spark.createDataFrame([], layout).schema
+    found = incremental.append_once(spark, folder, schema, str(tmp_path / "table"), mark, ["order_id"], ["n"])
+    assert found.count() == 2
+    kept = spark.read.format("statestore").load(mark).select("key.*")
+    assert [len(v) for r in kept.collect() for v in r] == [16, 16]
+
+
 def test_packed_csv_is_read_as_plain(spark, rows, tmp_path):
     df = spark.createDataFrame([("1", 'a "b"\nc', None), ("2", "é", "x")], "`Order Id` string, Text string, Empty string")
     found = []
